@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import chat, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_chat_prefix_targets": chat.op6_chat_prefix_targets,
+    "op8_mix_sources": mixing.op8_mix_sources,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_chat_prefix_targets": chat.OP6_SQL,
+    "op8_mix_sources": mixing.OP8_SQL,
+}
