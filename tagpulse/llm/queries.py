@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, simhash
+from . import chat, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_prefix_targets": chat.op6_chat_prefix_targets,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_quality_subword": quality.op9_quality_subword,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
