@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 Words are split at white space, case kept. A word's vector is the mean of its hashed word vector and its hashed
-character n-gram vectors; a document's vector is the mean over all its words, and a softmax over two classes
+character n-gram vectors; a word that repeats the one before adds a word bigram of its own, ``AGAIN``, whichever word
+it is, since the bigrams of rare words could not be learned one by one. A document's vector is the mean over all its words, and a softmax over two classes
 follows. Vectors and softmax are learned by stochastic gradient descent in numpy. At scoring each distinct word
 is reduced to its class margin once, so a whole text of any length costs one look-up a word.
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from .sample import held_out, sigmoid, training_sample
 from .common import table
 
-NGRAMS = (2, 3, 4)
+NGRAMS = (2, 3)
+AGAIN = "\x02again"
 MAX_WORD = 64  # a longer run without white space is cut into words of this length
 
 
@@ -40,7 +43,7 @@ def words(text: str | None) -> list[str]:
     found = (text or "").split()
     if any(len(w) > MAX_WORD for w in found):
         found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found
+    return found + [AGAIN] * sum(map(eq, found, found[1:]))
 
 
 def buckets(word: str, size: int) -> list[int]:
@@ -66,7 +69,7 @@ class _Vocabulary:
         return [index[w] for w in found]
 
 
-def fit(rows: list[tuple[str, int]], size: int = 1 << 16, dim: int = 12, epochs: int = 6, rate: float = 0.5, seed: int = 7) -> Subwords:
+def fit(rows: list[tuple[str, int]], size: int = 1 << 16, dim: int = 8, epochs: int = 4, rate: float = 0.3, seed: int = 7) -> Subwords:
     """Plain SGD, one document a step, the rate falling in a line to zero."""
     rng = np.random.default_rng(seed)
     model = Subwords(rng.uniform(-1 / dim, 1 / dim, (size, dim)).astype(np.float32), np.zeros((2, dim), np.float32), np.zeros(2, np.float32))
@@ -128,7 +131,7 @@ def score_documents(docs: DataFrame, score_of, threshold: float) -> DataFrame:
     return picked.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 20_000, threshold: float = 0.3) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_chars: int = 20_000, threshold: float = 0.3) -> DataFrame:
     model = fit(training_sample(docs, labels, "quality", per_class, max_chars))
     return score_documents(docs, lambda: scorer(model), threshold)
 
