@@ -131,7 +131,7 @@ def score_documents(docs: DataFrame, score_of, threshold: float) -> DataFrame:
     return picked.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_chars: int = 20_000, threshold: float = 0.3) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (1000, 1000), max_chars: int = 20_000, threshold: float = 0.3) -> DataFrame:
     model = fit(training_sample(docs, labels, "quality", per_class, max_chars))
     return score_documents(docs, lambda: scorer(model), threshold)
 

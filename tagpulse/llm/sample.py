@@ -12,22 +12,23 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """(text, label) of at most ``per_class`` rows of each label, the first by hash of their id.
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], max_chars: int) -> list[tuple[str, int]]:
+    """(text, label) of at most ``per_class[y]`` rows of each label y, the first by hash of their id.
 
     Only fitting is bounded so: rows that are held out, unlabelled or longer than ``max_chars`` take no part.
-    The result has at most 2 * per_class * max_chars characters and goes to the driver.
+    The result has at most sum(per_class) * max_chars characters and goes to the driver.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
     first = None
     for y in (0, 1):
-        part = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
+        part = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class[y])
         first = part if first is None else first.unionByName(part)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    rows = texts.join(F.broadcast(first), "doc_id").select("y", F.xxhash64("doc_id").alias("k"), "doc_id", "text")  # at most 4 * per_class ids
+    # at most 2 * sum(per_class) ids are broadcast
+    rows = texts.join(F.broadcast(first), "doc_id").select("y", F.xxhash64("doc_id").alias("k"), "doc_id", "text")
     out: list[tuple[str, int]] = []
     for y in (0, 1):
-        out += [(r.text, y) for r in rows.where(F.col("y") == y).orderBy("k", "doc_id", "text").limit(per_class).collect()]
+        out += [(r.text, y) for r in rows.where(F.col("y") == y).orderBy("k", "doc_id", "text").limit(per_class[y]).collect()]
     return out
 
 
