@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, quality, simhash, toxicity
+from . import chat, mixing, quality, simhash, suffix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity_bigru": toxicity.op3_toxicity_bigru,
+    "op5_suffix_array_dedup": suffix.op5_suffix_array_dedup,
     "op6_chat_prefix_targets": chat.op6_chat_prefix_targets,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_quality_subword": quality.op9_quality_subword,
