@@ -24,6 +24,7 @@ from .quality import score_documents
 from .sample import Adam, sigmoid, training_sample
 
 WINDOW, STRIDE = 48, 36
+EARLY, DROP = 3, 0.05  # random windows a document in the first third of the epochs; share of words left out in training
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 13, 1 << 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 12, 12, 8
 MAX_WORD = 64  # longer runs of letters are cut into words of this length
@@ -173,11 +174,14 @@ def fit(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 64, rate: flo
         prob = np.concatenate([forward(p, proj, all_windows[i : i + 4096]) for i in range(0, len(all_windows), 4096)]) if epoch else rng.random(len(all_windows))
         order = np.lexsort((-prob, of))
         top = order[first]
-        some = first + (rng.random(len(docs)) * np.diff(np.r_[first, len(of)])).astype(int)
-        chosen = rng.permutation(np.r_[top, some[labels == 0]] if epoch else np.r_[top, some])
+        counts = np.diff(np.r_[first, len(of)])
+        some = [first + (rng.random(len(docs)) * counts).astype(int) for _ in range(EARLY)]
+        early = epoch < max(1, epochs // 3)
+        chosen = rng.permutation(np.concatenate([*some, top]) if early else np.r_[top, some[0][labels == 0]])
         for at in range(0, len(chosen), batch):
             pick = chosen[at : at + batch]
             win, y = all_windows[pick], labels[of[pick]]
+            win = np.where(rng.random(win.shape) < DROP, 0, win)
             used, local = np.unique(win, return_inverse=True)
             each = lens[used]
             flat = np.repeat(starts[used] - (np.cumsum(each) - each), each) + np.arange(each.sum())
