@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, mixing, quality, simhash, suffix, toxicity
+from . import chat, decontaminate, html, mixing, quality, simhash, suffix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
     "op3_toxicity_bigru": toxicity.op3_toxicity_bigru,
     "op5_suffix_array_dedup": suffix.op5_suffix_array_dedup,
     "op6_chat_prefix_targets": chat.op6_chat_prefix_targets,
+    "op7_html_lstm": html.op7_html_lstm,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_quality_subword": quality.op9_quality_subword,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
