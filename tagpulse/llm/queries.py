@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html, mixing, quality, simhash, suffix, toxicity
+from . import chat, decontaminate, html, images, mixing, quality, simhash, suffix, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
+    "op2_token_counts": tokens.op2_token_counts,
     "op3_toxicity_bigru": toxicity.op3_toxicity_bigru,
+    "op4_image_copies": images.op4_image_copies,
     "op5_suffix_array_dedup": suffix.op5_suffix_array_dedup,
     "op6_chat_prefix_targets": chat.op6_chat_prefix_targets,
     "op7_html_lstm": html.op7_html_lstm,
