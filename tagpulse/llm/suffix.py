@@ -362,20 +362,23 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone.append(len(data) - len(rest))
             runs.append(len(cut))
             digests.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest)
+            kept.append(rest.decode("utf-8", "ignore"))
         head = [b.column(i) for i in range(b.num_columns - 2)]
         names = [b.schema.field(i).name for i in range(b.num_columns - 2)]
-        yield pa.RecordBatch.from_arrays([*head, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        yield pa.RecordBatch.from_arrays([*head, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000) -> DataFrame:
-    """The other columns of ``docs`` and n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay)."""
+    """The other columns of ``docs`` and n_bytes, n_removed, n_spans, kept_sha256, kept.
+
+    kept is the text that stays; the digest is of its bytes, and of a character cut in two nothing stays in kept.
+    """
     spans = repeated_spans(docs, id_col, text_col, length, gram, memory).withColumnRenamed("row_key", "_key")
     rest = [c for c in docs.columns if c != text_col]
     keyed = docs.select(*rest, F.col(text_col).cast("binary").alias("_text"), row_key(id_col, text_col).alias("_key"))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*rest).schema)
     joined = keyed.join(spans, "_key", "left").select(*rest, "_text", "spans")
-    return joined.mapInArrow(_apply, f"{schema}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return joined.mapInArrow(_apply, f"{schema}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,10 @@ score is 0.5; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -261,5 +263,17 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: tuple[int, in
     return score_documents(docs, lambda: scorer(p), threshold)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (2000, 1200), max_chars: int = 20_000, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns."""
+    p = fit(training_sample(docs, labels, "toxic", per_class, max_chars))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer(p)
+        for b in batches:
+            yield b.filter(pa.array(score(b.column("text").to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
