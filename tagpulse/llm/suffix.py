@@ -156,16 +156,29 @@ class ByteQueue:
         self.memory, self.held = {}, 0
 
     def pop_all(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Chunks of (suffix, common prefix) in order; the queue is empty afterwards."""
+        """(suffix, common prefix) in order, in chunks of about the memory limit; the queue is empty afterwards."""
+        held: list[np.ndarray] = []
+        for part in self._parts():
+            held.append(part)
+            if sum(map(len, held)) >= self.limit:
+                yield self._chunk(held)
+                held = []
+        if held:
+            yield self._chunk(held)
+
+    def _chunk(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        entries = np.concatenate(parts)
+        return entries[:, 0], entries[:, 1]
+
+    def _parts(self) -> Iterator[np.ndarray]:
         for c in sorted({*self.memory, *self.files}):
             if c in self.files:
                 path = self.folder / str(c)
                 for start in range(0, path.stat().st_size, 16 * self.limit):
-                    part = np.fromfile(path, np.int64, 2 * self.limit, offset=start).reshape(-1, 2)
-                    yield part[:, 0], part[:, 1]
+                    yield np.fromfile(path, np.int64, 2 * self.limit, offset=start).reshape(-1, 2)
                 path.unlink()
-            for part in self.memory.get(c, []):
-                yield part[:, 0], part[:, 1]
+            if c in self.memory:
+                yield np.concatenate(self.memory[c])
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
