@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Character ranges; each use has its own.
-HAN_NAME, KANA_NAME, HANGUL_NAME = "[㐀-䶿一-鿿豈-﫿]", "[぀-ヿㇰ-ㇿ]", "[가-힣ᄀ-ᇿ㄰-㆏]"
+HAN_NAME, KANA_NAME, HANGUL_NAME = "[㐀-䶿一-鿿豈-﫿]", "[぀-ヿㇰ-ㇿ]", "[가-힣ᄀ-ᇿ㄰-㆏]"
 HANGUL_BUCKET = "[가-힯ᄀ-ᇿ㄰-㆏]"
 HAN_PLAIN, KANA_PLAIN, HANGUL_PLAIN, KATAKANA = "[一-鿿〇]", "[぀-ヿ]", "[가-힣ᄀ-ᇿ]", "[ァ-ヶ]"
 FULL_WIDTH = {":": "：", "!": "！", "?": "？", ",": "，", ";": "；"}
