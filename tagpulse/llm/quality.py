@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sample import held_out, sigmoid, training_sample
 from .common import table
+from .sample import held_out, sigmoid, training_sample
 
 NGRAMS = (2, 3)
 AGAIN = "\x02again"
@@ -41,7 +41,7 @@ class Subwords:
 
 def words(text: str | None) -> list[str]:
     found = (text or "").split()
-    if any(len(w) > MAX_WORD for w in found):
+    if max(map(len, found), default=0) > MAX_WORD:
         found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
     return found + [AGAIN] * sum(map(eq, found, found[1:]))
 
@@ -49,8 +49,12 @@ def words(text: str | None) -> list[str]:
 def buckets(word: str, size: int) -> list[int]:
     """The word's own bucket, then those of its character n-grams between end marks."""
     marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % size for g in [f"\x00{word}", *grams]]
+    if marked.isascii():
+        data = marked.encode()
+        grams = [data[i : i + n] for n in NGRAMS for i in range(len(data) - n + 1)]
+    else:
+        grams = [marked[i : i + n].encode("utf-8", "replace") for n in NGRAMS for i in range(len(marked) - n + 1)]
+    return [zlib.crc32(g) % size for g in [b"\x00" + word.encode("utf-8", "replace"), *grams]]
 
 
 class _Vocabulary:
@@ -97,22 +101,29 @@ def fit(rows: list[tuple[str, int]], size: int = 1 << 16, dim: int = 8, epochs:
 
 def scorer(model: Subwords, cache_words: int = 200_000):
     """A function from texts to scores; it remembers the margins of up to ``cache_words`` words (memory only)."""
-    margin = (model.emb @ (model.out[1] - model.out[0])).astype(np.float64)
+    margin = (model.emb @ (model.out[1] - model.out[0])).tolist()
     bias = float(model.bias[1] - model.bias[0])
     known: dict[str, float] = {}
 
+    def learn(found: list[str]) -> None:
+        new = set(found).difference(known)
+        if len(known) + len(new) > cache_words:
+            known.clear()
+            new = set(found)
+        for w in new:
+            b = buckets(w, len(margin))
+            known[w] = sum(map(margin.__getitem__, b)) / len(b)
+
     def score(texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
         for k, text in enumerate(texts):
             found = words(text)
-            new = list(set(found).difference(known))
-            if len(known) + len(new) > cache_words:
-                known.clear()
-                new = list(set(found))
-            for w in new:
-                b = buckets(w, len(margin))
-                known[w] = float(margin[b].sum() / len(b))
-            out[k] = sum(map(known.__getitem__, found)) / max(1, len(found)) + bias
+            try:
+                total = sum(map(known.__getitem__, found))
+            except KeyError:
+                learn(found)
+                total = sum(map(known.__getitem__, found))
+            out[k] = total / max(1, len(found)) + bias
         return sigmoid(out)
 
     return score
