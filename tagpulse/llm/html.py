@@ -334,8 +334,10 @@ def extract(p: dict[str, np.ndarray], htmls: list[str | None], features: Feature
 
 
 def extract_pages(pages: DataFrame, sample_pages: int = 250, max_chars: int = 60_000) -> DataFrame:
-    """(page_id, url, text, n_chars). The network is fitted on the first ``sample_pages`` pages by hash of their id."""
-    sample = pages.where(F.length("html").between(1, max_chars)).orderBy(F.xxhash64("page_id"), "html").select("html").limit(sample_pages)
+    """(page_id, url, text, n_chars). The network is fitted on the first ``sample_pages`` pages by hash of id and html."""
+    first = pages.where(F.length("html").between(1, max_chars)).select(F.xxhash64("page_id", "html").alias("_key")).distinct().orderBy("_key").limit(sample_pages)
+    keyed = pages.select(F.xxhash64("page_id", "html").alias("_key"), "html")
+    sample = keyed.join(F.broadcast(first), "_key").dropDuplicates(["_key"]).orderBy("_key")  # sample_pages rows at most
     p = fit([r.html for r in sample.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
