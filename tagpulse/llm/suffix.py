@@ -381,17 +381,18 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*head, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000) -> DataFrame:
-    """The other columns of ``docs`` and n_bytes, n_removed, n_spans, kept_sha256, kept.
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000, prefix: str = "") -> DataFrame:
+    """The other columns of ``docs`` and, each with ``prefix`` before its name,  n_bytes, n_removed, n_spans, kept_sha256, kept.
 
     kept is the text that stays; the digest is of its bytes, and of a character cut in two nothing stays in kept.
     """
     spans = repeated_spans(docs, id_col, text_col, length, gram, memory).withColumnRenamed("row_key", "_key")
-    rest = [c for c in docs.columns if c != text_col]
-    keyed = docs.select(*rest, F.col(text_col).cast("binary").alias("_text"), row_key(id_col, text_col).alias("_key"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*rest).schema)
-    joined = keyed.join(spans, "_key", "left").select(*rest, "_text", "spans")
-    return joined.mapInArrow(_apply, f"{schema}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    made = [prefix + c for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
+    rest = [c for c in docs.columns if c != text_col and c not in made]  # a result takes the place of a column of its name
+    keyed = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(rest)], F.col(text_col).cast("binary").alias("_text"), row_key(id_col, text_col).alias("_key"))
+    schema = "".join(f"c{k} {f.dataType.simpleString()}, " for k, f in enumerate(docs.select(*rest).schema))
+    joined = keyed.join(spans, "_key", "left").drop("_key")
+    return joined.mapInArrow(_apply, f"{schema}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string").toDF(*rest, *made)
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ by its most toxic window and a random one.
 
 Defined cases: null and wordless texts are one empty window; texts shorter than a window are padded; texts of
 any length are read whole; a null id is not held out; repeated rows each get a row; with no usable labels every
-score is 0.5; extra columns are ignored.
+score is next to 0; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -164,6 +164,7 @@ def fit(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 64, rate: flo
     labels = np.array([y for _, y in rows], np.float32)
     if len(docs) == 0:
         p["out"][:] = 0
+        p["bias"][:] = -30
         return p
     word, grams, lens = vocabulary.arrays()
     starts = np.cumsum(lens) - lens
