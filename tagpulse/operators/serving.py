@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.han import Converter
 from ..schemas import LANGS
+from ..sources.shared import written
 from .names import filled
 from .series import dense_categories, month_axis, series_arrays
 
@@ -82,7 +83,7 @@ def search_many(rows: DataFrame, queries: DataFrame, n: int = 3) -> DataFrame:
     substrings of that length. Empty queries find nothing.
     """
     asked = queries.select("query", F.lower("query").alias("q")).where("q <> ''").distinct()
-    terms = rows.select("tag", F.explode("terms").alias("term"))
+    terms = written(rows.select("tag", F.explode("terms").alias("term")))  # read twice for each length
     out = None
     for size in range(1, n + 1):
         some = asked.where(F.length("q") == size) if size < n else asked.where(F.length("q") >= n)

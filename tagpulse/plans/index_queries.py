@@ -9,7 +9,7 @@ from ..operators import aliases as A
 from ..operators import cells as C
 from ..operators import series as S
 from ..sources.readers import active_aliases
-from ..sources.shared import new_path
+from ..sources.shared import new_path, written
 from ..sources.sinks import artifact_report, require_artifacts, write_clustered
 from ..streaming import ingest as I
 from .fixture import duck, spark_view
@@ -37,7 +37,7 @@ class Index:
 
     @property
     def lookup(self) -> DataFrame:
-        return A.tag_lookup(self.dim, self.resolved)
+        return written(A.tag_lookup(self.dim, self.resolved))
 
     @property
     def daily(self) -> DataFrame:
@@ -111,7 +111,8 @@ def alias_resolve(spark, d):
 
 
 def tag_lookup(spark, d):
-    return Index(spark, d).lookup
+    x = Index(spark, d)
+    return A.tag_lookup(x.dim, x.resolved)
 
 
 def daily_cells(spark, d):
