@@ -463,6 +463,9 @@ ORACLE_SQL = {
     "bucket_aliases": _sql("SELECT * FROM buckets", BUCKETS, views=BOTH),
     "pick_names": _sql("SELECT tag, lang, arg_min(name, pos) AS name, arg_min(name, length(name) * 10 + pos) AS shortest FROM buckets GROUP BY tag, lang", BUCKETS, views=BOTH),
     "ambiguous_tags": _sql("SELECT DISTINCT tag FROM (SELECT tag, lang FROM buckets WHERE lang <> 'en' GROUP BY ALL HAVING count(*) > 1)", BUCKETS, views=BOTH),
+    "build_map": _sql(
+        """SELECT tag, hans AS zh_hans, hant AS zh_hant, CASE WHEN k % 10 = 4 THEN translate(hant, '劍國學樂會', '剣国学楽会') ELSE kana END AS ja, 'Part ' || k::VARCHAR AS en, CASE WHEN k % 10 <> 4 THEN hangul END AS ko
+        FROM spelled JOIN tags ON name = tag WHERE k % 13 <> 0 AND k % 11 <> 0 AND post_count > 0 AND category IN (3, 4)""", views=BOTH),
     "alias_pools": _sql("SELECT tag, kana || '|' || hant || '|' || hans || '|' || hangul || '| ' || latin || '|' || kana AS names FROM spelled WHERE k % 13 <> 0 AND k % 11 <> 0"),
     "official_picks": _sql("SELECT tag, 'ja' AS lang, kana AS name FROM spelled UNION ALL SELECT tag, 'ko', hangul FROM spelled WHERE k % 2 = 0 UNION ALL SELECT tag, 'zh_hans', hans FROM spelled WHERE k % 3 = 0"),
     "layer_fold": _sql("SELECT * FROM folded", FOLD),
