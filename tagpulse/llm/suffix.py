@@ -16,7 +16,8 @@ sorted first and the order of the others follows from theirs:
    suffixes one byte further left are induced from them, again and again: (preceding byte, rank) enters a
    priority queue with the common-prefix value, and leaves it in order. The queue keeps one file for each byte
    value beyond its memory limit, so a shard may be far larger than memory.
-   A string is repeated when a neighbour in the order shares ``length`` bytes with it.
+   A string is repeated when a neighbour in the order shares ``length`` bytes with it. Groups around one anchor that
+   are too large for a task are split before (``split_groups``).
 
 Defined cases: null text is empty; texts shorter than ``length`` keep all; repeated rows are copies of each other
 and lose all their strings; null ids are kept; an empty table gives an empty result; extra columns are ignored.
@@ -29,6 +30,7 @@ import heapq
 import pickle
 import tempfile
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 LENGTH, GRAM = 400, 128
+GROUP_LIMIT = 100_000  # different blocks around one anchor that one task sorts; larger groups are split first
 SLAB = 1 << 19  # bytes hashed at once; longer texts go in overlapping slabs
 BASE = 0x9E3779B97F4A7C15 | 1
 ANCHORS = "row_key long, anchor long, block long, lo int, hi int, at int"
@@ -301,8 +304,8 @@ def _shards(length: int, gram: int, memory: int):
 
         def blocks() -> Iterator[tuple[bytes, int]]:
             for b in batches:
-                for anchor, block, copies, offset, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    names.append((anchor, block, copies, offset))
+                for anchor, block, copies, base, offset, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    names.append((anchor, block, copies, base + offset))
                     yield data, offset
 
         found: dict[int, list[int]] = {}
@@ -328,26 +331,73 @@ def _cut_blocks(length: int):
             for text, need in zip(b.column(0), b.column(1), strict=True):
                 data = text.as_py()
                 for x in need.as_py():
-                    rows.append((x["anchor"], x["block"], x["copies"], x["at"] - x["lo"], data[x["lo"] : x["hi"] + length]))
+                    rows.append((x["anchor"], x["block"], x["copies"], 0, x["at"] - x["lo"], data[x["lo"] : x["hi"] + length], x["hot"]))
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["anchor", "block", "copies", "offset", "data"])
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[*PIECES, "hot"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000) -> DataFrame:
+PIECES = ["anchor", "block", "copies", "base", "offset", "data"]
+
+
+def _open_groups(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n): groups of several pieces one of which occurs once; nothing else is left to decide."""
+    return pieces.groupBy(*keys).agg(F.count("*").alias("n"), F.min("copies").alias("least")).where("n > 1 and least = 1").select(*keys, "n")
+
+
+def split_groups(pieces: DataFrame, length: int, width: int, limit: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Splits groups of over ``limit`` pieces around one anchor until none is left.
+
+    A piece's strings start up to ``width`` bytes before the anchor. This range of distances is halved, and each piece
+    with it. Equal halves are counted: a half that occurs twice is repeated whole. Halves are grouped anew by the bytes
+    that all strings of their range share, which grow longer, so a group either falls apart or its pieces become
+    equal. Returns groups to sort, and repeated (anchor, block, first, last). After log2(width) rounds a piece is one
+    string, and then there is nothing left to split.
+    """
+    to_sort, repeated = [], []
+    n = F.length("data") - length + 1
+    pieces = pieces.withColumn("near", F.lit(0)).withColumn("far", F.lit(width))
+    while not pieces.isEmpty():
+        parts = pieces.withColumn("mid", F.floor((F.col("near") + F.col("far")) / 2).cast("int")).withColumn("least", F.col("offset") - n + 1)
+        ahead = F.col("offset") - F.greatest(F.col("mid"), F.col("least") - 1)
+        skip = F.greatest(F.lit(0), F.col("offset") - F.col("mid"))
+        left = F.struct("base", "offset", F.substring("data", F.lit(1), ahead - 1 + length).alias("data"), (F.col("mid") + 1).alias("near"), "far")
+        right = F.struct((F.col("base") + skip).alias("base"), (F.col("offset") - skip).alias("offset"), F.substring("data", skip + 1, F.length("data")).alias("data"), "near", F.col("mid").alias("far"))
+        both = F.array_compact(F.array(F.when((F.col("offset") > F.col("mid")), left), F.when(F.col("least") <= F.col("mid"), right)))
+        halves = parts.where("near < far").select("anchor", "block", "copies", F.explode(both).alias("h")).select("anchor", "block", "copies", "h.*")
+        named = materialize(halves.withColumn("name", F.xxhash64("data", "near")))
+        counts = named.groupBy("anchor", "name").agg(F.sum("copies").alias("total"), F.min(F.struct("block", "base")).alias("one"))
+        joined = named.join(counts, ["anchor", "name"])
+        repeated.append(materialize(joined.where("total > 1").select("anchor", "block", F.col("base").alias("first"), (F.col("base") + n - 1).alias("last"))))
+        distinct = joined.where((F.col("block") == F.col("one.block")) & (F.col("base") == F.col("one.base"))).withColumn("copies", F.col("total"))
+        core = F.xxhash64("anchor", "near", "far", F.substring("data", F.col("offset") - F.col("near") + 1, F.lit(length) - (F.col("far") - F.col("near"))))
+        grouped = materialize(distinct.select(*PIECES, "near", "far", core.alias("core")))
+        sized = materialize(grouped.join(_open_groups(grouped, ["core"]), "core"))
+        to_sort.append(sized.where(F.col("n") <= limit).select(*PIECES, F.col("core").alias("deal")))
+        pieces = sized.where(F.col("n") > limit).select(*PIECES, "near", "far")
+    return to_sort, repeated
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000, limit: int = GROUP_LIMIT) -> DataFrame:
     """(row_key, spans): byte ranges [from, to) covered by repeated strings, unmerged; rows without any are absent."""
     found = materialize(find_anchors(docs, id_col, text_col, length, gram))
     blocks = materialize(found.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("row_key", "lo", "hi", "at")).alias("one")))
-    open_anchors = blocks.groupBy("anchor").agg(F.count("*").alias("n"), F.min("copies").alias("least")).where("n > 1 and least = 1").select("anchor")
-    rest = blocks.join(open_anchors, "anchor").select("one.row_key", F.struct("anchor", "block", "copies", "one.lo", "one.hi", "one.at").alias("x"))
+    rest = blocks.join(_open_groups(blocks, ["anchor"]), "anchor").select("one.row_key", "n", F.struct("anchor", "block", "copies", "one.lo", "one.hi", "one.at", (F.col("n") > limit).alias("hot")).alias("x"))
     need = rest.groupBy("row_key").agg(F.collect_list("x").alias("need"))
     texts = docs.select(row_key(id_col, text_col).alias("row_key"), F.col(text_col).cast("binary").alias("text"))
-    cut = texts.join(need, "row_key").select("text", "need").mapInArrow(_cut_blocks(length), "anchor long, block long, copies long, offset int, data binary")
-    partial = cut.repartition("anchor").mapInArrow(_shards(length, gram, memory), "anchor long, block long, first int, last int")
-    whole = blocks.where("copies > 1").select("anchor", "block", F.lit(0).alias("first"), F.lit(None).cast("int").alias("last"))
-    repeated = materialize(whole.unionByName(partial))
+    cut = texts.join(need, "row_key").select("text", "need").mapInArrow(_cut_blocks(length), "anchor long, block long, copies long, base int, offset int, data binary, hot boolean")
+    whole = [blocks.where("copies > 1").select("anchor", "block", F.lit(0).alias("first"), F.lit(None).cast("int").alias("last"))]
+    if rest.where(F.col("n") > limit).isEmpty():
+        to_sort = [cut.select(*PIECES, F.col("anchor").alias("deal"))]
+    else:
+        cut = materialize(cut)
+        more, split = split_groups(cut.where("hot").dropDuplicates(["anchor", "block"]).select(*PIECES), length, length - gram, limit)
+        to_sort, whole = [cut.where("not hot").select(*PIECES, F.col("anchor").alias("deal")), *more], [*whole, *split]
+    shards = reduce(DataFrame.unionByName, to_sort).repartition("deal").select(*PIECES)
+    partial = shards.mapInArrow(_shards(length, gram, memory), "anchor long, block long, first int, last int")
+    repeated = materialize(reduce(DataFrame.unionByName, [*whole, partial]))
     last = F.coalesce(F.col("lo") + F.col("last"), F.col("hi"))
     spans = found.join(repeated, ["anchor", "block"]).select("row_key", F.struct((F.col("lo") + F.col("first")).alias("from"), (last + length).alias("to")).alias("span"))
     return spans.groupBy("row_key").agg(F.collect_list("span").alias("spans"))
@@ -381,12 +431,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*head, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000, prefix: str = "") -> DataFrame:
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000, limit: int = GROUP_LIMIT, prefix: str = "") -> DataFrame:
     """The other columns of ``docs`` and, each with ``prefix`` before its name,  n_bytes, n_removed, n_spans, kept_sha256, kept.
 
     kept is the text that stays; the digest is of its bytes, and of a character cut in two nothing stays in kept.
     """
-    spans = repeated_spans(docs, id_col, text_col, length, gram, memory).withColumnRenamed("row_key", "_key")
+    spans = repeated_spans(docs, id_col, text_col, length, gram, memory, limit).withColumnRenamed("row_key", "_key")
     made = [prefix + c for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
     rest = [c for c in docs.columns if c != text_col and c not in made]  # a result takes the place of a column of its name
     keyed = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(rest)], F.col(text_col).cast("binary").alias("_text"), row_key(id_col, text_col).alias("_key"))

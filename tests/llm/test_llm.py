@@ -126,12 +126,13 @@ def slow_cut(texts, length):
     return out
 
 
-@pytest.mark.parametrize("memory", [200_000, 300])
-def test_suffix_cut_equals_brute_force(spark, memory):
+@pytest.mark.parametrize(("memory", "limit"), [(200_000, 100_000), (300, 100_000), (200_000, 3)])
+def test_suffix_cut_equals_brute_force(spark, memory, limit):
     shared, other = prose(8, 40), prose(9, 60)
     texts = [prose(10, 50) + shared + prose(11, 30), shared[20:] + prose(12, 9), prose(13, 20) + other, other + other, "ab" * 300, "é" * 250, "", None, prose(14, 99), prose(14, 99)[:300], "x" + shared[:150]]
+    texts += [prose(20 + k, k) + " " + shared[k : k + 160] + prose(40 + k, 4) for k in range(14)]  # one passage in many surroundings
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = suffix.cut_repeats(df, length=100, gram=32, memory=memory).orderBy("doc_id").collect()
+    got = suffix.cut_repeats(df, length=100, gram=32, memory=memory, limit=limit).orderBy("doc_id").collect()
     assert [(r.n_bytes, r.n_removed, r.kept_sha256) for r in got] == slow_cut(texts, 100)
 
 
