@@ -159,6 +159,44 @@ def test_leaks_exact_near_and_clean(spark, benchmark, odd):
     assert decontaminate.leaks(odd, benchmark).count() == 0
 
 
+def slow_leaks(docs, items):
+    """Best (similarity, start) over every start, for each document and item."""
+    grams = lambda t: [tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)]
+    out = {}
+    for d, text in docs:
+        for i, item in items:
+            doc, want = grams(text), collections.Counter(grams(item))
+            m = sum(want.values())
+            for s in range(len(doc)):
+                window = collections.Counter(doc[s : s + m])
+                both = sum((window & want).values())
+                similar = both / (window.total() + m - both)
+                if similar >= 0.8:
+                    out[d, i] = max(out.get((d, i), (0, 0)), (similar, -s))
+    return {k: (round(v, 9), -s) for k, (v, s) in out.items()}
+
+
+def test_leaks_reordered_equal_brute_force(spark):
+    rng = random.Random(12)
+    long, mid = prose(70, 59).split(), prose(71, 45).split()
+    looped = (prose(72, 7).split() * 7)[:45]  # repeated shingles
+    items = [(1, long), (2, mid), (3, looped), (4, prose(73, 6).split())]
+    halves = long[30:] + long[:30]
+    front = long[-15:] + long[:-15]
+    shapes = [halves, front, long, mid[20:] + mid[:20], mid[-9:] + mid[:-9], looped[5:] + looped[:5], looped * 2, looped[:40], long[:50], long[:53], long[6:], items[3][1] * 2]
+    docs = []
+    for k, shape in enumerate(shapes):
+        docs += [(3 * k, prose(100 + k, 25).split() + shape + prose(200 + k, 25).split()), (3 * k + 1, prose(300 + k, 9).split() + shape), (3 * k + 2, shape + prose(400 + k, 9).split() + rng.choice(shapes))]
+    docs, items = [(d, " ".join(w)) for d, w in docs], [(i, " ".join(w)) for i, w in items]
+    want = slow_leaks(docs, items)
+    assert {(0, 1), (3, 1), (9, 2)} <= want.keys() and len(want) < len(docs) * len(items)
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start) for r in decontaminate.leaks(df.union(df.limit(3)), bench, radius=63).collect()}
+    assert got == want
+    near = decontaminate.leaks(df, bench).collect()
+    assert {(0, 1), (3, 1), (9, 2)} <= {(r.doc_id, r.item_id) for r in near} and all(r.distance <= 19 for r in near)
+
+
 # 2
 
 
