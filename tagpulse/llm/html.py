@@ -10,7 +10,7 @@ other containers for its article and other kinds of boilerplate (``MAIN``, ``OTH
 it, holding text of the same pages, so that it is the structure and not these pages' layout that is learned.
 
 Defined cases: null html is empty; pages without blocks or without main text give an empty text; unclosed tags
-end with their container; repeated rows each get a row; null ids and urls are kept; extra columns are ignored.
+end with their container (unclosed script, style, textarea and title with the page); repeated rows each get a row; null ids and urls are kept; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +30,11 @@ from .common import table
 from .sample import Adam, sigmoid
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
+#: Elements that go with their content where they are closed; without an end tag, only the tag itself goes.
+DROPPED = frozenset("noscript template svg iframe select".split())
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -67,6 +69,21 @@ def _name(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _dropped(tokens: list[re.Match]) -> dict[int, int]:
+    """Start of each closed element of ``DROPPED`` in the page, to its end; nested ones of a name are paired inside out."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in tokens:
+        tag = (m[2] or "").lower()
+        if tag in DROPPED:
+            if m.string[m.start() + 1] == "/":
+                if opened.get(tag):
+                    out[opened[tag].pop()] = m.end()
+            elif not (tag == "svg" and m[0].endswith("/>")):
+                opened.setdefault(tag, []).append(m.start())
+    return out
+
+
 def blocks(html: str | None) -> list[Block]:
     """(path tokens, text, share of text in links) of each block that has text, in page order."""
     html = html or ""
@@ -84,11 +101,15 @@ def blocks(html: str | None) -> list[Block]:
         links = 0
 
     at = 0
-    for m in TOKEN.finditer(html):
+    tokens = list(TOKEN.finditer(html))
+    dropped = _dropped(tokens)
+    for m in tokens:
+        if m.start() < at:
+            continue
         if m.start() > at:
             parts.append(html[at : m.start()])
             links += in_link * (m.start() - at)
-        at = m.end()
+        at = dropped.get(m.start(), m.end())
         tag = (m[2] or "").lower()
         if not tag:
             continue

@@ -315,6 +315,20 @@ def test_html_blocks():
     assert html.blocks(None) == html.blocks("") == html.blocks("<div></div>") == []
 
 
+@pytest.mark.parametrize(
+    ("inside", "want"),
+    [
+        ("<svg-icon name=x></svg-icon>b", "a b c"), ("<title-bar>b</title-bar>", "a b c"), ("<select-menu>b", "a b c"), ("<template-x>b</template-x>", "a b c"),
+        ('<svg class="i" />b', "a b c"), ('<svg class="i"/>b<svg><path d="x"/><text>no</text></svg>', "a b c"), ("<select><option>b", "a b c"), ("<noscript>b", "a b c"), ("<template>b", "a b c"), ("<iframe src=x>b", "a b c"),
+        ("<svg>b<svg><text>no</text></svg>", "a b c"), ("<svg><svg>no</svg>no</svg>b", "a b c"), ("<select><option>no</select>b", "a b c"), ("<SVG\n>no</svg >b", "a b c"),
+        ("<script>'<svg>'</script>b<svg/>", "a b c"), ("b<script>no", "a b"), ("b<style>no", "a b"), ("b<title>no", "a b"), ("b<textarea>no", "a b"),
+    ],
+)
+def test_html_raw_elements_end(inside, want):
+    page = html.blocks(f"<article><p>a </p>{inside}<p>c</p></article>")
+    assert " ".join(t for _, t, _ in page) == want
+
+
 def test_html_extraction(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     some = pages.limit(40).unionByName(spark.createDataFrame([(None, None, None), (90001, "u", ""), (90002, "u", "<nav>menu</nav>"), (90003, "u", "<article><p>" + prose(7, 9000) + "</p></article>")], "page_id long, url string, html string"))
