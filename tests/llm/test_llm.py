@@ -276,6 +276,21 @@ def test_image_copies(spark):
     assert images.find_copies(df.limit(0)).count() == 0
 
 
+def test_image_search_recall_against_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((60, 64))
+    rows = [(20 * k + j, [float(x) for x in v + sigma * rng.standard_normal(64)]) for k, v in enumerate(base) for j, sigma in enumerate((0, 0.1, 0.2, 0.3, 0.4, 0.5))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    classes, asked, stored = images.corners(df)
+    pairs = lambda out: {(r.query_class, r.class_id): r.votes for r in out.collect()}
+    want = pairs(images.agree(asked.repartition(8).crossJoin(F.broadcast(stored)).where(images.close()), classes))
+    got = pairs(images.find_copies(df))
+    near = [k for k in want if k[0] != k[1]]
+    assert len(near) > 100 and got.items() <= want.items()
+    print("recall", len(got) / len(want), len(want), "near copies", sum(k in got for k in near) / len(near), len(near))
+    assert len(got) / len(want) >= 0.9 and sum(k in got for k in near) / len(near) >= 0.9
+
+
 def test_image_recall_against_brute_force():
     rng = np.random.default_rng(4)
     vectors = rng.standard_normal((40, 64)).astype(np.float32)
