@@ -128,6 +128,12 @@ def all_posts_totals(spark, d):
     return C.daily_totals(posts, FIRST, include_deleted=True, max_id=5000).crossJoin(F.broadcast(C.next_id(posts)))  # one row
 
 
+def every_post_totals(spark, d):
+    """As all_posts_totals, over all posts: the bound is the table's next id."""
+    posts = Index(spark, d).view("posts")
+    return C.daily_totals(posts, FIRST, include_deleted=True).crossJoin(F.broadcast(C.next_id(posts)))  # one row
+
+
 def tag_monthly(spark, d):
     return Index(spark, d).months
 
@@ -226,6 +232,14 @@ def clustered_read(spark, d):
     return spark.read.parquet(path).where("tag_id between 20 and 120")
 
 
+def clustered_whole(spark, d):
+    """Daily cells written clustered, all of them read back."""
+    path = new_path(spark, "clustered")
+    write_clustered(Index(spark, d).daily, path, ["tag_id", "day"])
+    require_artifacts(spark, [path])
+    return spark.read.parquet(path)
+
+
 def artifact_rows(spark, d):
     x = Index(spark, d)
     paths = {n: new_path(spark, n) for n in ("dim_tag", "fact_total_monthly")}
@@ -243,8 +257,8 @@ def event_share(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    tag_dim, alias_resolve, tag_lookup, daily_cells, daily_totals, all_posts_totals, tag_monthly, total_monthly, category_monthly, share, relative, relative_top_ten, series_arrays, dense_series, full_axis_series,
-    dense_categories, complete_months, moving_average, smooth_local_linear, smoothed_peak, value_at, chart, ingest_incremental, clustered_read, artifact_rows, event_share,
+    tag_dim, alias_resolve, tag_lookup, daily_cells, daily_totals, all_posts_totals, every_post_totals, tag_monthly, total_monthly, category_monthly, share, relative, relative_top_ten, series_arrays, dense_series, full_axis_series,
+    dense_categories, complete_months, moving_average, smooth_local_linear, smoothed_peak, value_at, chart, ingest_incremental, clustered_read, clustered_whole, artifact_rows, event_share,
 )}
 
 RELATIVE = "SELECT name, category, month, posts, round(s / (1 / n_eff - s * s), 9) AS relative FROM shares JOIN categories c USING (category, month) WHERE active_tags > 1"
@@ -283,3 +297,5 @@ ORACLE_SQL = {
     "artifact_rows": sql("SELECT 'dim_tag' AS name, count(*) AS rows, true AS has_bytes FROM dim UNION ALL SELECT 'fact_total_monthly', count(*), true FROM totals", *ALL),
     "event_share": "SELECT *, round(posts * 10000 / sum(posts) OVER (PARTITION BY day), 6) AS share FROM (SELECT event_type AS name, CAST(ts AS DATE) AS day, count(*) AS posts FROM events GROUP BY 1, 2)",
 }
+ORACLE_SQL["every_post_totals"] = ORACLE_SQL["all_posts_totals"].replace("id < 5000 AND ", "")
+ORACLE_SQL["clustered_whole"] = ORACLE_SQL["daily_cells"]

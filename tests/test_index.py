@@ -59,6 +59,20 @@ def test_totals_count_posts(tables):
     assert C.daily_totals(tables[1], include_deleted=True).where("day = '2005-01-02'").first().posts == 2
 
 
+def test_totals_of_every_post(spark, tables, monkeypatch, tmp_path):
+    from tagpulse.plans import index_queries as Q
+    from tagpulse.sources.sinks import write_clustered
+
+    more = spark.createDataFrame([(7000, "2005-01-03T00:00:00-05:00", "solo", 1, 1, 0)], tables[1].schema)
+    posts = tables[1].where("id <> 5").union(more)
+    assert {str(r.day): r.posts for r in C.daily_totals(posts, include_deleted=True, max_id=3).collect()} == {"2005-01-01": 2}
+    monkeypatch.setattr(Q.Index, "view", lambda self, name: posts)
+    assert {str(r.day): (r.posts, r.max_id) for r in Q.every_post_totals(spark, "x").collect()} == {"2005-01-01": (2, 7001), "2005-01-02": (2, 7001), "2005-01-03": (1, 7001)}
+    write_clustered(spark.range(300).withColumnRenamed("id", "tag_id"), str(tmp_path / "c"), ["tag_id"])
+    cells = spark.read.parquet(str(tmp_path / "c"))
+    assert cells.count() == 300 and cells.where("tag_id between 20 and 120").count() == 101
+
+
 def test_ingest_in_slices_equals_one_shot(spark, tables, tmp_path):
     source, out, ckpt = (str(tmp_path / n) for n in ("posts", "out", "ckpt"))
     tables[1].repartition(3).write.parquet(source)
