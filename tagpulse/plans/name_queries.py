@@ -285,11 +285,16 @@ def exact_tag(spark, d):
     return V.find(dim(spark, d), "part_17").select("tag_id", "name", "post_count")
 
 
-def search_many(spark, d):
-    queries = spelled(spark, d).where("k % 40 = 0").select(F.explode(F.array(F.concat(F.lit("RT_"), F.col("k").cast("string")), F.substring("hant", 1, 3))).alias("query"))
+def search_many(spark, d, every=40):
+    queries = spelled(spark, d).where(f"k % {every} = 0").select(F.explode(F.array(F.concat(F.lit("RT_"), F.col("k").cast("string")), F.substring("hant", 1, 3))).alias("query"))
     return V.search_many(_search_rows(spark, d), queries)
 
 
+def search_many_whole(spark, d):
+    """As search_many, for the whole query set: every row whose key is divisible by 20."""
+    return search_many(spark, d, 20)
+
+
 def display_name(spark, d):
     return V.display(folded(spark, d), "zh_hans")
 
@@ -437,7 +442,7 @@ def accept_translations(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     slug_functions, day_functions, script_class, punctuation, brackets_and_slugs, iteration_mark, convert_text, glyph_repair, bucket_aliases, pick_names, ambiguous_tags, build_map, alias_pools, official_picks, layer_fold, name_slots, display_names, disambiguate,
-    inherited_names, wrong_script, finished_names, names_list, search_terms, search_one, exact_tag, search_many, display_name, language_coverage, category_coverage, serving_stats, judge_answers, confirmation_rate, reason_report, merge_answers, new_collisions,
+    inherited_names, wrong_script, finished_names, names_list, search_terms, search_one, exact_tag, search_many, search_many_whole, display_name, language_coverage, category_coverage, serving_stats, judge_answers, confirmation_rate, reason_report, merge_answers, new_collisions,
     shared_values, judge_proposals, strip_qualifier, format_warnings, merge_rejections, hand_conflicts, review_targets, review_batches, most_used, missing_batches, accept_translations,
 )}
 
@@ -518,3 +523,4 @@ ORACLE_SQL = {
         """SELECT tag, name, CASE WHEN name = '' THEN 'empty' WHEN name = tag THEN 'same-as-slug' WHEN k % 4 <> 0 THEN 'no-han' END AS reason FROM (
         SELECT tag, k, CASE k % 4 WHEN 0 THEN hans WHEN 1 THEN tag WHEN 2 THEN '' ELSE latin END AS name FROM spelled JOIN tags t ON t.name = spelled.tag WHERE category IN (0, 5))""", views=BOTH),
 }
+ORACLE_SQL["search_many_whole"] = ORACLE_SQL["search_many"].replace("k % 40 = 0", "k % 20 = 0")

@@ -124,3 +124,14 @@ def test_readers(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_alias_pool(spark, str(tmp_path / "pool.json"), spark.createDataFrame([("a",)], "tag string"))
     assert readers.read_overrides(spark, put("o.json", {"n": ["ja"], "m": "no"})).first().langs == ["ja"]
+
+
+def test_search_takes_every_twentieth_key(spark, monkeypatch):
+    from tagpulse.plans import name_queries as Q
+
+    asked = []
+    monkeypatch.setattr(Q, "spelled", lambda s, d: s.range(1, 101).selectExpr("id AS k", "'abc' AS hant"))
+    monkeypatch.setattr(Q, "_search_rows", lambda s, d: None)
+    monkeypatch.setattr(Q.V, "search_many", lambda rows, queries: asked.append({r.query for r in queries.collect()}))
+    Q.search_many_whole(spark, "x")
+    assert asked == [{"abc", "RT_20", "RT_40", "RT_60", "RT_80", "RT_100"}]
