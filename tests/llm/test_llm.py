@@ -379,6 +379,16 @@ def test_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns) and key(got) == key(want)
 
 
+def test_mixed_repeats_lose_no_word(spark):
+    rows = [(1, "w " * 7, "a", k) for k in range(5)] + [(1, "w " * 7, s, 0) for s in ("b", "c", None)] + [(2, "v " * 50, "a", 0), (3, "u " * 90, "b", 0), (None, "x " * 11, "c", 0), (4, "y " * 211, "c", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+    for k in (3, 8, 12):
+        part = spark.createDataFrame(rows[:k], df.schema)
+        want = {r.source: (r.t, r.source_size) for r in mixing.mix(part).groupBy("source", "source_size").agg(F.sum("taken").alias("t")).collect() if r.t}
+        got = {r.source: (r.t, r.source_size) for r in corpus_pipeline.mix_sources(spark, part, "x").groupBy("source", "source_size").agg(F.sum("taken").alias("t")).collect()}
+        assert got == want
+
+
 def test_pipeline_runs_whole(spark, documents):
     out = corpus_pipeline.run(spark, DATA)
     assert set(documents.columns) < set(out.columns) and 0 < out.count() < documents.count()
