@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import written
+from ..sources.shared import discard, written
 
 
 DOUBLINGS = 3  # rounds of doubling between two writes
@@ -31,9 +31,11 @@ def resolve_aliases(edges: DataFrame, order: str | None = None, max_depth: int |
     step = written(edges.groupBy("antecedent_name").agg(last.alias("next")).withColumn("least", F.least("antecedent_name", "next")))
     count, before = step.count(), None
     for _ in range(math.ceil((math.log2(max(2, min(count, max_depth or count))) + 1) / DOUBLINGS) + 1):
+        old = step
         for _ in range(DOUBLINGS):
             step = _double(step)
         step = written(step)
+        discard(old)
         now = step.agg(F.sum(F.xxhash64("antecedent_name", "next", "least").cast("decimal(38,0)"))).first()
         if now == before:
             break
