@@ -1,31 +1,14 @@
-"""Helpers shared by the operators: tables in the cluster's shared folder, graph components."""
+"""Helpers shared by the operators: graph components, and the library's tables in the cluster's shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import discard
+from ..sources.shared import written as materialize
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one is set only where none is configured."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, survives executor loss."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["connected_components", "discard", "materialize", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +34,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         star = both.where("v > u").join(_min_neighbour(both), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         down = star.where("a <> b").distinct().select(F.col("a").alias("u"), F.col("b").alias("v"))
         joined = down.join(_min_neighbour(down), "u")
-        edges = materialize(joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(joined.select("u", "m")).where("a <> b").distinct())
+        old, edges = edges, materialize(joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(joined.select("u", "m")).where("a <> b").distinct())
+        discard(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

@@ -3,21 +3,22 @@
 A byte goes if a ``length``-byte string that covers it also starts anywhere else in the corpus (UTF-8 bytes,
 matches inside one document included, never across documents, judged on the input).
 
-Sorting every suffix of a corpus is not needed to know that. As in induced sorting, a sample of the suffixes is
-sorted first and the order of the others follows from theirs:
+Sorting every suffix of a corpus is not needed to know that. As in induced sorting, a sample of places is picked by the
+text alone, only what lies around equal samples is sorted, and each suffix is put in order by the one behind it:
 
 1. Sample. Every string of ``length`` bytes is anchored at its ``gram``-byte substring of least hash (a minimizer),
    a choice that depends on the string alone, so equal strings are anchored alike. The strings with one anchor
    occurrence start at consecutive bytes and form a block.
 2. Names. Blocks are named by hash and counted. A block that occurs twice is repeated whole; an anchor of one
    block only repeats nothing. Copies of any number meet as counts, combined before the shuffle.
-3. Induction. What is left, different blocks around equal anchors, is dealt to shards by anchor. A shard sorts the
-   suffixes that start at anchors, with common-prefix values, through sorted runs on disk that are merged. Then the
-   suffixes one byte further left are induced from them, again and again: (preceding byte, rank) enters a
-   priority queue with the common-prefix value, and leaves it in order. The queue keeps one file for each byte
-   value beyond its memory limit, so a shard may be far larger than memory.
-   A string is repeated when a neighbour in the order shares ``length`` bytes with it. Groups around one anchor that
-   are too large for a task are split before (``split_groups``).
+3. Induction. What is left, different blocks around equal anchors, is dealt to shards by anchor. A shard lays its
+   blocks out on disk by column, aligned at the anchor. The order of the suffixes that start in a column follows from
+   the order of those one column to the right: (byte, rank behind it) enters a priority queue together with the
+   common-prefix value, and leaves it in order. So the order is carried from the blocks' ends, where all suffixes are
+   empty, through the anchors to the blocks' first bytes. A string is repeated when a neighbour in the order shares
+   ``length`` bytes with it. The queue keeps a file for each byte value beyond its memory limit; a task holds about 10
+   bytes for each block of up to 2 * length - gram bytes, so a shard may be far larger than memory.
+   Groups around one anchor that are too large for a task are split before (``split_groups``).
 
 Defined cases: null text is empty; texts shorter than ``length`` keep all; repeated rows are copies of each other
 and lose all their strings; null ids are kept; an empty table gives an empty result; extra columns are ignored.
@@ -26,8 +27,6 @@ and lose all their strings; null ids are kept; an empty table gives an empty res
 from __future__ import annotations
 
 import hashlib
-import heapq
-import pickle
 import tempfile
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -39,10 +38,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import discard, materialize, table
 
 LENGTH, GRAM = 400, 128
-GROUP_LIMIT = 100_000  # different blocks around one anchor that one task sorts; larger groups are split first
+GROUP_LIMIT = 1000  # different blocks around one anchor that one task sorts; larger groups are split first
+ROWS = 8192  # blocks that are laid out on disk at once
 SLAB = 1 << 19  # bytes hashed at once; longer texts go in overlapping slabs
 BASE = 0x9E3779B97F4A7C15 | 1
 ANCHORS = "row_key long, anchor long, block long, lo int, hi int, at int"
@@ -119,43 +119,46 @@ class ByteQueue:
     """
 
     def __init__(self, folder: str, limit: int):
-        self.folder, self.limit, self.held = Path(folder), limit, 0
+        self.folder, self.limit, self.held = folder, limit, 0
         self.memory: dict[int, list[np.ndarray]] = {}
-        self.files: set[int] = set()
-        self.passed = np.zeros(256, np.int64)  # least common prefix since the bucket's last entry; 0: none yet
+        self.files: dict[int, Path] = {}
+        self.passed = np.zeros(256, np.int64)  # least common prefix since the bucket's last entry
         self.seen = np.zeros(256, bool)
 
-    def push(self, byte: np.ndarray, keep: np.ndarray, suffix: np.ndarray, lcp: np.ndarray) -> None:
-        """One chunk in rank order; lcp[i] is shared with the suffix before it. Only ``keep`` suffixes go on."""
-        at = np.flatnonzero(keep)
-        if len(at):
-            order = at[np.argsort(byte[at], kind="stable")]
-            of = byte[order]
-            shared = np.empty(len(order), np.int64)
-            shared[1:] = np.minimum.reduceat(np.append(lcp, 1 << 40), order + 1)[:-1] if len(order) > 1 else 0
-            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-            so_far = np.minimum.accumulate(lcp)
-            heads = of[first]
-            shared[first] = np.where(self.seen[heads], np.minimum(self.passed[heads], so_far[order[first]]), -1)
-            entries = np.stack([suffix[order], shared + 1], axis=1)
-            after = np.minimum.accumulate(np.append(lcp, 1 << 40)[::-1])[::-1]  # least value from here on
-            np.minimum(self.passed, so_far[-1], out=self.passed)
-            ends = np.r_[first[1:], len(order)]
-            self.passed[heads] = after[order[ends - 1] + 1]
-            self.seen[heads] = True
-            for c, a, b in zip(heads.tolist(), first.tolist(), ends.tolist(), strict=True):
-                self.memory.setdefault(c, []).append(entries[a:b])
-            self.held += len(order)
-            if self.held > self.limit:
-                self.spill()
-        elif len(lcp):
+    def push(self, byte: np.ndarray, suffix: np.ndarray, lcp: np.ndarray) -> None:
+        """One chunk in rank order; lcp[i] is shared with the suffix before it. Suffixes of negative ``byte`` end here."""
+        at = np.flatnonzero(byte >= 0)
+        if not len(at):
             np.minimum(self.passed, lcp.min(), out=self.passed)
+            return
+        order = at[np.argsort(byte[at], kind="stable")]
+        of = byte[order]
+        shared = np.empty(len(order), np.int64)
+        shared[1:] = np.minimum.reduceat(np.append(lcp, 1 << 40), order + 1)[:-1] if len(order) > 1 else 0
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        # within a bucket the values from one entry to the next count; reduceat does not span a descent in ``order``
+        so_far = np.minimum.accumulate(lcp)
+        heads = of[first]
+        shared[first] = np.where(self.seen[heads], np.minimum(self.passed[heads], so_far[order[first]]), -1)
+        entries = np.stack([suffix[order], shared + 1], axis=1)
+        after = np.minimum.accumulate(np.append(lcp, 1 << 40)[::-1])[::-1]  # least value from here on
+        np.minimum(self.passed, so_far[-1], out=self.passed)
+        ends = np.r_[first[1:], len(order)]
+        self.passed[heads] = after[order[ends - 1] + 1]
+        self.seen[heads] = True
+        for c, a, b in zip(heads.tolist(), first.tolist(), ends.tolist(), strict=True):
+            self.memory.setdefault(c, []).append(entries[a:b])
+        self.held += len(order)
+        if self.held > self.limit:
+            self.spill()
 
     def spill(self) -> None:
+        if not self.files:
+            self.folder = tempfile.mkdtemp(dir=self.folder)
         for c, parts in self.memory.items():
-            with (self.folder / str(c)).open("ab") as out:
+            path = self.files.setdefault(c, Path(self.folder) / str(c))
+            with path.open("ab") as out:
                 np.concatenate(parts).tofile(out)
-            self.files.add(c)
         self.memory, self.held = {}, 0
 
     def pop_all(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -176,7 +179,7 @@ class ByteQueue:
     def _parts(self) -> Iterator[np.ndarray]:
         for c in sorted({*self.memory, *self.files}):
             if c in self.files:
-                path = self.folder / str(c)
+                path = self.files[c]
                 for start in range(0, path.stat().st_size, 16 * self.limit):
                     yield np.fromfile(path, np.int64, 2 * self.limit, offset=start).reshape(-1, 2)
                 path.unlink()
@@ -184,142 +187,93 @@ class ByteQueue:
                 yield np.concatenate(self.memory[c])
 
 
-def common_prefix(a: bytes, b: bytes) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    x, y = np.frombuffer(a, np.uint8, n), np.frombuffer(b, np.uint8, n)
-    return int(np.argmax(x != y))
-
-
-def sorted_suffixes(items: Iterable[tuple[bytes, int]], folder: str, run_size: int) -> Iterator[tuple[bytes, int]]:
-    """External merge sort: sorted runs on disk, merged by a priority queue."""
-    runs: list[Path] = []
-    batch: list[tuple[bytes, int]] = []
-
-    def close() -> None:
-        batch.sort()
-        path = Path(folder) / f"run{len(runs)}"
-        with path.open("wb") as out:
-            for x in batch:
-                pickle.dump(x, out)
-        runs.append(path)
-        batch.clear()
-
-    def read(path: Path) -> Iterator[tuple[bytes, int]]:
-        with path.open("rb") as f:
-            while True:
-                try:
-                    yield pickle.load(f)
-                except EOFError:
-                    return
-
-    for x in items:
-        batch.append(x)
-        if len(batch) >= run_size:
-            close()
-    if not runs:
-        yield from sorted(batch)
-        return
-    close()
-    yield from heapq.merge(*map(read, runs))
-
-
-def induce(blocks: Iterable[tuple[bytes, int]], length: int, width: int, memory: int = 200_000) -> Iterator[tuple[int, int]]:
-    """(block number, distance) of each repeated string that starts ``distance`` bytes before its block's anchor.
-
-    ``blocks`` gives (bytes, offset of the anchor). At most ``memory`` suffix tuples are held at a time; blocks'
-    bytes left of the anchor lie in a file by distance, so each step reads one row of it.
+class Shard:
+    """A shard's blocks on disk: their bytes by column, aligned at the anchor (column ``width``), and their names."""
+
+    def __init__(self, folder: str, width: int, length: int):
+        self.folder, self.width, self.columns, self.size = Path(folder), width, width + length, 0
+        self.parts: list[np.ndarray] = []
+        self.data, self.names = np.zeros((ROWS, self.columns), np.int16), np.zeros((ROWS, 4), np.int64)
+        self.held = 0
+
+    def add(self, data: bytes, offset: int, name: tuple[int, int, int, int]) -> None:
+        """A block whose anchor is at ``offset``; ``name`` is (anchor, block, copies, place of the anchor from the block's first string)."""
+        first = self.width - offset
+        self.data[self.held, first : first + len(data)] = np.frombuffer(data, np.uint8).astype(np.int16) + 1
+        self.names[self.held] = name
+        self.held += 1
+        self.size += 1
+        if self.held == ROWS:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            with (self.folder / "names").open("ab") as out:
+                self.names[: self.held].tofile(out)
+            path = self.folder / f"part{len(self.parts)}"
+            np.ascontiguousarray(self.data[: self.held].T).tofile(path)
+            self.parts.append(np.memmap(path, np.int16, "r", shape=(self.columns, self.held)))
+            self.data[:] = 0
+            self.held = 0
+
+    def column(self, c: int) -> np.ndarray:
+        """The blocks' bytes in a column; -1 where a block has none."""
+        return np.concatenate([p[c] for p in self.parts]) - 1
+
+    def name(self, blocks: np.ndarray) -> np.ndarray:
+        return np.memmap(self.folder / "names", np.int64, "r", shape=(self.size, 4))[blocks]
+
+
+def induce(shard: Shard, length: int, memory: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(blocks, least, greatest): the strings that start least..greatest bytes before these blocks' anchors are repeated.
+
+    Suffixes are put in order column by column, from the last to the first; at most about ``memory`` are held at a time.
     """
-    with tempfile.TemporaryDirectory() as folder:
-        lefts: list[np.ndarray] = []
-        reach: list[int] = []
-        left_file = Path(folder) / "left"
-
-        def rights() -> Iterator[tuple[bytes, int]]:
-            for k, (data, offset) in enumerate(blocks):
-                row = np.zeros(width, np.uint8)
-                row[:offset] = np.frombuffer(data, np.uint8, offset)[::-1]
-                lefts.append(row)
-                reach.append(offset)
-                if len(lefts) >= memory // 4:
-                    flush()
-                yield data[offset:], k
-
-        def flush() -> None:
-            if lefts:
-                with left_file.open("ab") as out:
-                    np.stack(lefts).tofile(out)
-                lefts.clear()
-
-        before, chunk = None, []
-        (Path(folder) / "order").mkdir()
-        first: list[tuple[np.ndarray, np.ndarray]] = []
-        for data, k in sorted_suffixes(rights(), folder, max(1000, memory // 10)):
-            chunk.append((k, 0 if before is None else common_prefix(before, data)))
-            before = data
-            if len(chunk) >= memory:
-                first.append(_stored(chunk, folder, len(first)))
-                chunk = []
-        flush()
-        if chunk:
-            first.append(_stored(chunk, folder, len(first)))
-        if not reach:
-            return
-        m = len(reach)
-        left = np.memmap(left_file, np.uint8, "r", shape=(m, width)) if left_file.exists() else np.zeros((m, width), np.uint8)
-        far = np.array(reach)
-        chunks: Iterable[tuple[np.ndarray, np.ndarray]] = first
-        for step in range(width + 1):
-            behind = ByteQueue(tempfile.mkdtemp(dir=folder), memory)
-            held: tuple[int, int] | None = None  # the last suffix of the chunk before, and what it shares backwards
-            for suffix, lcp in chunks:
-                forward = np.append(lcp[1:], 0)
-                if held is not None and lcp[0] >= length > held[1]:
-                    yield held[0], step
-                hit = (lcp >= length) | (forward >= length)
-                for k in suffix[hit].tolist():
-                    yield k, step
-                held = (int(suffix[-1]), max(int(lcp[-1]), 0))
-                if step < width:
-                    behind.push(left[suffix, step], far[suffix] > step, suffix, lcp)
-            if not behind.seen.any():
-                return
-            chunks = behind.pop_all()
-
-
-def _stored(chunk: list[tuple[int, int]], folder: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A chunk of the first order as two arrays in files."""
-    data = np.array(chunk, np.int64)
-    out = np.lib.format.open_memmap(f"{folder}/order/{n}.npy", "w+", np.int64, data.shape)
-    out[:] = data
-    return out[:, 0], out[:, 1]
+    chunks: Iterable[tuple[np.ndarray, np.ndarray]] = ()
+    behind = np.full(shard.size, -1, np.int16)
+    began = np.full(shard.size, -1, np.int16)
+    for c in range(shard.columns - 1, -2, -1):
+        here = shard.column(c) if c >= 0 else np.full(shard.size, -1, np.int16)
+        queue = ByteQueue(str(shard.folder), memory)
+        ends = np.flatnonzero((here >= 0) & (behind < 0))  # with nothing behind them: before all others
+        for at in range(0, len(ends), memory):
+            some = ends[at : at + memory]
+            queue.push(here[some], some, np.zeros(len(some), np.int64))
+        repeated, last = np.zeros(shard.size, bool), -1
+        for suffix, lcp in chunks:
+            same = lcp >= length
+            repeated[suffix[same]] = True
+            repeated[np.r_[last, suffix[:-1]][same]] = True
+            last = int(suffix[-1])
+            queue.push(here[suffix], suffix, lcp)
+        distance = shard.width - c - 1
+        if distance >= 0:
+            over = np.flatnonzero((began >= 0) & ~repeated)
+            for d in np.unique(began[over]).tolist():
+                yield over[began[over] == d], d, distance - 1
+            began[over] = -1
+            began[repeated & (began < 0)] = distance
+        chunks, behind = queue.pop_all(), here
+    over = np.flatnonzero(began >= 0)
+    for d in np.unique(began[over]).tolist():
+        yield over[began[over] == d], d, shard.width
 
 
 def _shards(length: int, gram: int, memory: int):
-    """Per shard: (anchor, block, from, to) runs of string starts, counted from the block's first, that are repeated."""
+    """Per shard: (anchor, block, first, last) runs of string starts, counted from the block's first, that are repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[tuple[int, int, int, int]] = []
-
-        def blocks() -> Iterator[tuple[bytes, int]]:
+        with tempfile.TemporaryDirectory() as folder:  # of this task alone
+            shard = Shard(folder, length - gram, length)
             for b in batches:
                 for anchor, block, copies, base, offset, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    names.append((anchor, block, copies, base + offset))
-                    yield data, offset
-
-        found: dict[int, list[int]] = {}
-        for k, distance in induce(blocks(), length, length - gram, memory):
-            if names[k][2] == 1:
-                found.setdefault(k, []).append(names[k][3] - distance)
-        rows: list[tuple[int, int, int, int]] = []
-        for k, starts in found.items():
-            s = np.unique(starts)
-            cut = np.flatnonzero(np.diff(s) > 1)
-            rows += [(names[k][0], names[k][1], int(a), int(b)) for a, b in zip(s[np.r_[0, cut + 1]], s[np.r_[cut, len(s) - 1]], strict=True)]
-        if rows:
-            a, b, x, y = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(x, pa.int32()), pa.array(y, pa.int32())], names=["anchor", "block", "first", "last"])
+                    shard.add(data, offset, (anchor, block, copies, base + offset))
+            shard.flush()
+            for blocks, least, greatest in induce(shard, length, memory) if shard.size else ():
+                for at in range(0, len(blocks), memory):
+                    names = shard.name(blocks[at : at + memory])
+                    anchor, block, _, place = names[names[:, 2] == 1].T  # other blocks are known to be repeated whole
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(block), pa.array((place - greatest).astype(np.int32)), pa.array((place - least).astype(np.int32))], names=["anchor", "block", "first", "last"])
 
     return run
 
@@ -376,6 +330,7 @@ def split_groups(pieces: DataFrame, length: int, width: int, limit: int) -> tupl
         grouped = materialize(distinct.select(*PIECES, "near", "far", core.alias("core")))
         sized = materialize(grouped.join(_open_groups(grouped, ["core"]), "core"))
         to_sort.append(sized.where(F.col("n") <= limit).select(*PIECES, F.col("core").alias("deal")))
+        discard(named, grouped)
         pieces = sized.where(F.col("n") > limit).select(*PIECES, "near", "far")
     return to_sort, repeated
 
@@ -398,6 +353,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = reduce(DataFrame.unionByName, to_sort).repartition("deal").select(*PIECES)
     partial = shards.mapInArrow(_shards(length, gram, memory), "anchor long, block long, first int, last int")
     repeated = materialize(reduce(DataFrame.unionByName, [*whole, partial]))
+    discard(blocks)
     last = F.coalesce(F.col("lo") + F.col("last"), F.col("hi"))
     spans = found.join(repeated, ["anchor", "block"]).select("row_key", F.struct((F.col("lo") + F.col("first")).alias("from"), (last + length).alias("to")).alias("span"))
     return spans.groupBy("row_key").agg(F.collect_list("span").alias("spans"))
@@ -414,27 +370,32 @@ def merge_spans(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        sizes, gone, runs, digests, kept = [], [], [], [], []
-        for text, spans in zip(b.column(b.num_columns - 2), b.column(b.num_columns - 1), strict=True):
-            data, cut = text.as_py() or b"", merge_spans(spans.as_py() or [])
-            ends = [0, *(y for _, y in cut)]
-            rest = b"".join(data[a:z] for a, z in zip(ends, [*(x for x, _ in cut), len(data)], strict=True))
-            sizes.append(len(data))
-            gone.append(len(data) - len(rest))
-            runs.append(len(cut))
-            digests.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest.decode("utf-8", "ignore"))
-        head = [b.column(i) for i in range(b.num_columns - 2)]
-        names = [b.schema.field(i).name for i in range(b.num_columns - 2)]
-        yield pa.RecordBatch.from_arrays([*head, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+def _apply(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, gone, runs, digests, kept = [], [], [], [], []
+            for text, spans in zip(b.column(b.num_columns - 2), b.column(b.num_columns - 1), strict=True):
+                data = text.as_py() or b""
+                cut = [(x, y) for x, y in merge_spans(spans.as_py() or []) if len(data[x:y].split()) >= min_words]
+                ends = [0, *(y for _, y in cut)]
+                rest = b"".join(data[a:z] for a, z in zip(ends, [*(x for x, _ in cut), len(data)], strict=True))
+                sizes.append(len(data))
+                gone.append(len(data) - len(rest))
+                runs.append(len(cut))
+                digests.append(hashlib.sha256(rest).hexdigest())
+                kept.append(rest.decode("utf-8", "ignore"))
+            head = [b.column(i) for i in range(b.num_columns - 2)]
+            names = [b.schema.field(i).name for i in range(b.num_columns - 2)]
+            yield pa.RecordBatch.from_arrays([*head, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return run
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000, limit: int = GROUP_LIMIT, prefix: str = "") -> DataFrame:
-    """The other columns of ``docs`` and, each with ``prefix`` before its name,  n_bytes, n_removed, n_spans, kept_sha256, kept.
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, memory: int = 200_000, limit: int = GROUP_LIMIT, min_words: int = 0, prefix: str = "") -> DataFrame:
+    """The other columns of ``docs`` and, each with ``prefix`` before its name, n_bytes, n_removed, n_spans, kept_sha256, kept.
 
     kept is the text that stays; the digest is of its bytes, and of a character cut in two nothing stays in kept.
+    With ``min_words``, maximal runs of repeated strings that hold fewer words stay.
     """
     spans = repeated_spans(docs, id_col, text_col, length, gram, memory, limit).withColumnRenamed("row_key", "_key")
     made = [prefix + c for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
@@ -442,8 +403,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(rest)], F.col(text_col).cast("binary").alias("_text"), row_key(id_col, text_col).alias("_key"))
     schema = "".join(f"c{k} {f.dataType.simpleString()}, " for k, f in enumerate(docs.select(*rest).schema))
     joined = keyed.join(spans, "_key", "left").drop("_key")
-    return joined.mapInArrow(_apply, f"{schema}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string").toDF(*rest, *made)
+    return joined.mapInArrow(_apply(min_words), f"{schema}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string").toDF(*rest, *made)
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+    """The contract's columns, and as ``text`` what stays of each document."""
+    return cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("kept", "text")

@@ -112,28 +112,67 @@ def test_near_links_lose_nothing(spark):
 # 5
 
 
-def slow_cut(texts, length):
+def slow_cut(texts, length, min_words=0):
     data = [(t or "").encode() for t in texts]
-    count = collections.Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    count = collections.Counter(hash(d[i : i + length]) for d in data for i in range(len(d) - length + 1))
     out = []
     for d in data:
-        gone = np.zeros(len(d), bool)
+        gone = np.zeros(len(d) + 2, bool)
         for i in range(len(d) - length + 1):
-            if count[d[i : i + length]] > 1:
-                gone[i : i + length] = True
-        kept = bytes(np.frombuffer(d, np.uint8)[~gone]) if d else b""
-        out.append((len(d), int(gone.sum()), hashlib.sha256(kept).hexdigest()))
+            if count[hash(d[i : i + length])] > 1:
+                gone[i + 1 : i + 1 + length] = True
+        spans = list(zip(np.flatnonzero(~gone[:-1] & gone[1:]).tolist(), np.flatnonzero(gone[:-1] & ~gone[1:]).tolist(), strict=True))
+        spans = [(a, z) for a, z in spans if len(d[a:z].split()) >= min_words]
+        ends = [0, *(z for _, z in spans)]
+        kept = b"".join(d[a:z] for a, z in zip(ends, [*(a for a, _ in spans), len(d)], strict=True))
+        out.append((len(d), len(d) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
     return out
 
 
-@pytest.mark.parametrize(("memory", "limit"), [(200_000, 100_000), (300, 100_000), (200_000, 3)])
-def test_suffix_cut_equals_brute_force(spark, memory, limit):
+def shared_texts():
     shared, other = prose(8, 40), prose(9, 60)
     texts = [prose(10, 50) + shared + prose(11, 30), shared[20:] + prose(12, 9), prose(13, 20) + other, other + other, "ab" * 300, "é" * 250, "", None, prose(14, 99), prose(14, 99)[:300], "x" + shared[:150]]
-    texts += [prose(20 + k, k) + " " + shared[k : k + 160] + prose(40 + k, 4) for k in range(14)]  # one passage in many surroundings
+    return texts + [prose(20 + k, k) + " " + shared[k : k + 160] + prose(40 + k, 4) for k in range(14)]  # one passage in many surroundings
+
+
+@pytest.mark.parametrize(("memory", "limit"), [(200_000, 1000), (300, 1000), (5, 1000), (200_000, 3)])
+def test_suffix_cut_equals_brute_force(spark, memory, limit):
+    texts = shared_texts()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = suffix.cut_repeats(df, length=100, gram=32, memory=memory, limit=limit).orderBy("doc_id").collect()
-    assert [(r.n_bytes, r.n_removed, r.kept_sha256) for r in got] == slow_cut(texts, 100)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == slow_cut(texts, 100)
+
+
+@pytest.mark.parametrize("limit", [1000, 3])
+def test_suffix_cut_at_production_length(spark, limit):
+    """400 bytes, texts over a slab, a repeat across the slab's border, and every text of the tables."""
+    rows = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").collect()]
+    passage, border = prose(81, 150), prose(82, 90)
+    long = prose(80, 100_000)
+    at = suffix.SLAB - 300
+    assert len(long) > suffix.SLAB + 10_000
+    texts = [*rows, long[:at] + border + long[at:] + passage, prose(83, 40) + border[7:], passage[:700] + prose(84, 30), *(prose(90 + k, k) + passage[k : k + 500] + prose(60 + k, 5) for k in range(12))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix.cut_repeats(df, limit=limit).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == slow_cut(texts, 400)
+
+
+def test_suffix_stage_cuts_planted_passages(spark):
+    """Passages of 51 to 60 words in unrelated documents go, shorter ones and clean documents stay."""
+    rows = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").collect()]
+    passages = [prose(500 + k, 51 + k) for k in range(10)]
+    short = prose(600, 42)
+    unlike = [prose(700 + k, 200) for k in range(40)]
+    planted = [f"{prose(800 + k, 60)} {passages[k % 10]} {prose(900 + k, 60)}" for k in range(30)]
+    texts = [*rows, *unlike, *planted, f"{prose(601, 60)} {short} {prose(602, 60)}", f"{prose(603, 60)} {short} {prose(604, 60)}"]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], DOCS)
+    got = [r.text for r in corpus_pipeline.cut_long_repeats(spark, df, "x").orderBy("doc_id").collect()]
+    n = len(rows) + len(unlike)
+    assert got[len(rows) : n] == unlike and got[n + 30 :] == texts[n + 30 :]
+    for k in range(30):
+        assert passages[k % 10] not in got[n + k] and len(got[n + k]) >= 60 * 2 * 4
+    want = slow_cut(texts, corpus_pipeline.REPEAT_BYTES, corpus_pipeline.REPEAT_WORDS)
+    assert [hashlib.sha256(t.encode()).hexdigest() for t, w in zip(got, want, strict=True) if w[1] == 0] == [w[3] for w in want if w[1] == 0]
 
 
 def test_suffix_query_columns(spark, odd, empty):
