@@ -308,26 +308,54 @@ def test_long_text_is_read_to_its_end():
 def test_image_copies(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.standard_normal(64)], 0) for i in range(80)]
-    rows += [(200, rows[20][1], 0), (201, None, 0), (202, [], 0), (203, [float("nan")] * 64, 0), (None, rows[3][1], 0), (204, [0.0] * 64, 0)]
+    rows += [(200, rows[20][1], 0), (201, None, 0), (202, [], 0), (203, [float("nan")] * 64, 0), (None, rows[3][1], 0), (204, [0.0] * 64, 0), (None, rows[40][1], 0), (None, [float(x) for x in rng.standard_normal(64)], 0), (206, rows[20][1][:32], 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = {(r.query_class, r.class_id): r.n_rows for r in images.find_copies(df).collect()}
-    assert got == {(0, 0): 1, (20, 20): 2, (40, 40): 1, (60, 60): 1}
+    assert got == {(0, 0): 1, (20, 20): 2, (40, 40): 2, (60, 60): 1}
+    classes, of_vector = images.image_classes(df)
+    own = collections.Counter((r.vec_id, r.class_id) for r in images.members(df, of_vector).collect())
+    assert own == collections.Counter([*((i, i) for i in range(80)), (200, 20), (201, None), (202, None), (203, None), (204, None), (206, 206), (None, 3), (None, 40), (None, None)])
     assert images.find_copies(df.limit(0)).count() == 0
 
 
-def test_image_search_recall_against_all_pairs(spark):
+@pytest.fixture(scope="module")
+def near_images(spark):
+    """60 query images, each with near copies of graded noise, and one group of 150 near copies."""
     rng = np.random.default_rng(7)
     base = rng.standard_normal((60, 64))
     rows = [(20 * k + j, [float(x) for x in v + sigma * rng.standard_normal(64)]) for k, v in enumerate(base) for j, sigma in enumerate((0, 0.1, 0.2, 0.3, 0.4, 0.5))]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    classes, asked, stored = images.corners(df)
+    rows += [(5000 + k, [float(x) for x in base[0] + 0.1 * rng.standard_normal(64)]) for k in range(150)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_image_search_recall_against_all_pairs(spark, near_images):
+    """The join against comparing all descriptor pairs with the same vote, every vector for itself."""
+    some = near_images.where("vec_id < 5000")
+    classes, _ = images.image_classes(some, near=False)
+    asked, stored = images.corners(classes)
     pairs = lambda out: {(r.query_class, r.class_id): r.votes for r in out.collect()}
     want = pairs(images.agree(asked.repartition(8).crossJoin(F.broadcast(stored)).where(images.close()), classes))
-    got = pairs(images.find_copies(df))
+    got = pairs(images.find_copies(some, near=False))
     near = [k for k in want if k[0] != k[1]]
     assert len(near) > 100 and got.items() <= want.items()
     print("recall", len(got) / len(want), len(want), "near copies", sum(k in got for k in near) / len(near), len(near))
     assert len(got) / len(want) >= 0.9 and sum(k in got for k in near) / len(near) >= 0.9
+    # near-equal images as one class: what the rows' own search finds, their classes find
+    classes, of_vector = images.image_classes(some)
+    own = {r.vec_id: r.class_id for r in images.members(some, of_vector).collect()}
+    found = pairs(images.find_copies(some))
+    kept = sum((own[q], own[c]) in found for q, c in want) / len(want)
+    print("by classes", kept, classes.count())
+    assert kept >= 0.9
+
+
+def test_near_equal_images_are_one_class(spark, near_images):
+    rows = {r.vec_id: np.array(r.embedding) / np.linalg.norm(r.embedding) for r in near_images.collect()}
+    classes, of_vector = images.image_classes(near_images)
+    own = {r.vec_id: r.class_id for r in images.members(near_images, of_vector).collect()}
+    assert all(float(rows[k] @ rows[c]) >= images.SAME - 1e-6 for k, c in own.items()) and all(own[c] == c for c in own.values())
+    assert len({own[k] for k in own if k >= 5000}) <= 3
+    assert sum(r.n_rows for r in classes.collect()) == len(rows)
 
 
 def test_image_recall_against_brute_force():
