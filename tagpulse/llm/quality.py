@@ -1,10 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
-Words are split at white space, case kept. A word's vector is the mean of its hashed word vector and its hashed
-character n-gram vectors; a word that repeats the one before adds a word bigram of its own, ``AGAIN``, whichever word
-it is, since the bigrams of rare words could not be learned one by one. A document's vector is the mean over all its words, and a softmax over two classes
-follows. Vectors and softmax are learned by stochastic gradient descent in numpy. At scoring each distinct word
-is reduced to its class margin once, so a whole text of any length costs one look-up a word.
+Tokens are runs without white space, case kept; a run of over ``MAX_WORD`` characters is read as several tokens. A token's
+vector is the mean of its hashed word vector and its hashed character n-gram vectors. Each pair of neighbours has a hashed
+vector too, by the difference of the two tokens' hashes, so pairs of equal tokens share one. A document's vector
+is the mean over all its tokens and pairs, and a softmax over two classes follows. Vectors and softmax are learned by
+stochastic gradient descent in numpy. At scoring each distinct token is reduced to its class margin once, so a
+whole text of any length costs one look-up a token.
 
 Defined cases: null and empty texts score by the bias alone; a null id is not held out; repeated rows each get a
 row; with no usable labels every score is 0.5; extra columns are ignored.
@@ -15,7 +16,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,8 @@ from .common import table
 from .sample import held_out, sigmoid, training_sample
 
 NGRAMS = (2, 3)
-AGAIN = "\x02again"
-MAX_WORD = 64  # a longer run without white space is cut into words of this length
+MAX_WORD = 64
+SIZE, PAIRS = 1 << 16, 1 << 14  # vectors of words and n-grams, and of pairs behind them
 
 
 @dataclass
@@ -43,10 +43,14 @@ def words(text: str | None) -> list[str]:
     found = (text or "").split()
     if max(map(len, found), default=0) > MAX_WORD:
         found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found + [AGAIN] * sum(map(eq, found, found[1:]))
+    return found
 
 
-def buckets(word: str, size: int) -> list[int]:
+def word_hash(word: str) -> int:
+    return zlib.crc32(b"\x00" + word.encode("utf-8", "replace"))
+
+
+def buckets(word: str) -> list[int]:
     """The word's own bucket, then those of its character n-grams between end marks."""
     marked = f"<{word}>"
     if marked.isascii():
@@ -54,39 +58,45 @@ def buckets(word: str, size: int) -> list[int]:
         grams = [data[i : i + n] for n in NGRAMS for i in range(len(data) - n + 1)]
     else:
         grams = [marked[i : i + n].encode("utf-8", "replace") for n in NGRAMS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g) % size for g in [b"\x00" + word.encode("utf-8", "replace"), *grams]]
+    return [word_hash(word) % SIZE, *[zlib.crc32(g) % SIZE for g in grams]]
+
+
+def pair_buckets(hashes: np.ndarray) -> np.ndarray:
+    """Buckets of neighbours, by the hashes of consecutive words."""
+    mixed = np.diff(hashes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return SIZE + (mixed >> np.uint64(40)).astype(np.int64) % PAIRS
 
 
 class _Vocabulary:
-    """Distinct words by number, with their buckets laid end to end."""
+    """Distinct words by number, with their hashes, and their buckets laid end to end."""
 
-    def __init__(self, size: int):
-        self.size, self.index, self.flat, self.lens = size, {}, [], []
+    def __init__(self):
+        self.index, self.hashes, self.flat, self.starts = {}, [], [], [0]
 
     def ids(self, found: list[str]) -> list[int]:
         index = self.index
         for w in set(found).difference(index):
-            index[w] = len(self.lens)
-            b = buckets(w, self.size)
-            self.flat += b
-            self.lens.append(len(b))
+            index[w] = len(self.hashes)
+            self.hashes.append(word_hash(w))
+            self.flat += buckets(w)
+            self.starts.append(len(self.flat))
         return [index[w] for w in found]
 
 
-def fit(rows: list[tuple[str, int]], size: int = 1 << 16, dim: int = 8, epochs: int = 4, rate: float = 0.3, seed: int = 7) -> Subwords:
-    """Plain SGD, one document a step, the rate falling in a line to zero."""
+def fit(rows: list[tuple[str, int]], dim: int = 8, epochs: int = 4, rate: float = 0.3, seed: int = 7) -> Subwords:
+    """Plain SGD, one document a step, the rate falling in a line to zero. Vectors of pairs begin at zero."""
     rng = np.random.default_rng(seed)
-    model = Subwords(rng.uniform(-1 / dim, 1 / dim, (size, dim)).astype(np.float32), np.zeros((2, dim), np.float32), np.zeros(2, np.float32))
-    vocabulary = _Vocabulary(size)
-    docs = [(*np.unique(vocabulary.ids(words(t)), return_counts=True), y) for t, y in rows]
-    docs = [(ids, n / n.sum(), y) for ids, n, y in docs if len(ids)]
-    flat, lens = np.array(vocabulary.flat), np.array(vocabulary.lens)
-    starts = np.r_[0, np.cumsum(lens)[:-1]] if len(lens) else lens
+    emb = np.concatenate([rng.uniform(-1 / dim, 1 / dim, (SIZE, dim)), np.zeros((PAIRS, dim))]).astype(np.float32)
+    model = Subwords(emb, np.zeros((2, dim), np.float32), np.zeros(2, np.float32))
+    vocabulary = _Vocabulary()
+    docs = []
+    for text, y in rows:
+        ids = np.array(vocabulary.ids(words(text)))
+        if len(ids):
+            docs.append((*_shares(vocabulary, ids), y))
     for step, i in enumerate(np.concatenate([rng.permutation(len(docs)) for _ in range(epochs)]) if docs else []):
-        ids, share, y = docs[i]
-        each = np.repeat(share / lens[ids], lens[ids]).astype(np.float32)
-        at = flat[np.arange(len(each)) + np.repeat(starts[ids] - np.r_[0, np.cumsum(lens[ids])[:-1]], lens[ids])]
-        doc = each @ model.emb[at]
+        at, share, y = docs[i]
+        doc = share @ model.emb[at]
         z = model.out @ doc + model.bias
         p = np.exp(z - z.max())
         p /= p.sum()
@@ -95,35 +105,62 @@ def fit(rows: list[tuple[str, int]], size: int = 1 << 16, dim: int = 8, epochs:
         pull = p @ model.out
         model.out -= lr * np.outer(p, doc)
         model.bias -= lr * p
-        np.subtract.at(model.emb, at, (lr * 50) * each[:, None] * pull[None, :])
+        model.emb[at] -= (lr * 50) * share[:, None] * pull[None, :]
     return model
 
 
-def scorer(model: Subwords, cache_words: int = 200_000):
+def _shares(vocabulary: _Vocabulary, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a document, and each one's share in the document's mean."""
+    total = 2 * len(ids) - 1
+    pairs, pair_count = np.unique(pair_buckets(np.array([vocabulary.hashes[k] for k in ids])), return_counts=True)
+    some, count = np.unique(ids, return_counts=True)
+    of = [vocabulary.flat[vocabulary.starts[k] : vocabulary.starts[k + 1]] for k in some]
+    lens = np.array([len(x) for x in of])
+    at, inverse = np.unique(np.concatenate(of), return_inverse=True)
+    share = np.bincount(inverse, np.repeat(count / total / lens, lens))
+    return np.r_[at, pairs], np.r_[share, pair_count / total].astype(np.float32)
+
+
+def scorer(model: Subwords, cache_words: int = 200_000, slab: int = 200_000):
     """A function from texts to scores; it remembers the margins of up to ``cache_words`` words (memory only)."""
-    margin = (model.emb @ (model.out[1] - model.out[0])).tolist()
+    margin = (model.emb @ (model.out[1] - model.out[0])).astype(np.float64)
+    listed = margin.tolist()
     bias = float(model.bias[1] - model.bias[0])
-    known: dict[str, float] = {}
-
-    def learn(found: list[str]) -> None:
-        new = set(found).difference(known)
-        if len(known) + len(new) > cache_words:
+    index: dict[str, int] = {}
+    known: list[tuple[float, int]] = []
+    table = np.zeros((0, 2))
+
+    def numbers(found: list[str]) -> list[int]:
+        nonlocal table
+        new = set(found).difference(index)
+        if len(index) + len(new) > cache_words:
+            index.clear()
             known.clear()
+            table = np.zeros((0, 2))
             new = set(found)
         for w in new:
-            b = buckets(w, len(margin))
-            known[w] = sum(map(margin.__getitem__, b)) / len(b)
+            b = buckets(w)
+            index[w] = len(known)
+            known.append((sum(map(listed.__getitem__, b)) / len(b), word_hash(w)))
+        return list(map(index.__getitem__, found))
+
+    def total(found: list[str]) -> float:
+        """Sum of margins; a long text goes in slabs that share a word, for the pair between them."""
+        nonlocal table
+        out = 0.0
+        for at in range(0, len(found), slab):
+            ids = numbers(found[max(0, at - 1) : at + slab])
+            if len(table) < len(known):
+                table = np.concatenate([table, np.array(known[len(table) :])])
+            some = table[ids]
+            out += some[(at > 0) :, 0].sum() + margin[pair_buckets(some[:, 1].astype(np.int64))].sum()
+        return out
 
     def score(texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
         for k, text in enumerate(texts):
             found = words(text)
-            try:
-                total = sum(map(known.__getitem__, found))
-            except KeyError:
-                learn(found)
-                total = sum(map(known.__getitem__, found))
-            out[k] = total / max(1, len(found)) + bias
+            out[k] = total(found) / max(1, 2 * len(found) - 1) + bias
         return sigmoid(out)
 
     return score

@@ -286,6 +286,25 @@ def test_classifiers_learn_and_take_odd_texts(spark, odd, empty, labels):
         assert kind(empty, labels).count() == 0
 
 
+@pytest.mark.parametrize(("name", "label", "least"), [("op9_quality_subword", "quality", 0.95), ("op3_toxicity_bigru", "toxic", 0.85)])
+def test_held_out_accuracy(spark, name, label, least):
+    """AUC over the held-out rows of a table of which they train nothing."""
+    folder = "/root/testdata/sf0.01"
+    rows = queries.QUERIES[name](spark, folder).where("held_out").select("doc_id", "score").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where(F.col(label).isin(0, 1)).collect()
+    good, bad = ([r.score for r in rows if r[label] == y] for y in (1, 0))
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    print(name, len(rows), auc)
+    assert auc >= least
+
+
+def test_quality_slabs_lose_no_pair():
+    model = quality.fit([("a a a a b", 0), ("c d e f g", 1), ("g h i j a", 1)] * 20)
+    texts = [prose(5, 301), "a a b c " * 40, "", None, "x" * 1000]
+    for slab in (1, 7, 100):
+        assert np.allclose(quality.scorer(model, slab=slab)(texts), quality.scorer(model)(texts))
+    assert np.allclose(quality.scorer(model, cache_words=3)(texts), quality.scorer(model)(texts))
+
+
 def test_held_out_rule(spark):
     import zlib
 
@@ -386,6 +405,11 @@ def test_chat_round_trip(spark):
     whole = done.where("conv_id = 1").first().formatted
     assert [r.context + r.target for r in each] == [whole[: r.loss_end] for r in each] and [whole[r.loss_start : r.loss_end] for r in each] == [r.target for r in each]
     assert chat.format_conversations(df.limit(0)).count() == 0
+    # what is read under the mask is cut by its offsets: another offset reads other text
+    moved = done.withColumn("targets", F.transform("targets", lambda t: F.struct((t["start"] + 1).alias("start"), (t["end"] + 1).alias("end"))))
+    shifted = {(r.conv_id, r.example): r.target for r in chat.expand_examples(moved).collect()}
+    right = {(r.conv_id, r.example): r.target for r in chat.expand_examples(done).collect()}
+    assert shifted.keys() == right.keys() and all(shifted[k] != right[k] for k in right if right[k])
 
 
 # 7
