@@ -33,7 +33,7 @@ def unescape(text: Column) -> Column:
 
 
 def format_conversations(turns: DataFrame, target_role: str = "assistant") -> DataFrame:
-    """(conv_id, formatted, targets): targets has (start, end, target) of each trainable text, 0-based code points."""
+    """(conv_id, formatted, targets): the loss mask, (start, end) of each trainable text in 0-based code points."""
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     head = F.concat(F.lit(START), F.replace(escape(role), F.lit(": "), F.lit(":\\ ")), F.lit(COLON))
     parts = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), head.alias("head"), escape(text).alias("body"))
@@ -42,7 +42,7 @@ def format_conversations(turns: DataFrame, target_role: str = "assistant") -> Da
     upto = F.sum(F.length(rendered)).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     placed = parts.select("conv_id", F.row_number().over(ordered).alias("n"), rendered.alias("rendered"), upto.alias("upto"), "role", "head", "body")
     end = F.col("upto") - len(END)
-    target = F.when(F.col("role") == target_role, F.struct("n", (end - F.length("body")).alias("start"), end.alias("end"), F.col("body").alias("target")))
+    target = F.when(F.col("role") == target_role, F.struct((end - F.length("body")).alias("start"), end.alias("end")))
     grouped = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("n", "rendered"))).alias("t"), F.array_sort(F.collect_list(target)).alias("targets"))
     return grouped.select("conv_id", F.array_join(F.col("t.rendered"), "").alias("formatted"), "targets")
 
@@ -50,11 +50,14 @@ def format_conversations(turns: DataFrame, target_role: str = "assistant") -> Da
 def expand_examples(formatted: DataFrame) -> DataFrame:
     """A row for each trainable turn: conv_id, example, context (all turns before it and its header), target, loss_start, loss_end.
 
-    target and context are escaped as in the formatted string; context is cut from it only if it is selected.
+    target and context are cut from the formatted string by the mask, escaped as they stand there.
     """
-    each = formatted.select("conv_id", "formatted", F.posexplode("targets").alias("example", "t"))
-    context = F.col("formatted").substr(F.lit(1), F.col("t.start").cast("int"))
-    return each.select("conv_id", "example", context.alias("context"), F.col("t.target").alias("target"), F.col("t.start").alias("loss_start"), F.col("t.end").alias("loss_end"))
+    each = formatted.select("conv_id", "formatted", F.posexplode("targets").alias("example", "t")).select("conv_id", "formatted", "example", "t.*")
+    return each.select("conv_id", "example", cut(F.lit(0), F.col("start")).alias("context"), cut(F.col("start"), F.col("end")).alias("target"), F.col("start").alias("loss_start"), F.col("end").alias("loss_end"))
+
+
+def cut(start: Column, end: Column) -> Column:
+    return F.col("formatted").substr((start + 1).cast("int"), (end - start).cast("int"))
 
 
 def read_turns(formatted: Column) -> Column:
