@@ -91,9 +91,11 @@ def to_hiragana(col: Column) -> Column:
 
 def full_width_chinese(col: Column) -> Column:
     """Punctuation between Han, brackets that hold Han, a spaced closing bracket, and the katakana dot."""
-    for half, full in FULL_WIDTH.items():
-        # every sign of a run of signs that Han precedes and Han or the end follows
-        col = F.regexp_replace(col, f"(?<={HAN_PLAIN}[:!?,;：！？，；]{{0,20}})[{half}](?=[:!?,;：！？，；]{{0,20}}({HAN_PLAIN}|$))", full)
+    # whole runs of signs that Han precedes and Han or the end follows, at any length; all else in pieces that end before a sign
+    signs = ":!?,;：！？，；"
+    run, rest = (F.regexp_extract_all(col, F.lit(f"(?s)(?<={HAN_PLAIN})([{signs}]+)(?={HAN_PLAIN}|$)|(.[^{signs}]*)"), F.lit(k)) for k in (1, 2))
+    wide = F.zip_with(run, rest, lambda a, b: F.concat(F.translate(a, "".join(FULL_WIDTH), "".join(FULL_WIDTH.values())), b))
+    col = F.when(col.rlike(f"{HAN_PLAIN}[{signs}]"), F.array_join(wide, "")).otherwise(col)
     col = F.regexp_replace(col, rf"(?<={HAN_PLAIN})\(([^()]*{HAN_PLAIN}[^()]*)\)", "（$1）")
     col = F.regexp_replace(col, rf"(?<={HAN_PLAIN}) \(([^()]+)\)$", "（$1）")
     return F.replace(col, F.lit(KATAKANA_DOT), F.lit(MIDDLE_DOT))

@@ -10,8 +10,6 @@ from ..schemas import ARTIST
 
 #: The index's first day, and the number of days it can hold.
 FIRST_DAY, DAYS = "2005-01-01", 32768
-#: A lookup of up to this many rows is broadcast, a larger one is joined by its key.
-BROADCAST_ROWS = 2_000_000
 
 
 def tag_dim(tags: DataFrame, min_posts: int = 100, excluded: int | None = ARTIST) -> DataFrame:
@@ -56,9 +54,10 @@ def name_cells(dated: DataFrame) -> DataFrame:
 
 
 def cells_of_names(named: DataFrame, lookup: DataFrame) -> DataFrame:
-    """(tag_id, day) cells of raw-name cells. A post under a tag and its alias counts twice; unknown names drop out."""
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        lookup = F.broadcast(lookup)
+    """(tag_id, day) cells of raw-name cells. A post under a tag and its alias counts twice; unknown names drop out.
+
+    Whether the lookup is broadcast is left to adaptive execution, which knows its bytes.
+    """
     sums = [F.sum(c).alias(c) for c in ("posts", "fav_sum", "score_sum")]
     return named.join(lookup, "name").groupBy("tag_id", "day").agg(*sums)
 

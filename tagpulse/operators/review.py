@@ -127,6 +127,14 @@ def new_collisions(answers: DataFrame, inputs: DataFrame, existing: DataFrame) -
     return joined.where(clash).select("tag", "value", (F.col("owners") - 1).alias("others"))
 
 
+def target_report(targets: DataFrame) -> DataFrame:
+    """(category, targets, anchored, rate) of review targets: how many have a name or alias to go by, in whole percent."""
+    a = F.col("anchors")
+    anchored = a["en"].isNotNull() | a["ja"].isNotNull() | a["aliases"].isNotNull()
+    sums = targets.groupBy(a["category"].alias("category")).agg(F.count("*").alias("targets"), F.count_if(anchored).alias("anchored"))
+    return sums.select("category", "targets", "anchored", F.expr("anchored * 100 div targets").alias("rate"))
+
+
 def shared_values(layer: DataFrame) -> DataFrame:
     """Values that more than one tag has."""
     return layer.where(filled(F.col("value"))).groupBy("value").agg(F.count("*").alias("tags")).where("tags > 1")
@@ -161,9 +169,19 @@ def tag_labels(tags: DataFrame, labels: DataFrame) -> DataFrame:
     return each.join(labels, "qualifier").where(filled(F.col("label"))).groupBy("tag").agg(F.collect_set("label").alias("labels"))
 
 
-def last_round_wins(accepted: DataFrame) -> DataFrame:
+def last_round_wins(accepted: DataFrame, keys: list[str]) -> DataFrame:
     """Adds rank (1: the row that holds) of a tag's accepted proposals, the latest round and file first."""
-    return accepted.withColumn("rank", F.row_number().over(Window.partitionBy("tag").orderBy(F.desc("round"), F.desc("file"))))
+    return accepted.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("round"), F.desc("file"))))
+
+
+def judge_targets(proposals: DataFrame, targets: DataFrame, shards: DataFrame, categories: DataFrame, current: DataFrame, conv: Converter, labels: DataFrame | None = None) -> DataFrame:
+    """As judge_proposals, for proposals that name their target; (target, categories array, null for all, gap_only) is a table.
+
+    Proposals of an unknown target drop out. A tag's latest proposal holds within its target.
+    """
+    rows = proposals.join(targets.select("target", F.col("categories").alias("_wanted"), F.coalesce("gap_only", F.lit(False)).alias("_gap_only")), "target")
+    off = F.col("_wanted").isNotNull() & ~F.coalesce(F.array_contains("_wanted", F.col("category")), F.lit(False))
+    return _judged(rows, ["target", "tag"], shards, categories, current, conv, off, F.col("_gap_only"), labels)
 
 
 def judge_proposals(proposals: DataFrame, shards: DataFrame, categories: DataFrame, current: DataFrame, conv: Converter, wanted: tuple[int, ...] | None, labels: DataFrame | None = None, gap_only: bool = False) -> DataFrame:
@@ -171,6 +189,11 @@ def judge_proposals(proposals: DataFrame, shards: DataFrame, categories: DataFra
 
     With ``labels`` (qualifier, label) notes that the disambiguation adds back are cut from both sides first.
     """
+    off = F.lit(False) if wanted is None else ~F.coalesce(F.col("category").isin(*wanted), F.lit(False))
+    return _judged(proposals, ["tag"], shards, categories, current, conv, off, F.lit(gap_only), labels)
+
+
+def _judged(proposals: DataFrame, keys: list[str], shards: DataFrame, categories: DataFrame, current: DataFrame, conv: Converter, off: Column, gap_only: Column, labels: DataFrame | None) -> DataFrame:
     rows = proposals.withColumn("value", F.trim(F.coalesce("value", F.lit(""))))
     rows = rows.join(current.select("tag", F.col("value").alias("now")), "tag", "left").join(categories.select(F.col("name").alias("tag"), "category"), "tag", "left")
     rows = rows.join(shards.select("tag", F.lit(True).alias("in_shard")).distinct(), "tag", "left")
@@ -178,17 +201,16 @@ def judge_proposals(proposals: DataFrame, shards: DataFrame, categories: DataFra
     if labels is not None:
         rows = rows.join(tag_labels(rows.select("tag").distinct(), labels), "tag", "left").withColumn("value", F.when(filled(F.col("value")), strip_qualifier(F.col("value"), F.col("labels"))).otherwise(F.col("value")))
         before = F.when(filled(F.col("now")), strip_qualifier(F.col("now"), F.col("labels"))).otherwise(F.col("now"))
-    off = F.lit(False) if wanted is None else ~F.coalesce(F.col("category").isin(*wanted), F.lit(False))
     reason = (
         F.when(F.col("in_shard").isNull(), "not in a shard").when(off, "wrong category").when(~filled(F.col("value")), "empty")
-        .when(F.lit(gap_only) & filled(F.col("now")), "already named").when(F.col("value").eqNullSafe(before), "unchanged").when(~conv.is_simplified(F.col("value")), "not simplified")
+        .when(gap_only & filled(F.col("now")), "already named").when(F.col("value").eqNullSafe(before), "unchanged").when(~conv.is_simplified(F.col("value")), "not simplified")
     )
-    judged = rows.select("tag", "round", "file", "value", reason.alias("reason"))
-    ranked = last_round_wins(judged.where("reason is null"))
-    latest = Window.partitionBy("tag").orderBy("rank")
+    judged = rows.select(*keys, "round", "file", "value", reason.alias("reason"))
+    ranked = last_round_wins(judged.where("reason is null"), keys)
+    latest = Window.partitionBy(*keys).orderBy("rank")
     ranked = ranked.withColumn("later", F.lag("value").over(latest))
     superseded = F.when((F.col("rank") > 1) & (F.col("value") != F.col("later")), "superseded").when(F.col("rank") > 1, "repeated")
-    return judged.where("reason is not null").unionByName(ranked.select("tag", "round", "file", "value", superseded.alias("reason")))
+    return judged.where("reason is not null").unionByName(ranked.select(*keys, "round", "file", "value", superseded.alias("reason")))
 
 
 def merge_layer(existing: DataFrame, accepted: DataFrame, prefer: str = "accepted") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,6 +128,8 @@ def moving_average(series: DataFrame, key: str, value: str, window: int = 9) ->
 def smooth(series: DataFrame, key: str, value: str, window: int) -> DataFrame:
     """Local linear fit with Gaussian weights, read at its centre; window 0 leaves values as they are.
 
+    ``series`` is dense: a key's i are consecutive. So neighbours are read by offset, and weights are constants of the plan.
+
     Half window window / 2, deviation a quarter of the window. At the edges the line keeps the trend, which a mean
     does not.
     """
@@ -133,19 +138,19 @@ def smooth(series: DataFrame, key: str, value: str, window: int) -> DataFrame:
     half = window / 2
     reach = int(half)
     sigma = half / 2
-    frame = Window.partitionBy(key).orderBy("i").rangeBetween(-reach, reach)
-    near = series.select(key, "i", F.collect_list(F.struct(F.col("i").alias("x"), F.col(value).cast("double").alias("y"))).over(frame).alias("near"))
-
-    def total(term):
-        def one(acc, p):
-            d = (p["x"] - F.col("i")).cast("double")
-            return acc + F.exp(-d * d / (2 * sigma * sigma)) * term(d, p["y"])
-
-        return F.aggregate("near", F.lit(0.0), one)
-
-    sums = near.select(
-        key, "i", total(lambda d, y: F.lit(1.0)).alias("s0"), total(lambda d, y: d).alias("s1"), total(lambda d, y: d * d).alias("s2"), total(lambda d, y: y).alias("t0"), total(lambda d, y: d * y).alias("t1")
-    )
+    order = Window.partitionBy(key).orderBy("i")
+    y = F.col(value).cast("double")
+    near = series.select(key, "i", *[F.lag(y, -d).over(order).alias(f"_{d + reach}") for d in range(-reach, reach + 1)])
+
+    def total(power: int, of_values: bool):
+        """Sum of weight * offset ** power, times the value if asked, over the neighbours that exist."""
+        terms = []
+        for d in range(-reach, reach + 1):
+            w, there = float(math.exp(-d * d / (2 * sigma * sigma)) * d**power), F.col(f"_{d + reach}")
+            terms.append(F.coalesce(there * w, F.lit(0.0)) if of_values else F.when(there.isNotNull(), w).otherwise(0.0))
+        return reduce(lambda p, q: p + q, terms)
+
+    sums = near.select(key, "i", total(0, False).alias("s0"), total(1, False).alias("s1"), total(2, False).alias("s2"), total(0, True).alias("t0"), total(1, True).alias("t1"))
     det = F.col("s0") * F.col("s2") - F.col("s1") * F.col("s1")
     line = (F.col("s2") * F.col("t0") - F.col("s1") * F.col("t1")) / det
     return sums.select(key, "i", F.when(det > 1e-12, line).otherwise(F.col("t0") / F.col("s0")).alias("smoothed"))

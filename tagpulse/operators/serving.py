@@ -60,8 +60,18 @@ def search_rows(dim: DataFrame, listed: DataFrame, conv: Converter) -> DataFrame
     return joined.select("tag", F.filter(F.array_distinct(terms), lambda t: t != "").alias("terms"))
 
 
-def search(rows: DataFrame, query: str, limit: int = 20) -> DataFrame:
-    """(tag, hit): tags with a term that contains the query, in tag order, with the first such term."""
+def current_only(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """Search rows without those of deprecated tags."""
+    return rows.join(dim.where("is_deprecated").select(F.col("name").alias("tag")), "tag", "left_anti")
+
+
+def search(rows: DataFrame, query: str, limit: int = 20, hide_deprecated: DataFrame | None = None) -> DataFrame:
+    """(tag, hit): tags with a term that contains the query, in tag order, with the first such term.
+
+    ``hide_deprecated``: a dimension whose deprecated tags are not shown.
+    """
+    if hide_deprecated is not None:
+        rows = current_only(rows, hide_deprecated)
     hits = F.filter("terms", lambda t: t.contains(query.lower()))
     return rows.select("tag", hits.alias("h")).where(F.size("h") > 0).select("tag", F.element_at("h", 1).alias("hit")).orderBy("tag").limit(limit)
 
@@ -84,15 +94,17 @@ def search_many(rows: DataFrame, queries: DataFrame, n: int = 3) -> DataFrame:
     """
     asked = queries.select("query", F.lower("query").alias("q")).where("q <> ''").distinct()
     terms = written(rows.select("tag", F.explode("terms").alias("term")))  # read twice for each length
-    out = None
-    for size in range(1, n + 1):
+    sizes = [r[0] for r in asked.select(F.least(F.length("q"), F.lit(n))).distinct().collect()]  # n numbers at most
+    out = asked.select("query", F.lit(None).cast("string").alias("tag")).limit(0)
+    for size in sorted(sizes):
         some = asked.where(F.length("q") == size) if size < n else asked.where(F.length("q") >= n)
-        by_gram = terms.where(F.length("term") >= size).select("tag", "term", F.explode(grams(F.col("term"), size)).alias("gram"))
-        keyed = some.select("query", "q", F.explode(grams(F.col("q"), size)).alias("gram"))
+        keyed = written(some.select("query", "q", F.explode(grams(F.col("q"), size)).alias("gram")))
+        every = terms.where(F.length("term") >= size).select("tag", "term", F.explode(grams(F.col("term"), size)).alias("gram"))
+        by_gram = every.join(keyed.select("gram").distinct(), "gram", "left_semi")  # only what is asked for is counted and shuffled
         frequency = by_gram.groupBy("gram").agg(F.count("*").alias("f"))
         rarest = keyed.join(frequency, "gram", "left").groupBy("query", "q").agg(F.min_by("gram", F.struct(F.coalesce("f", F.lit(0)), "gram")).alias("gram"))
         found = by_gram.join(rarest, "gram").where(F.col("term").contains(F.col("q"))).select("query", "tag")
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(found)
     return out.distinct()
 
 

@@ -124,12 +124,13 @@ def daily_totals(spark, d):
 
 
 def all_posts_totals(spark, d):
+    """Deleted posts too, below the bound that a run takes by default: the table's next id."""
     posts = Index(spark, d).view("posts")
-    return C.daily_totals(posts, FIRST, include_deleted=True, max_id=5000).crossJoin(F.broadcast(C.next_id(posts)))  # one row
+    return C.daily_totals(posts, FIRST, include_deleted=True, max_id=C.next_id(posts).first().max_id).crossJoin(F.broadcast(C.next_id(posts)))  # one row
 
 
 def every_post_totals(spark, d):
-    """As all_posts_totals, over all posts: the bound is the table's next id."""
+    """As all_posts_totals, without a bound."""
     posts = Index(spark, d).view("posts")
     return C.daily_totals(posts, FIRST, include_deleted=True).crossJoin(F.broadcast(C.next_id(posts)))  # one row
 
@@ -271,7 +272,7 @@ ORACLE_SQL = {
     "clustered_read": sql("SELECT * FROM daily WHERE tag_id BETWEEN 20 AND 120", *CELLS),
     "daily_totals": sql("SELECT * FROM total_daily", LIVE, TOTALS, views=("posts",)),
     "all_posts_totals": sql(
-        "SELECT substr(created_at, 1, 10)::DATE AS day, count(*) AS posts, sum(coalesce(fav_count, 0))::BIGINT AS fav_sum, sum(score)::BIGINT AS score_sum, (SELECT max(id) + 1 FROM posts) AS max_id FROM posts WHERE id < 5000 AND tag_string IS NOT NULL GROUP BY 1",
+        "SELECT substr(created_at, 1, 10)::DATE AS day, count(*) AS posts, sum(coalesce(fav_count, 0))::BIGINT AS fav_sum, sum(score)::BIGINT AS score_sum, (SELECT max(id) + 1 FROM posts) AS max_id FROM posts WHERE tag_string IS NOT NULL GROUP BY 1",
         "x AS (SELECT 1)", views=("posts",)),
     "tag_monthly": sql("SELECT * FROM months", *ALL),
     "total_monthly": sql("SELECT * FROM totals", LIVE, TOTALS, TOTAL_MONTHS, views=("posts",)),
@@ -297,5 +298,5 @@ ORACLE_SQL = {
     "artifact_rows": sql("SELECT 'dim_tag' AS name, count(*) AS rows, true AS has_bytes FROM dim UNION ALL SELECT 'fact_total_monthly', count(*), true FROM totals", *ALL),
     "event_share": "SELECT *, round(posts * 10000 / sum(posts) OVER (PARTITION BY day), 6) AS share FROM (SELECT event_type AS name, CAST(ts AS DATE) AS day, count(*) AS posts FROM events GROUP BY 1, 2)",
 }
-ORACLE_SQL["every_post_totals"] = ORACLE_SQL["all_posts_totals"].replace("id < 5000 AND ", "")
+ORACLE_SQL["every_post_totals"] = ORACLE_SQL["all_posts_totals"]
 ORACLE_SQL["clustered_whole"] = ORACLE_SQL["daily_cells"]

@@ -285,14 +285,14 @@ def exact_tag(spark, d):
     return V.find(dim(spark, d), "part_17").select("tag_id", "name", "post_count")
 
 
-def search_many(spark, d, every=40):
-    queries = spelled(spark, d).where(f"k % {every} = 0").select(F.explode(F.array(F.concat(F.lit("RT_"), F.col("k").cast("string")), F.substring("hant", 1, 3))).alias("query"))
+def search_many(spark, d):
+    """The query set of a search: every row whose key is divisible by 20."""
+    queries = spelled(spark, d).where("k % 20 = 0").select(F.explode(F.array(F.concat(F.lit("RT_"), F.col("k").cast("string")), F.substring("hant", 1, 3))).alias("query"))
     return V.search_many(_search_rows(spark, d), queries)
 
 
 def search_many_whole(spark, d):
-    """As search_many, for the whole query set: every row whose key is divisible by 20."""
-    return search_many(spark, d, 20)
+    return search_many(spark, d)
 
 
 def display_name(spark, d):
@@ -485,7 +485,7 @@ ORACLE_SQL = {
     "search_terms": _sql("SELECT tag, array_to_string(terms, '|') AS terms FROM search_rows", FOLD, LISTED, TERMS),
     "search_one": _sql("SELECT tag, list_filter(terms, lambda t: contains(t, 'あい'))[1] AS hit FROM search_rows WHERE len(list_filter(terms, lambda t: contains(t, 'あい'))) > 0 ORDER BY tag LIMIT 15", FOLD, LISTED, TERMS),
     "exact_tag": _sql("SELECT id AS tag_id, name, post_count::BIGINT AS post_count FROM tags WHERE name = 'part_17'", views=("tags",)),
-    "search_many": _sql("SELECT DISTINCT query, tag FROM asked JOIN ordered ON contains(term, lower(query)) WHERE query <> ''", FOLD, LISTED, TERMS, "asked AS (SELECT unnest(['RT_' || k::VARCHAR, substr(hant, 1, 3)]) AS query FROM spelled WHERE k % 40 = 0)"),
+    "search_many": _sql("SELECT DISTINCT query, tag FROM asked JOIN ordered ON contains(term, lower(query)) WHERE query <> ''", FOLD, LISTED, TERMS, "asked AS (SELECT unnest(['RT_' || k::VARCHAR, substr(hant, 1, 3)]) AS query FROM spelled WHERE k % 20 = 0)"),
     "display_name": _sql("SELECT tag, coalesce(zh_hans, tag) AS shown FROM folded", FOLD),
     "language_coverage": _sql("SELECT lang, count(*) AS tags FROM slots WHERE value IS NOT NULL GROUP BY lang", FOLD, SLOTS),
     "category_coverage": _sql(
@@ -523,4 +523,4 @@ ORACLE_SQL = {
         """SELECT tag, name, CASE WHEN name = '' THEN 'empty' WHEN name = tag THEN 'same-as-slug' WHEN k % 4 <> 0 THEN 'no-han' END AS reason FROM (
         SELECT tag, k, CASE k % 4 WHEN 0 THEN hans WHEN 1 THEN tag WHEN 2 THEN '' ELSE latin END AS name FROM spelled JOIN tags t ON t.name = spelled.tag WHERE category IN (0, 5))""", views=BOTH),
 }
-ORACLE_SQL["search_many_whole"] = ORACLE_SQL["search_many"].replace("k % 40 = 0", "k % 20 = 0")
+ORACLE_SQL["search_many_whole"] = ORACLE_SQL["search_many"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import FIRST_DAY, cells_of_names, live_posts, name_cells, with_day
-from ..operators.series import SUMS
+from ..operators.series import merge_cells
 from ..sources.readers import exists
 
 NAME_CELLS = "name string, day date, posts long, fav_sum long, score_sum long"
@@ -49,4 +49,4 @@ def merged(spark: SparkSession, out: str, lookup: DataFrame) -> tuple[DataFrame,
     """(daily cells, daily totals) of all slices."""
     cells = spark.read.schema(NAME_CELLS).parquet(f"{out}/cells")
     totals = spark.read.schema(TOTALS).parquet(f"{out}/totals")
-    return cells_of_names(cells, lookup), totals.groupBy("day").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return cells_of_names(cells, lookup), merge_cells(totals, ["day"])
