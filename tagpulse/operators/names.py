@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.han import Converter, strip_ja
 from ..schemas import LANGS
+from ..sources.shared import written
 
 CHINESE = ("zh_hans", "zh_hant")
 
@@ -251,16 +252,20 @@ def normalize_traditional(names: DataFrame, conv: Converter) -> DataFrame:
 
 
 def resolve_names(maps: list[DataFrame], general: DataFrame, supplement: DataFrame, rejected: DataFrame, manuals: list[DataFrame], copyrights: DataFrame, variants_zh: DataFrame, variants_ja: DataFrame, conv: Converter, wanted: DataFrame | None = None) -> DataFrame:
-    """All layers folded in order; the order is the policy."""
+    """All layers folded in order; the order is the policy.
+
+    Names are written between the passes that read them several times.
+    """
     names = fill_layer(base_names(maps, wanted), only(general, wanted), conv)
     names = reject_layer(override_layer(names, only(supplement, wanted), conv), only(rejected, wanted))
     for layer in manuals:
         names = override_layer(names, only(layer, wanted), conv)
-    chars = characters(names, copyrights, general)
+    names = written(names)
+    chars = written(characters(names, copyrights, general))
     for lang, also, variants in (("zh_hans", ("zh_hant",), variants_zh), ("ja", (), variants_ja)):
         own = names.join(copyrights.select("tag").distinct(), "tag", "left_semi").where(filled(F.col(lang)))
         labels = own.select(F.col("tag").alias("qualifier"), F.col(lang).alias("label"), F.lit(0).alias("priority")).unionByName(variants.select("qualifier", "label", F.lit(1).alias("priority")))
-        names = disambiguate(names, chars, labels, conv, lang, also)
+        names = written(disambiguate(names, chars, labels, conv, lang, also))
     return finish_names(names, conv)
 
 

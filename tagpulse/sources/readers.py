@@ -46,9 +46,10 @@ def alias_pool(wiki: DataFrame) -> DataFrame:
     return live.select(F.col("title").alias("tag"), names.alias("names")).where(F.size("names") > 0)
 
 
-def read_index(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def read_index(spark: SparkSession, folder: str, names: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """The index's tables, or those named."""
     kinds = {"dim_tag": schemas.DIM_TAG, "fact_tag_daily": schemas.DAILY, "fact_total_daily": schemas.TOTAL_DAILY, "fact_tag_monthly": schemas.MONTHLY, "fact_total_monthly": schemas.TOTAL_MONTHLY, "fact_category_monthly": schemas.CATEGORY_MONTHLY}
-    return {k: spark.read.schema(s).parquet(f"{folder}/{k}") for k, s in kinds.items()}
+    return {k: spark.read.schema(s).parquet(f"{folder}/{k}") for k, s in kinds.items() if names is None or k in names}
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:

@@ -8,10 +8,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
-from tagpulse.plans import index_queries, name_queries
+from tagpulse.plans import file_queries, index_queries, name_queries
 
 DATA = "/root/testdata/sf0.001"
-ORACLES = index_queries.ORACLE_SQL | name_queries.ORACLE_SQL
+ORACLES = index_queries.ORACLE_SQL | name_queries.ORACLE_SQL | file_queries.ORACLE_SQL
 
 
 def rows(df: pd.DataFrame) -> list[str]:
