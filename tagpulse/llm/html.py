@@ -1,13 +1,17 @@
 """Main text of web pages by a recurrent block labeller.
 
-A page is cut into leaf blocks (text between block-level tags). Each block is a vector: the mean of its hashed
-tag-path tokens, the mean of its hashed words, and four measures. A bidirectional LSTM in numpy reads the whole
-page's blocks and says for each whether it is main text.
+A page is cut into leaf blocks (text between block-level tags). Each block is a vector: the mean of the hashed tokens of
+its tag path (its innermost ``PATH`` elements: tags and the words of their class, id and role), the mean of its hashed words,
+and six measures. A bidirectional LSTM in numpy reads the whole page's blocks and says for each whether it is main text; a
+block is judged by the LSTM's states alone.
 
 There is no gold text to learn from, so the network is trained on a bounded sample of the pages: blocks inside an
-article that no boilerplate container holds are main text. Each sampled page is also re-dressed several times, with
-other containers for its article and other kinds of boilerplate (``MAIN``, ``OTHER``) before, inside and after
-it, holding text of the same pages, so that it is the structure and not these pages' layout that is learned.
+article that no boilerplate container holds are main text. Each sampled page is also re-dressed several times: its main
+blocks in another container, among menus, notices, adverts, teasers, forms, footers and reader comments before, inside and
+after it (``MAIN``, ``KINDS``). Half of the containers bear a made-up name or none, so that structure, words and
+the order of the page are learned, not only names.
+
+Pages are scanned in linear time: where quotes of a tag do not close, the rest of the page is read without quotes.
 
 Defined cases: null html is empty; pages without blocks or without main text give an empty text; unclosed tags
 end with their container (unclosed script, style, textarea and title with the page); repeated rows each get a row; null ids and urls are kept; extra columns are ignored.
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from itertools import chain
@@ -29,10 +34,10 @@ from pyspark.sql import functions as F
 from .common import table
 from .sample import Adam, sigmoid
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+#: Elements whose content is no markup, up to their end tag.
+RAW = frozenset("script style textarea title".split())
+NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
+QUOTE_OR_END = re.compile("[>\"']")
 #: Elements that go with their content where they are closed; without an end tag, only the tag itself goes.
 DROPPED = frozenset("noscript template svg iframe select".split())
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -41,21 +46,34 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Containers of main text, and of everything else, as paths of tag.class; for training.
-MAIN = "article;main;main article;div.content;div#main;div.post;div.entry-content;div.article-body;section.article;div;body".split(";")
-OTHER = (
-    "nav ul li;ul.menu li;div.menu;header;header h1;div.header;div.topbar;footer;footer p;div.footer;div#footer;aside;aside p;div.sidebar;div.sidebar p;div#sidebar ul li;"
-    "div.ad;div.ads;div.advert;div.advertisement p;div.banner;div.promo p;div.sponsored;aside.ad;div.cookie;div.cookie-notice p;div.notice;div.consent;div.alert;div.popup;div.modal p;"
-    "form;form.search;form p;form.newsletter;div.subscribe;div.signup p;section.comments;div.comments p;section#comments div.comment p;ol.comments li;div.comment;li.comment p;div.related;div.related ul li;"
-    "div.share;div.social;div.breadcrumb;div.pagination;div.tags;div.login;button"
-).split(";")
-LEAVES = ("p", "p", "p", "p", "h2", "ul li", "ol li", "blockquote", "blockquote p", "table tr td", "div", "pre")
+#: For training: containers of main text, and kinds of everything else with containers of theirs, as paths of tag.class.
+MAIN = "article;main;main article;div.content;div#main;div.post;div.entry-content;div.article-body;section.article;div.story;div.text;div.body;td;section;div;body".split(";")
+KINDS = {
+    "menu": "nav ul li;ul.menu li;div.menu;div.menu a;header;div.header;div.topbar;ul li;div;div.breadcrumb;div.pagination;div.tags;td;ol li".split(";"),
+    "notice": "div.cookie;div.cookie-notice p;div.notice;div.consent;div.alert;div.popup;div.modal p;div.banner;div p;div;aside;dialog".split(";"),
+    "advert": "div.ad;div.ads;div.advert;div.advertisement p;div.promo p;div.sponsored;aside.ad;div.banner;div;iframe-slot;section".split(";"),
+    "teasers": "aside;aside p;div.sidebar;div.sidebar p;div#sidebar ul li;div.related;div.related ul li;div.share;div.social;ul li;div;section ul li".split(";"),
+    "form": "form;form p;form.search;form.newsletter;div.subscribe;div.signup p;div.login;form div;div".split(";"),
+    "footer": "footer;footer p;div.footer;div#footer;div.copyright;footer ul li;div;div p;td".split(";"),
+    "comments": "section.comments;div.comments p;section#comments div.comment p;ol.comments li;div.comment;div.thread div;section.discussion div;div.replies;div.responses p;ul li;div div;div;section;ol li p".split(";"),
+}
+#: Words that such blocks often hold, in the languages of the tables; in half of the blocks the page's own words stand alone.
+TYPICAL = {
+    "menu": "home;about;contact;news;sports;terms;privacy;login;archive;help;search;products;blog;inicio;contacto;noticias;accueil;contact;actualités;startseite;kontakt;nachrichten;impressum;über uns;next;previous".split(";"),
+    "notice": "we use cookies;accept all cookies;this site uses cookies to improve your experience;privacy settings;update your browser;wir verwenden cookies;nous utilisons des cookies;usamos cookies".split(";"),
+    "advert": "advertisement;sponsored;buy now;limited offer;anzeige;publicité;publicidad;shop now".split(";"),
+    "teasers": "related;read more;most read;popular;share;tweet;you may also like;mehr lesen;à lire aussi;leer más;see also".split(";"),
+    "form": "subscribe to our newsletter;your e-mail;name;send;search;sign in;password;abonnieren;s'abonner;suscribirse;submit".split(";"),
+    "footer": "all rights reserved;© 2024;©;terms of use;privacy policy;imprint;contact;impressum;datenschutz;mentions légales;aviso legal".split(";"),
+    "comments": "reply;like;report;says;wrote;posted;2 days ago;yesterday;3 hours ago;comments;antworten;répondre;responder;commented".split(";"),
+}
+LEAVES = ("p", "p", "p", "p", "p", "h2", "h3", "ul li", "ol li", "blockquote", "blockquote p", "table tr td", "div", "pre", "figure figcaption", "dl dd")
 #: Words of tags, classes and ids that mark a container as boilerplate, for the labels of the sample.
 BOILERPLATE = re.compile(
-    r"^(nav|header|footer|aside|form|menu|dialog|button|head|navbar|navigation|topbar|sidebar|side|ads?|adverts?|advertisements?|banner|promos?|sponsored|sponsor|cookies?|notice|consent|gdpr|alert|popup|modal|newsletter|subscribe|signup|comments?|replies|related|share|social|breadcrumbs?|pagination|pager|tags|login|search|copyright|masthead|widget)$"
+    r"^(nav|header|footer|aside|form|menu|dialog|button|navbar|navigation|topbar|sidebar|side|ads?|adverts?|advertisements?|banner|promos?|sponsored|sponsor|cookies?|notice|consent|gdpr|alert|popup|modal|newsletter|subscribe|signup|comments?|replies|discussion|thread|responses|related|share|social|breadcrumbs?|pagination|pager|tags|login|search|copyright|masthead|widget)$"
 )
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-PATH_BUCKETS, WORD_BUCKETS, DIM, MEASURES, HIDDEN = 1 << 10, 1 << 12, 16, 4, 16
+PATH_BUCKETS, WORD_BUCKETS, DIM, MEASURES, HIDDEN, PATH = 1 << 10, 1 << 12, 16, 6, 20, 8
 Block = tuple[tuple[str, ...], str, float]
 
 
@@ -69,18 +87,70 @@ def _name(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def _dropped(tokens: list[re.Match]) -> dict[int, int]:
+def tokens(html: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, tag, attributes) of each piece of markup; tag is empty where nothing but its place counts, / leads an end tag's."""
+    at, quotes = 0, True
+    lower = html.lower() if "<" in html else html
+    same = len(lower) == len(html)  # a few letters change length
+    no_end: set[str] = set()
+    while (start := html.find("<", at)) >= 0:
+        at = start + 1
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(html)
+            yield start, at, "", ""
+            continue
+        if html.startswith(("<!", "<?"), start):
+            end = html.find(">", start)
+            if end < 0:
+                return
+            at = end + 1
+            yield start, at, "", ""
+            continue
+        m = NAME.match(html, start + 1)
+        if not m:
+            continue
+        end = _end(html, m.end()) if quotes else html.find(">", m.end())
+        if end < 0 and quotes:
+            quotes, end = False, html.find(">", m.end())
+        if end < 0:
+            return
+        tag = m[1].lower()
+        if tag in RAW and html[start + 1] != "/" and tag not in no_end:
+            close = (lower if same else html).find(f"</{tag}", end)
+            if close < 0:
+                no_end.add(tag)
+            stop = html.find(">", close) if close >= 0 else -1
+            at = stop + 1 if stop >= 0 else len(html)
+            yield start, at, "", ""
+            continue
+        at = end + 1
+        yield start, at, ("/" if html[start + 1] == "/" else "") + tag, html[m.end() : end]
+
+
+def _end(html: str, at: int) -> int:
+    """Place of the tag's > outside quotes; -1 without one."""
+    while m := QUOTE_OR_END.search(html, at):
+        if m[0] == ">":
+            return m.start()
+        at = html.find(m[0], m.end()) + 1
+        if not at:
+            return -1
+    return -1
+
+
+def _dropped(html: str, found: list[tuple[int, int, str, str]]) -> dict[int, int]:
     """Start of each closed element of ``DROPPED`` in the page, to its end; nested ones of a name are paired inside out."""
     out: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
-    for m in tokens:
-        tag = (m[2] or "").lower()
-        if tag in DROPPED:
-            if m.string[m.start() + 1] == "/":
-                if opened.get(tag):
-                    out[opened[tag].pop()] = m.end()
-            elif not (tag == "svg" and m[0].endswith("/>")):
-                opened.setdefault(tag, []).append(m.start())
+    for start, end, tag, _ in found:
+        name = tag.lstrip("/")
+        if name in DROPPED:
+            if tag[0] == "/":
+                if opened.get(name):
+                    out[opened[name].pop()] = end
+            elif not (name == "svg" and html[end - 2] == "/"):
+                opened.setdefault(name, []).append(start)
     return out
 
 
@@ -89,6 +159,7 @@ def blocks(html: str | None) -> list[Block]:
     html = html or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    depth: Counter[str] = Counter()
     parts: list[str] = []
     links = in_link = 0
 
@@ -96,24 +167,27 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal links
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            out.append((tuple(t for _, name in stack for t in name), text, min(1.0, links / len(text))))
+            out.append((tuple(t for _, name in stack[-PATH:] for t in name), text, min(1.0, links / len(text))))
         parts.clear()
         links = 0
 
+    def pop() -> str:
+        tag = stack.pop()[0]
+        depth[tag] -= 1
+        return tag
+
     at = 0
-    tokens = list(TOKEN.finditer(html))
-    dropped = _dropped(tokens)
-    for m in tokens:
-        if m.start() < at:
-            continue
-        if m.start() > at:
-            parts.append(html[at : m.start()])
-            links += in_link * (m.start() - at)
-        at = dropped.get(m.start(), m.end())
-        tag = (m[2] or "").lower()
-        if not tag:
+    found = list(tokens(html))
+    dropped = _dropped(html, found)
+    for start, end, tag, attributes in found:
+        if start < at:
             continue
-        ending = html[m.start() + 1] == "/"
+        if start > at:
+            parts.append(html[at:start])
+            links += in_link * (start - at)
+        at = dropped.get(start, end)
+        ending = tag[:1] == "/"
+        tag = tag.lstrip("/")
         if tag == "a":
             in_link = int(not ending)
         elif tag == "br":
@@ -122,16 +196,17 @@ def blocks(html: str | None) -> list[Block]:
             close()
             in_link = 0
             if ending:
-                if any(t == tag for t, _ in stack):
-                    while stack.pop()[0] != tag:
+                if depth[tag]:
+                    while pop() != tag:
                         pass
                 continue
-            if stack and stack[-1][0] == "p":
-                stack.pop()
-            if tag == "li" and stack and stack[-1][0] == "li":
-                stack.pop()
+            if stack and (stack[-1][0] == "p" or stack[-1][0] == tag == "li"):
+                pop()
+                if tag == "li" and stack and stack[-1][0] == "li":
+                    pop()
             if tag not in VOID:
-                stack.append((tag, _name(tag, m[3])))
+                stack.append((tag, _name(tag, attributes)))
+                depth[tag] += 1
     parts.append(html[at:])
     close()
     return out
@@ -177,8 +252,8 @@ class Features:
         path_ids = []
         measures = np.empty((len(page), MEASURES), np.float32)
         for k, (path, text, links) in enumerate(page):
-            path_ids.append([self._path(t) for t in {*path, "@" + "/".join(path[-8:])}])
-            measures[k] = len(text), links, k / len(page), min(1.0, len(page) / 50)
+            path_ids.append([self._path(t) for t in path or ("",)])
+            measures[k] = len(text), links, k / len(page), min(1.0, len(page) / 50), text[-1] in ".!?…:;\"”»", k > 0 and path == page[k - 1][0]
         measures[:, 0] = np.minimum(1.5, np.log1p(measures[:, 0]) / 6)
         return path_ids, self.words([text for _, text, _ in page]), measures
 
@@ -192,7 +267,7 @@ class Features:
 
 def init(seed: int) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    shapes = {"path": (PATH_BUCKETS, DIM), "word": (WORD_BUCKETS, DIM), "wx": (2, 2 * DIM + MEASURES, 4 * HIDDEN), "u": (2, HIDDEN, 4 * HIDDEN), "b": (2, 1, 4 * HIDDEN), "out": (2 * HIDDEN + DIM,), "bias": (1,)}
+    shapes = {"path": (PATH_BUCKETS, DIM), "word": (WORD_BUCKETS, DIM), "wx": (2, 2 * DIM + MEASURES, 4 * HIDDEN), "u": (2, HIDDEN, 4 * HIDDEN), "b": (2, 1, 4 * HIDDEN), "out": (2 * HIDDEN,), "bias": (1,)}
     scale = {"b": 0, "bias": 0, "path": 0.1, "word": 0.05}
     return {k: (rng.standard_normal(s) * scale.get(k, 0.25)).astype(np.float32) for k, s in shapes.items()}
 
@@ -201,7 +276,7 @@ def _means(vectors: np.ndarray, flat: np.ndarray, lens: np.ndarray) -> np.ndarra
     return np.add.reduceat(vectors[flat], np.cumsum(lens) - lens, axis=0) / lens[:, None].astype(np.float32)
 
 
-def _lstm(p: dict[str, np.ndarray], x: np.ndarray, places: np.ndarray):
+def _lstm(p: dict[str, np.ndarray], x: np.ndarray, places: np.ndarray, keep: bool):
     """x: (blocks + 1, features), last row zero. places: (2, steps, pages) numbers of blocks in reading order."""
     gates_in = x @ p["wx"] + p["b"]
     h = c = np.zeros((2, places.shape[2], HIDDEN), np.float32)
@@ -214,7 +289,8 @@ def _lstm(p: dict[str, np.ndarray], x: np.ndarray, places: np.ndarray):
         g = np.tanh(a[..., 3 * HIDDEN :])
         new = f * c + i * g
         tc = np.tanh(new)
-        trace.append((h, c, i, f, o, g, tc))
+        if keep:
+            trace.append((h, c, i, f, o, g, tc))
         c, h = new, o * tc
         states[0, places[0, t]], states[1, places[1, t]] = h[0], h[1]
     return states, trace
@@ -242,8 +318,8 @@ def label(p: dict[str, np.ndarray], pages: list[tuple], keep: bool = False):
     x = np.concatenate([path_mean, word_mean, np.concatenate([page[2] for page in pages])], axis=1)
     x = np.concatenate([x, np.zeros((1, x.shape[1]), np.float32)])
     places = _places([len(page[0]) for page in pages])
-    states, trace = _lstm(p, x, places)
-    top = np.concatenate([states[0, :-1], states[1, :-1], path_mean], axis=1)
+    states, trace = _lstm(p, x, places, keep)
+    top = np.concatenate([states[0, :-1], states[1, :-1]], axis=1)
     prob = sigmoid(top @ p["out"] + p["bias"][0])
     return (prob, (x, places, trace, top, path_flat, path_lens, word_flat, word_lens)) if keep else prob
 
@@ -271,51 +347,94 @@ def _back(p: dict[str, np.ndarray], kept, d: np.ndarray) -> dict[str, np.ndarray
     g["wx"] = x.T @ dgates
     dx = (dgates @ p["wx"].transpose(0, 2, 1)).sum(axis=0)[:-1]
     g["path"], g["word"] = np.zeros_like(p["path"]), np.zeros_like(p["word"])
-    np.add.at(g["path"], path_flat, np.repeat((dx[:, :DIM] + dtop[:, 2 * HIDDEN :]) / path_lens[:, None], path_lens, axis=0))
+    np.add.at(g["path"], path_flat, np.repeat(dx[:, :DIM] / path_lens[:, None], path_lens, axis=0))
     np.add.at(g["word"], word_flat, np.repeat(dx[:, DIM : 2 * DIM] / word_lens[:, None], word_lens, axis=0))
     return g
 
 
-def _container(path: str) -> tuple[str, ...]:
-    out: list[str] = ["html", "body"] if path != "body" else ["html"]
+def _container(path: str, rng: np.random.Generator, named: float) -> tuple[str, ...]:
+    """Path tokens of nested elements. With a chance of 1 - ``named`` their names are made up or left out."""
+    out: list[str] = []
+    known = rng.random() < named
     for element in path.split():
-        tag, kind, word = re.fullmatch(r"(\w+)(?:([.#])(.+))?", element).groups()
-        out += _name(tag, f'{"class" if kind == "." else "id"}="{word}"' if word else "")
+        tag, kind, word = re.fullmatch(r"([\w-]+?)(?:([.#])(.+))?", element).groups()
+        if not known and tag not in PLAIN:
+            tag = PLAIN[rng.integers(len(PLAIN))]
+        if not known:
+            word = "".join(chr(97 + c) for c in rng.integers(0, 26, int(rng.integers(3, 9)))) if rng.random() < 0.6 else None
+        out += _name(tag, f'{"id" if kind == "#" else "class"}="{word}"' if word else "")
     return tuple(out)
 
 
+PLAIN = ("div", "div", "div", "section", "ul", "li", "p", "td")
+
+
 def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
-    """The page's main blocks in another container, among other boilerplate that holds text of the same page."""
+    """The page's main blocks in another container, among other kinds of blocks that hold text of the same page."""
     main = [b for b, y in zip(page, labels, strict=True) if y]
-    texts = [b[1] for b in page]
+    texts = [b[1].split() for b in page]
     if not main:
         return page, labels
     at = int(rng.integers(len(main)))
-    main = main[at : at + 30]
-    holder = _container(MAIN[rng.integers(len(MAIN))])
-
-    def other(n: int, inner: tuple[str, ...] = ()) -> list[tuple[Block, int]]:
-        out = []
-        for _ in range(n):
-            kind = OTHER[rng.integers(len(OTHER))]
-            for _ in range(int(rng.integers(1, 5))):
-                text = texts[rng.integers(len(texts))].split()
-                size = int(rng.integers(1, 12)) if rng.random() < 0.6 else int(rng.integers(10, 60))
-                path = _container(kind)
-                out.append(((inner + path[2:] if inner else path, " ".join(text[:size]), float(rng.random() < 0.3)), 0))
-        return out
-
+    main = main[at : at + int(rng.integers(1, 31))]
+    named = 0.5 if rng.random() < 0.8 else 0.0
+    root = ("html", "body", *(_container("div", rng, 0.3) if rng.random() < 0.5 else ()))
+    some = lambda items: items[rng.integers(len(items))]
+
+    def own(low: int, high: int) -> str:
+        words = some(texts)
+        start = int(rng.integers(max(1, len(words) - low)))
+        return " ".join(words[start : start + int(rng.integers(low, high))])
+
+    def other(kind: str, inside: tuple[str, ...]) -> list[tuple[Block, int]]:
+        path = inside + _container(some(KINDS[kind]), rng, named)
+        typical = lambda: some(TYPICAL[kind]).capitalize() if rng.random() < 0.6 else ""
+        out: list[tuple[str, float]] = []
+        if kind == "menu":
+            out = [(typical() or own(1, 4), float(rng.random() < 0.9)) for _ in range(int(rng.integers(2, 10)))]
+            if rng.random() < 0.3:  # all in one block
+                out = [(" ".join(t for t, _ in out), float(rng.random() < 0.8))]
+        elif kind in ("notice", "advert", "form"):
+            out = [(f"{typical()} {own(2, 14)}".strip(), float(rng.random() < 0.3)) for _ in range(int(rng.integers(1, 3)))]
+        elif kind == "teasers":
+            out = [(typical() or own(1, 4), 0.0)] + [(own(4, 14), float(rng.random() < 0.8)) for _ in range(int(rng.integers(1, 7)))]
+        elif kind == "footer":
+            out = [(f"{typical()} {own(1, 12) if rng.random() < 0.6 else ''}".strip() or "©", float(rng.random() < 0.3)) for _ in range(int(rng.integers(1, 4)))]
+        else:
+            if rng.random() < 0.5:
+                out.append((f"{int(rng.integers(1, 99))} {typical()}", 0.0))
+            split, tail = rng.random() < 0.6, rng.random() < 0.5
+            for _ in range(int(rng.integers(1, 6))):
+                who = f"{own(1, 3)} {some(TYPICAL[kind])}" if rng.random() < 0.8 else own(1, 3)
+                said = own(4, 50)
+                out += [(who, float(rng.random() < 0.3)), (said, 0.0)] if split else [(f"{who}: {said}", 0.0)]
+                if tail:
+                    out.append((some(TYPICAL[kind]).capitalize(), 1.0))
+        deeper = path + _container("p", rng, 1.0) if rng.random() < 0.4 else path
+        return [((deeper if rng.random() < 0.9 else path, t, link), 0) for t, link in out if t]
+
+    holder = root + _container(some(MAIN), rng, named)
     body: list[tuple[Block, int]] = []
-    for k, (path, text, links) in enumerate(main):
-        leaf = "h1" if k == 0 and rng.random() < 0.7 else LEAVES[rng.integers(len(LEAVES))]
-        body.append((((*holder, *leaf.split()), text, links), 1))
-        if rng.random() < 0.15:
-            body += other(1, holder)
-    rows = other(int(rng.integers(0, 4))) + body + other(int(rng.integers(0, 2)), holder) + other(int(rng.integers(0, 5)))
+    as_leaves = rng.random() < 0.9
+    for k, (_, text, links) in enumerate(main):
+        leaf = "h1" if k == 0 and rng.random() < 0.6 else some(LEAVES) if rng.random() < 0.4 else "p"
+        if leaf in ("figure figcaption", "h2", "h3"):
+            text = " ".join(text.split()[: int(rng.integers(3, 14))])
+        body.append((((*holder, *leaf.split()) if as_leaves else holder, text, links if rng.random() < 0.9 else float(rng.random())), 1))
+        if rng.random() < 0.08:
+            body += other(some(("advert", "teasers", "form")), holder)
+    rows: list[tuple[Block, int]] = []
+    for kind, chance in (("notice", 0.3), ("menu", 0.8), ("advert", 0.3), ("form", 0.2), ("teasers", 0.2)):
+        rows += other(kind, root) if rng.random() < chance else []
+    rows += body
+    if rng.random() < 0.6:
+        rows += other("comments", holder if rng.random() < 0.4 else root)
+    for kind, chance in (("teasers", 0.4), ("form", 0.2), ("advert", 0.2), ("menu", 0.3), ("footer", 0.7), ("notice", 0.15)):
+        rows += other(kind, root) if rng.random() < chance else []
     return [b for b, _ in rows], [y for _, y in rows]
 
 
-def fit(htmls: list[str], copies: int = 5, epochs: int = 4, batch: int = 16, rate: float = 0.01, seed: int = 5) -> dict[str, np.ndarray]:
+def fit(htmls: list[str], copies: int = 8, epochs: int = 4, batch: int = 16, rate: float = 0.01, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     features = Features()
     data = []
