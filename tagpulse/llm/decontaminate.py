@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 SHINGLE, THRESHOLD, RADIUS = 5, 0.8, 19
-#: Most benchmark shingles that are broadcast to the scan; above, the join shuffles both sides.
-BROADCAST_ROWS = 2_000_000
+#: Most benchmark shingles that are broadcast to the scan; above, the join shuffles both sides. A row is four numbers, 32 bytes
+#: and about as many of overhead, so 64 MB at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def word_array(text: Column) -> Column:

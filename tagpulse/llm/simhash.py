@@ -2,8 +2,9 @@
 
 Each text gets a 64-bit fingerprint. Distinct fingerprints are keyed by every choice of ``keep`` out of
 ``blocks`` bit blocks: two fingerprints that differ in at most blocks - keep bits share such a key, so
-joining on the keys loses no link. Candidates are verified by their Hamming distance, and linked groups
-are closed to connected components.
+joining on the keys loses no link. A key that more than ``limit`` fingerprints share is split: the same holds for
+the bits it leaves open, so its fingerprints are keyed anew by one of radius + 1 blocks of those bits as well, until no
+group is larger. Candidates are verified by their Hamming distance, and linked groups are closed to connected components.
 
 Defined cases: a null or wordless text has fingerprint zero and links like any other; texts of fewer than
 ``shingle`` words hash as one sequence; repeated rows each keep their row; rows with a null id take part
@@ -113,15 +114,40 @@ def _links(radius: int):
     return run
 
 
-def near_links(distinct: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp) whose closure has every pair within ``radius``."""
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def narrower(mask: int, parts: int) -> list[int]:
+    """``mask`` with each of ``parts`` nearly equal blocks of its open bits."""
+    bits = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(bits) * i // parts for i in range(parts + 1)]
+    return [mask | sum(1 << b for b in bits[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+
+
+def near_links(distinct: DataFrame, radius: int = 3, blocks: int = 6, limit: int = 1024) -> DataFrame:
+    """(a, b): links between distinct fingerprints (column fp) whose closure has every pair within ``radius``.
+
+    Splitting ends: fingerprints that share all but n bits are 2 ** n at most.
+    """
+    spark = distinct.sparkSession
     masks = block_masks(blocks, blocks - radius)
-    keyed = distinct.select(
-        F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("long"))) for i, m in enumerate(masks)])).alias("k"),
-        "fp",
-    )
-    dealt = keyed.repartition("k").sortWithinPartitions("k")
-    return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
+    rows = distinct.select("fp", F.explode(F.array(*[F.lit(signed(m)).cast("long") for m in masks])).alias("mask"))
+    links = None
+    while True:
+        keyed = rows.select("fp", "mask", F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("k"))
+        hot = materialize(keyed.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("k"))
+        done = hot.isEmpty()
+        small = keyed if done else keyed.join(hot, "k", "left_anti")
+        found = small.select("k", "fp").repartition("k").sortWithinPartitions("k").mapInArrow(_links(radius), "a long, b long")
+        links = found if links is None else links.unionByName(found)
+        if done:
+            return links.distinct()
+        finer = [(m, n) for m in masks for n in narrower(m, radius + 1)]
+        # a row for each of the finer masks, whose number does not depend on the data
+        of = spark.createDataFrame([(signed(m), signed(n)) for m, n in finer], "mask long, finer long")
+        rows = materialize(keyed.join(hot, "k", "left_semi").join(F.broadcast(of), "mask").select("fp", F.col("finer").alias("mask")).distinct())
+        masks = sorted({n for _, n in finer})
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, blocks: int = 6) -> DataFrame:

@@ -81,15 +81,18 @@ def test_fingerprints(spark, odd):
     assert simhash.fingerprints(odd).count() == odd.count()
 
 
-def test_near_links_lose_nothing(spark):
+@pytest.mark.parametrize("limit", [1024, 100])
+def test_near_links_lose_nothing(spark, limit):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
     near = [int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(1, 5), replace=False)) for b in base for _ in range(3)]
-    fps = np.unique(np.array([*map(int, base), *near], np.uint64))
+    alike = [int(base[0]) ^ int(x) for x in rng.integers(0, 1 << 32, 200, dtype=np.uint64)]  # share half their bits: hot keys
+    alike += [int(base[1]) ^ sum(1 << int(k) for k in rng.choice(9, 3, replace=False)) for _ in range(100)]
+    fps = np.unique(np.array([*map(int, base), *near, *alike], np.uint64))
     df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
     from tagpulse.llm.common import connected_components
 
-    got = {r.node: r.component for r in connected_components(simhash.near_links(df)).collect()}
+    got = {r.node: r.component for r in connected_components(simhash.near_links(df, limit=limit)).collect()}
     parent = list(range(len(fps)))
 
     def root(k):
