@@ -127,31 +127,31 @@ def scorer(model: Subwords, cache_words: int = 200_000, slab: int = 200_000):
     listed = margin.tolist()
     bias = float(model.bias[1] - model.bias[0])
     index: dict[str, int] = {}
-    known: list[tuple[float, int]] = []
-    table = np.zeros((0, 2))
+    table = np.zeros((1 << 12, 2))  # margin and hash of each known word
 
     def numbers(found: list[str]) -> list[int]:
         nonlocal table
         new = set(found).difference(index)
-        if len(index) + len(new) > cache_words:
+        if new and len(index) + len(new) > cache_words:
             index.clear()
-            known.clear()
-            table = np.zeros((0, 2))
             new = set(found)
-        for w in new:
-            b = buckets(w)
-            index[w] = len(known)
-            known.append((sum(map(listed.__getitem__, b)) / len(b), word_hash(w)))
+        if new:
+            first = len(index)
+            if first + len(new) > len(table):
+                table = np.concatenate([table, np.zeros((max(len(table), len(new)), 2))])
+            fresh = []
+            for w in new:
+                index[w] = len(index)
+                b = buckets(w)
+                fresh.append((sum(map(listed.__getitem__, b)) / len(b), word_hash(w)))
+            table[first : len(index)] = fresh
         return list(map(index.__getitem__, found))
 
     def total(found: list[str]) -> float:
         """Sum of margins; a long text goes in slabs that share a word, for the pair between them."""
-        nonlocal table
         out = 0.0
         for at in range(0, len(found), slab):
             ids = numbers(found[max(0, at - 1) : at + slab])
-            if len(table) < len(known):
-                table = np.concatenate([table, np.array(known[len(table) :])])
             some = table[ids]
             out += some[(at > 0) :, 0].sum() + margin[pair_buckets(some[:, 1].astype(np.int64))].sum()
         return out
