@@ -81,18 +81,18 @@ def test_fingerprints(spark, odd):
     assert simhash.fingerprints(odd).count() == odd.count()
 
 
-@pytest.mark.parametrize("limit", [1024, 100])
-def test_near_links_lose_nothing(spark, limit):
+@pytest.mark.parametrize(("radius", "blocks", "limit"), [(3, 6, 1024), (3, 6, 100), (4, 7, 1024), (4, 7, 100)])
+def test_near_links_lose_nothing(spark, radius, blocks, limit):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
-    near = [int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(1, 5), replace=False)) for b in base for _ in range(3)]
+    near = [int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(1, radius + 2), replace=False)) for b in base for _ in range(3)]
     alike = [int(base[0]) ^ int(x) for x in rng.integers(0, 1 << 32, 200, dtype=np.uint64)]  # share half their bits: hot keys
     alike += [int(base[1]) ^ sum(1 << int(k) for k in rng.choice(9, 3, replace=False)) for _ in range(100)]
     fps = np.unique(np.array([*map(int, base), *near, *alike], np.uint64))
     df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
     from tagpulse.llm.common import connected_components
 
-    got = {r.node: r.component for r in connected_components(simhash.near_links(df, limit=limit)).collect()}
+    got = {r.node: r.component for r in connected_components(simhash.near_links(df, radius, blocks, limit)).collect()}
     parent = list(range(len(fps)))
 
     def root(k):
@@ -101,7 +101,7 @@ def test_near_links_lose_nothing(spark, limit):
         return k
 
     for i in range(len(fps)):
-        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= radius):
             parent[root(int(j))] = root(i)
     want = collections.defaultdict(set)
     for i in range(len(fps)):
@@ -112,6 +112,21 @@ def test_near_links_lose_nothing(spark, limit):
     assert {frozenset(s) for s in want.values()} == {frozenset(s) for s in found.values()}
 
 
+def test_near_copies_of_the_stage(spark):
+    """Documents with one changed word of 300 go, all copies with four bits or fewer; unrelated ones stay."""
+    rng = random.Random(9)
+    texts = [prose(2000 + k, 300) for k in range(60)]
+    copies = []
+    for t in texts:
+        words = t.split()
+        words[rng.randrange(300)] = "changed"
+        copies.append(" ".join(words))
+    df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts + copies)], DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "x").select("doc_id").collect()}
+    near = {60 + k for k, (a, b) in enumerate(zip(texts, copies, strict=True)) if (slow_fingerprint(a) ^ slow_fingerprint(b)).bit_count() <= corpus_pipeline.NEAR_BITS}
+    assert kept == set(range(120)) - near and len(near) >= 50
+
+
 # 5
 
 
