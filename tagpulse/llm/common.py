@@ -8,23 +8,33 @@ from pyspark.sql import functions as F
 from ..sources.shared import discard
 from ..sources.shared import written as materialize
 
-__all__ = ["connected_components", "discard", "materialize", "table"]
+__all__ = ["by_key", "connected_components", "discard", "materialize", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_key(groups: DataFrame, *keys: str) -> DataFrame:
+    """``groups``, an aggregate by the long columns ``keys``, for a join on these with rows that one key may crowd.
+
+    Adaptive execution splits a hot key only where both sides of a join come straight from a shuffle. An aggregate by
+    the join's keys does not, as the join takes over its partitions; keys computed anew cost it one more shuffle, of
+    a row a key.
+    """
+    return groups.withColumns({k: F.col(k).bitwiseXOR(F.lit(0).cast("long")) for k in keys})
+
+
 def _min_neighbour(pairs: DataFrame) -> DataFrame:
     """(u, m): the smallest node among u and its neighbours; combined before the shuffle, so hubs do no harm."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return by_key(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "u")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b, longs); component is its smallest node.
 
     Alternating large-star and small-star steps. Each is an aggregate and an equi-join on the node, whose
-    skewed partitions (hubs) adaptive execution can split; no adjacency list is ever built. The edges are
+    skewed partitions (hubs) adaptive execution can split (see by_key); no adjacency list is ever built. The edges are
     written to the shared folder after each round. Raises if ``max_rounds`` do not suffice.
     """
     edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

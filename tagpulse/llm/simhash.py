@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, table
+from .common import by_key, connected_components, materialize, table
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SEED = 42
@@ -159,7 +159,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     groups = connected_components(near_links(distinct, radius, blocks))
     named = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("label"))
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    smallest = by_key(named.groupBy("label").agg(F.min("first_id").alias("component_id")), "label")
     return fps.join(named.select("fp", "label").join(smallest, "label"), "fp").select("doc_id", "text_hash", "fp", "label", "component_id")
 
 
