@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, table
+from .common import by_key, discard, materialize, table
 
 LENGTH, GRAM = 400, 128
 GROUP_LIMIT = 1000  # different blocks around one anchor that one task sorts; larger groups are split first
@@ -298,7 +298,8 @@ PIECES = ["anchor", "block", "copies", "base", "offset", "data"]
 
 def _open_groups(pieces: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n): groups of several pieces one of which occurs once; nothing else is left to decide."""
-    return pieces.groupBy(*keys).agg(F.count("*").alias("n"), F.min("copies").alias("least")).where("n > 1 and least = 1").select(*keys, "n")
+    sized = pieces.groupBy(*keys).agg(F.count("*").alias("n"), F.min("copies").alias("least"))
+    return by_key(sized.where("n > 1 and least = 1").select(*keys, "n"), *keys)
 
 
 def split_groups(pieces: DataFrame, length: int, width: int, limit: int) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -323,7 +324,7 @@ def split_groups(pieces: DataFrame, length: int, width: int, limit: int) -> tupl
         halves = parts.where("near < far").select("anchor", "block", "copies", F.explode(both).alias("h")).select("anchor", "block", "copies", "h.*")
         named = materialize(halves.withColumn("name", F.xxhash64("data", "near")))
         counts = named.groupBy("anchor", "name").agg(F.sum("copies").alias("total"), F.min(F.struct("block", "base")).alias("one"))
-        joined = named.join(counts, ["anchor", "name"])
+        joined = named.join(by_key(counts, "anchor", "name"), ["anchor", "name"])
         repeated.append(materialize(joined.where("total > 1").select("anchor", "block", F.col("base").alias("first"), (F.col("base") + n - 1).alias("last"))))
         distinct = joined.where((F.col("block") == F.col("one.block")) & (F.col("base") == F.col("one.base"))).withColumn("copies", F.col("total"))
         core = F.xxhash64("anchor", "near", "far", F.substring("data", F.col("offset") - F.col("near") + 1, F.lit(length) - (F.col("far") - F.col("near"))))
