@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tagpulse.llm import chat, decontaminate, html, images, mixing, quality, queries, sample, simhash, suffix, tokens, toxicity
+from tagpulse.llm import chat, common, decontaminate, html, images, mixing, quality, queries, sample, simhash, suffix, tokens, toxicity
 
 DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -112,6 +112,23 @@ def test_near_links_lose_nothing(spark, radius, blocks, limit):
     assert {frozenset(s) for s in want.values()} == {frozenset(s) for s in found.values()}
 
 
+def test_hot_keys_are_split(spark):
+    """A third of the rows under one key: adaptive execution splits the join with an aggregate by that key."""
+    small = {"autoBroadcastJoinThreshold": "-1", "adaptive.autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "16", "adaptive.advisoryPartitionSizeInBytes": "20KB", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(f"spark.sql.{k}", None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        pairs = common.materialize(spark.range(100_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("u"), F.col("id").alias("v")))
+        joined = pairs.join(common._min_neighbour(pairs), "u").select("v", "m").distinct()
+        rows = joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == 100_000 and sum(r.m for r in rows if r.v % 3 == 0) == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(f"spark.sql.{k}") if v is None else spark.conf.set(f"spark.sql.{k}", v)
+
+
 def test_near_copies_of_the_stage(spark):
     """Documents with one changed word of 300 go, all copies with four bits or fewer; unrelated ones stay."""
     rng = random.Random(9)
@@ -270,6 +287,37 @@ def test_token_attribution():
     assert list(counter.attribute(["h", "ello"], "most")) == [0, 1]
 
 
+def slow_attribution(counter, pieces, rule):
+    """Byte by byte: each token's bytes are dealt to the pieces that own them."""
+    owner = [k for k, p in enumerate(pieces) for _ in p.encode()]
+    out, at = [0.0] * len(pieces), 0
+    for token in counter.encode("".join(pieces)):
+        own = collections.Counter(owner[at : at + int(counter.lens[token])])
+        at += own.total()
+        if rule == "share":
+            for k, n in own.items():
+                out[k] += n / own.total()
+        else:
+            out[min(own) if rule == "start" else min(own, key=lambda k: (-own[k], k))] += 1
+    return out
+
+
+@pytest.mark.parametrize("rule", ["start", "most", "share"])
+def test_token_attribution_equals_brute_force(spark, rule):
+    counter = tokens.Counter(tokens.load_ranks())
+    rng = random.Random(rule)
+    texts = ["\n\n\n a\n\n", "", prose(5, 20_000), "x" * 100_000 + "\nend", "é日本\n\n  \n語🙂\n" * 40]
+    texts += ["".join(rng.choice([*WORDS, " ", "\n", "\n\n", "  ", "é", "日本", "🙂", "1234", "?!"]) for _ in range(rng.randint(1, 200))) for _ in range(60)]
+    for text in texts[-60:]:  # cut anywhere, so that many tokens cross
+        cuts = sorted(rng.randint(0, len(text)) for _ in range(rng.randint(0, 30)))
+        pieces = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        assert list(counter.attribute(pieces, rule)) == pytest.approx(slow_attribution(counter, pieces, rule))
+    rows = [*enumerate(texts), (0, texts[0]), (None, texts[-1])]  # a repeated row, a null id
+    want = collections.Counter((i, k, len(p), round(n, 6)) for i, t in rows for k, (p, n) in enumerate(zip(tokens.lines(t), slow_attribution(counter, tokens.lines(t), rule), strict=True)))
+    got = tokens.count_sections(spark.createDataFrame(rows, "doc_id long, text string"), rule=rule).collect()
+    assert collections.Counter((r.doc_id, r.section, r.n_chars, round(r.n_tokens, 6)) for r in got) == want
+
+
 def test_token_rows(spark, odd, empty):
     rows = tokens.count_sections(odd).where("doc_id in (1, 2)").collect()
     assert [(r.section, r.n_chars, r.n_tokens) for r in rows] == [(0, 0, 0)] * 2
