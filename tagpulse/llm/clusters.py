@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, table
@@ -34,14 +34,14 @@ STATE = "vec_id long, v array<long>, was int, cluster int, upper double, lower d
 SLACK = 1e-9
 
 
-def integer_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", dims: int | None = None, scale: int = 1024) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component, of whole and finite vectors."""
+def integer_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", dims: int | None = None, scale: int = 1024, keep: list[Column] = ()) -> DataFrame:
+    """(vec_id, v): floor(scale * x) of each component, of whole and finite vectors; ``keep`` has further columns."""
     x = F.col(vector_col).cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     wanted = rows.where(F.col(vector_col).isNotNull() & finite)
     if dims is not None:
         wanted = wanted.where(F.size(vector_col) == dims)
-    return wanted.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("long")).alias("v"))
+    return wanted.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("long")).alias("v"), *keep)
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, clusters, decontaminate, html, images, minhash, mixing, quality, simhash, suffix, tokens, toxicity
+from . import chat, clusters, decontaminate, html, images, minhash, mixing, negatives, quality, simhash, suffix, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
@@ -19,12 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_quality_subword": quality.op9_quality_subword,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op12_minhash_near_dedup": minhash.op12_minhash_near_dedup,
     "op13_centroid_clusters": clusters.op13_centroid_clusters,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_chat_prefix_targets": chat.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
     "op12_minhash_near_dedup": minhash.OP12_SQL,
     "op13_centroid_clusters": clusters.OP13_SQL,
 }
