@@ -193,7 +193,7 @@ def shard_files(spark, d):
 
 
 def proposal_files(spark, d):
-    """Proposals of two rounds in two folders."""
+    """Proposals of two rounds in two folders; a file holds as many objects as it happens to get."""
     folders = []
     for k, letter in enumerate("ab"):
         root = new_path(spark, f"round{letter}")

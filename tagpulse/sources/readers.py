@@ -1,13 +1,25 @@
-"""Readers. JSON files are read as whole texts and parsed by declared schemas; paths may lie in any store Spark reads."""
+"""Readers. JSON files are read as whole texts and parsed by declared schemas; paths may lie in any store Spark reads.
+
+A file can hold several JSON values one after the other; all are read. A file that cannot be read to its end, or not by its schema,
+is an error, raised by whatever uses its rows and naming the file; ``corrupt_files`` lists such files instead.
+"""
 
 from __future__ import annotations
 
+import json
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -16,6 +28,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of files without a byte, which Spark's readers pass over."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.globStatus(p) or []:
+        found += fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+    return [s.getPath().toString() for s in found if s.isFile() and not s.getLen() and s.getPath().getName()[0] not in "_."]
+
+
 def read_posts(spark: SparkSession, path: str | None = None, jdbc: dict | None = None) -> DataFrame:
     """Posts from Parquet, or over JDBC in id ranges (url, table, lower, upper, partitions)."""
     if jdbc:
@@ -57,8 +80,62 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", "^\\uFEFF", "").alias("body"))
 
 
+def json_values(text: str) -> tuple[list[str], str | None]:
+    """The texts of the JSON values that stand one after the other in ``text``, and what is wrong behind them."""
+    out, at, decoder = [], 0, json.JSONDecoder()
+    while at < len(text):
+        if text[at] in " \t\r\n":
+            at += 1
+            continue
+        try:
+            _, end = decoder.raw_decode(text, at)
+        except ValueError as e:
+            return out, str(e)
+        out.append(text[at:end])
+        at = end
+    return out, None if out else "no JSON value"
+
+
+def split_values(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, body, error): a row for each JSON value of a file, at is its place; one with an error where a file breaks off."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                bodies, error = json_values(text)
+                rows = [(body, None) for body in bodies] + ([(None, error)] if error else [])
+                columns = [pa.array([file] * len(rows)), pa.array(range(len(rows)), pa.int32()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["file", "at", "body", "error"])
+
+    rows = whole_texts(spark, path).mapInArrow(run, "file string, at int, body string, error string")
+    blank = [(f, 0, None, "no JSON value") for f in empty_files(spark, path)]
+    return rows.unionByName(spark.createDataFrame(blank, rows.schema)) if blank else rows
+
+
+def parsed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(file, at, j, error): as split_values, with j parsed by ``schema``; an error too where a value is not of that kind."""
+    kind = DataType.fromDDL(schema)
+    good = F.col("body").startswith("[" if isinstance(kind, ArrayType) else "{") & F.col("j").isNotNull()
+    for field in kind.names if isinstance(kind, StructType) else []:  # one of another kind is read as null
+        good = good & (F.get_json_object("body", f"$.{field}").isNull() | F.col("j")[field].isNotNull())
+    error = F.when(F.col("error").isNull() & ~good, F.lit(f"not {schema}")).otherwise(F.col("error"))
+    return split_values(spark, path).withColumn("j", F.from_json("body", schema)).select("file", "at", "j", error.alias("error"))
+
+
+def corrupt_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(file, error) of the files that cannot be read whole by ``schema``."""
+    return parsed(spark, path, schema).where("error IS NOT NULL").groupBy("file").agg(F.min_by("error", "at").alias("error"))
+
+
+def sound(rows: DataFrame, value: str) -> DataFrame:
+    """``rows`` whose ``value`` raises where their file has an error. It stands in the value, since filters may be moved."""
+    stop = F.raise_error(F.concat(F.lit("corrupt file "), "file", F.lit(": "), "error"))
+    return rows.withColumn(value, F.when(F.col("error").isNull(), F.col(value)).otherwise(stop)).drop("error")
+
+
 def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return whole_texts(spark, path).select("file", "body", F.from_json("body", schema).alias("j"))
+    """(file, at, j) of all values; raises at a corrupt file."""
+    return sound(parsed(spark, path, schema), "j")
 
 
 def read_name_map(spark: SparkSession, path: str) -> DataFrame:
@@ -84,8 +161,10 @@ def parse_layer(rows: DataFrame) -> DataFrame:
 
 def read_rejections(spark: SparkSession, path: str) -> DataFrame:
     """Tags of a JSON list, or the keys of a JSON object."""
-    rows = whole_texts(spark, path).select(F.coalesce(F.from_json("body", "array<string>"), F.map_keys(F.from_json("body", "map<string,string>"))).alias("tags"))
-    return rows.select(F.explode("tags").alias("tag"))
+    tags = F.coalesce(F.from_json(F.when(F.col("body").startswith("["), F.col("body")), "array<string>"), F.map_keys(F.from_json(F.when(F.col("body").startswith("{"), F.col("body")), "map<string,string>")))
+    rows = split_values(spark, path).withColumn("tags", tags)
+    wrong = F.when(F.col("error").isNull() & F.col("tags").isNull(), "neither a list nor an object").otherwise(F.col("error"))
+    return sound(rows.withColumn("error", wrong), "tags").select(F.explode("tags").alias("tag"))
 
 
 def read_alias_pool(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
@@ -111,23 +190,31 @@ def read_review_shards(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def read_proposals(spark: SparkSession, folders: list[str], rounds: list[str]) -> DataFrame:
-    """(tag, round, file, value) of every proposal; round is the place of the file's pattern in ``rounds``."""
+    """(tag, round, file, value) of every proposal; round is the place of the file's pattern in ``rounds``.
+
+    Of a file's values all count; where two of them propose for one tag, the later one holds, as within one object.
+    """
     out = None
     for k, pattern in enumerate(rounds):
         for folder in folders:
             if exists(spark, f"{folder}/{pattern}"):
                 rows = _json(spark, f"{folder}/{pattern}", schemas.PROPOSALS)
-                part = rows.select(F.lit(k).alias("round"), F.element_at(F.split("file", "/"), -1).alias("file"), F.explode("j.fixes").alias("tag", "value")).select("tag", "round", "file", "value")
+                each = rows.select("file", "at", F.explode("j.fixes").alias("tag", "value"))
+                part = each.groupBy("file", "tag").agg(F.max_by("value", "at").alias("value"))
+                part = part.select("tag", F.lit(k).alias("round"), F.element_at(F.split("file", "/"), -1).alias("file"), "value")
                 out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], "tag string, round int, file string, value string")
 
 
 def read_batches(spark: SparkSession, folder: str, kind: str = "out") -> tuple[DataFrame, DataFrame]:
     """((batch, tag, value), (batch, corrupt)): answers, plain or {zh_hans}, nulls dropped; the state of each file."""
-    rows = _json(spark, f"{folder}/{kind}_*.json", "map<string,string>").withColumn("batch", F.regexp_extract("file", r"_(\d+)\.json$", 1).cast("int"))
-    each = parse_layer(rows.select("batch", F.explode("j").alias("tag", "v")).select(F.struct("batch", "tag").alias("tag"), "v"))
+    batch = F.regexp_extract("file", r"_(\d+)\.json$", 1).cast("int")
+    rows = parsed(spark, f"{folder}/{kind}_*.json", "map<string,string>").withColumn("batch", batch)
+    states = rows.groupBy("batch").agg(F.bool_or(F.col("error").isNotNull()).alias("corrupt"))
+    whole = rows.join(states.where("NOT corrupt").select("batch"), "batch", "left_semi")
+    each = parse_layer(whole.select("batch", F.explode("j").alias("tag", "v")).select(F.struct("batch", "tag").alias("tag"), "v"))
     answers = each.select("tag.batch", "tag.tag", F.coalesce("value", "hans").alias("value")).where(F.col("value").isNotNull())
-    return answers, rows.select("batch", F.col("j").isNull().alias("corrupt"))
+    return answers, states
 
 
 def clean_picks(df: DataFrame) -> DataFrame:
