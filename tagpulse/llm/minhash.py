@@ -6,14 +6,13 @@ A text's set is its distinct word shingles, as 64-bit XXH64 values; its sketch t
    order in which values of more than ``LIMIT`` sketches (passages that many texts share, large families of copies) come last, else
    by value. Values met once are dropped, and of lists with the same members one is kept.
 2. Overlaps. The members of a list are compared in one task, a long list in pieces of about ``LIMIT``; the smallest K values of
-   both sketches together estimate the similarity. What is ``SIGMAS`` deviations below the aim is no candidate.
-   Sets of at most K shingles are known whole.
-3. Candidates are confirmed on their full sets, made again from the texts.
+   both sketches together estimate the similarity. Members without a partner within ``SIGMAS`` deviations of the aim go no further.
+3. The others come again with their full sets, made anew from the texts. Pairs that the estimate lets pass are confirmed on these,
+   the most similar first; a pair already joined by links is not looked at. So a piece returns a spanning forest of its links, and
+   no step emits all pairs of a group, nor is a partner capped.
 
-Pairs already in one component need no test. So a first pass only takes a spanning forest of each list's (or piece's) candidates,
-best ones first; long lists are dealt anew a few times, with the members of most links in every piece, until their
-components cease to grow; a last pass tests all candidates between components that are left, members outside a long list's
-largest component against all of it, piece by piece. No step emits all pairs of a group, and no partner is capped.
+Long lists are dealt anew a few times, with the members of most links in every piece, until their components cease to
+grow; at last the members outside a long list's largest component are compared with all of it, block by block.
 
 What can be lost: a pair at the aim misses the lists with a probability of some 1e-9 at most (0.15 ** 16 without frequent
 values; ``SIGMAS`` deviations with them; never for sets of at most INDEXED shingles), and the estimate at ``SIGMAS``
@@ -40,7 +39,7 @@ from .simhash import LOWER
 
 SEED = 42
 #: Sketch values; those listed; listed ones of a text with few and with many frequent values.
-K, INDEXED, NARROW = 128, 64, 16
+K, INDEXED, NARROW = 128, 32, 16
 SIGMAS = 6
 LIMIT = 256
 #: Members of most links that join each piece of a long list; rounds of dealing it anew.
@@ -144,82 +143,115 @@ def _pieces(m: str) -> F.Column:
     return F.ceil(F.col(m) / LIMIT).cast("int")
 
 
-def _candidates(rule: Rule, forest: bool):
-    """Per piece, of partitions sorted by it: (a, b, sure) of candidates in different components.
-
-    side: 1 is compared with 2, 3 with both. forest: only a spanning forest of the candidates, the most similar first.
-    """
-    top = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-    def overlaps(i: int, others: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(candidate, sure, similarity) of row i against others."""
-        mine = s[i, : min(K, n[i])]
-        at = np.searchsorted(mine, s[others])
-        hit = mine[np.minimum(at, len(mine) - 1)] == s[others]
-        hit &= np.arange(K) < np.minimum(n[others], K)[:, None]
-        both = hit.sum(axis=1)
-        sure = (n[i] <= K) & (n[others] <= K)
-        union = n[i] + n[others] - both
-        place = np.arange(1, K + 1) + at + 1 - np.cumsum(hit, axis=1)  # in both sketches together
-        within = (hit & (place <= K)).sum(axis=1)
-        near_size = 100 * np.minimum(n[i], n[others]) >= rule.percent * np.maximum(n[i], n[others])
-        good = near_size & np.where(sure, 100 * both >= rule.percent * union, within >= rule.least)
-        return good, sure, np.where(sure, both / union, within / K)
-
-    def piece(cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, s: np.ndarray) -> list[tuple[int, int, bool]]:
-        found: list[tuple[float, int, int, bool]] = []
-        for i in np.flatnonzero(side & 1):
-            others = np.flatnonzero((comp != comp[i]) & (side & 2 > 0) & ((np.arange(len(cls)) > i) | (side & 1 == 0)))
-            if len(others):
-                good, sure, like = overlaps(i, others, s, n)
-                found.extend(zip(like[good].tolist(), [int(i)] * int(good.sum()), others[good].tolist(), sure[good].tolist(), strict=True))
-        if not forest:
-            return [(int(cls[i]), int(cls[j]), x) for _, i, j, x in found]
-        root = {c: c for c in comp.tolist()}
+TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
 
-        out = []
-        for _, i, j, x in sorted(found, key=lambda f: -f[0]):
-            a, b = find(int(comp[i])), find(int(comp[j]))
-            if a != b:
-                root[a] = b
-                out.append((int(cls[i]), int(cls[j]), x))
-        return out
+def _overlaps(rule: Rule, i: int, others: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(candidate, similarity) of row i against others, by sketches s of sets of n members."""
+    mine = s[i, : min(K, n[i])]
+    at = np.searchsorted(mine, s[others])
+    hit = mine[np.minimum(at, len(mine) - 1)] == s[others]
+    hit &= np.arange(K) < np.minimum(n[others], K)[:, None]
+    both = hit.sum(axis=1)
+    sure = (n[i] <= K) & (n[others] <= K)
+    place = np.arange(1, K + 1) + at + 1 - np.cumsum(hit, axis=1)  # in both sketches together
+    within = (hit & (place <= K)).sum(axis=1)
+    union = n[i] + n[others] - both
+    near_size = 100 * np.minimum(n[i], n[others]) >= rule.percent * np.maximum(n[i], n[others])
+    good = near_size & np.where(sure, 100 * both >= rule.percent * union, within >= rule.least)
+    return good, np.where(sure, both / union, within / K)
+
+
+def _partners(i: int, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Rows of other components that row i is compared with; side: 1 is compared with 2, 3 with both."""
+    return np.flatnonzero((comp != comp[i]) & (side & 2 > 0) & ((np.arange(len(comp)) > i) | (side & 1 == 0)))
+
+
+def _sketch_matrix(lists_: list[np.ndarray]) -> np.ndarray:
+    s = np.full((len(lists_), K), TOP)
+    for row, values in zip(s, lists_, strict=True):
+        row[: min(K, len(values))] = values[:K]
+    return s
+
+
+def _by_piece(close, names: list[str]):
+    """A task over partitions sorted by piece; ``close`` turns (piece, cls, comp, n, side, sets) of one into columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def close(t: pa.Table) -> pa.RecordBatch:
-            cls, comp, n, side = (t.column(c).to_numpy() for c in ("cls", "comp", "n", "side"))
-            _, first = np.unique(np.stack([cls, side & 1]), axis=1, return_index=True)  # hubs can come twice
+        def done() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            _, first = np.unique(np.stack([t.column("cls").to_numpy(), t.column("side").to_numpy() & 1]), axis=1, return_index=True)  # hubs can come twice
             t = t.take(pa.array(np.sort(first)))
-            cls, comp, n, side = (t.column(c).to_numpy() for c in ("cls", "comp", "n", "side"))
-            s = np.full((len(cls), K), top)
-            sizes = np.minimum(n, K)
-            s[np.arange(K) < sizes[:, None]] = pa.concat_arrays([c.flatten() for c in t.column("sketch").chunks]).to_numpy().view(np.uint64)
-            got = piece(cls, comp, n, side, s)
-            cols = [pa.array([min(a, b) for a, b, _ in got], pa.int64()), pa.array([max(a, b) for a, b, _ in got], pa.int64()), pa.array([x for _, _, x in got], pa.bool_())]
-            return pa.RecordBatch.from_arrays(cols, names=["a", "b", "sure"])
+            sets = [x.values.to_numpy().view(np.uint64) for c in t.column("members").chunks for x in c]
+            numbers = [t.column(c).to_numpy() for c in ("cls", "comp", "n", "side")]
+            return pa.RecordBatch.from_arrays(close(held[0].column(0)[0].as_py(), *numbers, sets), names=names)
 
         for batch in batches:
             keys = batch.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
             for x, y in zip(cuts, cuts[1:], strict=False):
                 if held and held[-1].column(0)[0].as_py() != keys[x]:
-                    yield close(pa.Table.from_batches(held))
-                    held = []
+                    yield done()
+                    held.clear()
                 held.append(batch.slice(x, y - x))
         if held:
-            yield close(pa.Table.from_batches(held))
+            yield done()
 
     return run
 
 
+def _flags(rule: Rule):
+    """(piece, cls, comp, n, side) of the members that have a candidate in another component."""
+
+    def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
+        s, flagged = _sketch_matrix(sets), np.zeros(len(cls), bool)
+        for i in np.flatnonzero(side & 1):
+            others = _partners(i, comp, side)
+            if len(others):
+                good, _ = _overlaps(rule, i, others, s, n)
+                flagged[others[good]] = True
+                flagged[i] |= good.any()
+        return [pa.array(np.full(int(flagged.sum()), piece)), *[pa.array(x[flagged]) for x in (cls, comp, n, side)]]
+
+    return _by_piece(close, ["piece", "cls", "comp", "n", "side"])
+
+
+def _links(rule: Rule):
+    """(a, b): a spanning forest of the links between components, confirmed on full sets."""
+
+    def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
+        s, found = _sketch_matrix(sets), []
+        for i in np.flatnonzero(side & 1):
+            others = _partners(i, comp, side)
+            if len(others):
+                good, like = _overlaps(rule, i, others, s, n)
+                found.extend(zip((-like[good]).tolist(), [int(i)] * int(good.sum()), others[good].tolist(), strict=True))
+        root = {c: c for c in comp.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        out = []
+        for _, i, j in sorted(found):
+            x, y = find(int(comp[i])), find(int(comp[j]))
+            if x == y:
+                continue
+            small, large = (i, j) if n[i] <= n[j] else (j, i)
+            at = np.searchsorted(sets[large], sets[small])
+            both = int((sets[large][np.minimum(at, n[large] - 1)] == sets[small]).sum())
+            if 100 * both >= rule.percent * (n[i] + n[j] - both):
+                root[x] = y
+                out.append((int(cls[i]), int(cls[j])))
+        return [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)]
+
+    return _by_piece(close, ["a", "b"])
+
+
 class Linker:
     """Links of the classes (cls, n, first, sketch), confirmed on full sets; grows round by round."""
 
@@ -227,6 +259,7 @@ class Linker:
         self.docs, self.classes, self.rule, self.cols = docs, classes, rule, (id_col, text_col)
         self.links: DataFrame | None = None
         self.comps: DataFrame | None = None
+        self.sets: DataFrame | None = None
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """``rows`` (with cls) with their component so far."""
@@ -234,23 +267,17 @@ class Linker:
             return rows.withColumn("comp", F.col("cls"))
         return rows.join(self.comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
-    def candidates(self, pieces: DataFrame, forest: bool) -> DataFrame:
-        """(a, b, sure) of ``pieces`` (piece, cls, comp, side)."""
-        rows = pieces.join(self.classes.select("cls", "n", "sketch"), "cls").select("piece", "cls", "comp", "n", "side", "sketch")
-        pairs = rows.repartition("piece").sortWithinPartitions("piece").mapInArrow(_candidates(self.rule, forest), "a long, b long, sure boolean")
-        return materialize(pairs.distinct())
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """Adds what holds on full sets to the links, and closes components over them."""
-        open_ = pairs.where("NOT sure").select("a", "b")
-        each = open_.select(F.col("a").alias("cls")).union(open_.select("b")).distinct()
-        wanted = self.classes.select("cls", "first").join(each, "cls", "left_semi")
-        sets = materialize(full_sets(self.docs, wanted, *self.cols, self.rule.shingle))
-        left, right = (sets.select(F.col("cls").alias(c), F.col("members").alias(f"s{c}")) for c in "ab")
-        both = F.size(F.array_intersect("sa", "sb"))
-        held = open_.join(left, "a").join(right, "b").where(100 * both >= self.rule.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-        new = materialize(pairs.where("sure").select("a", "b").unionByName(held))
-        discard(sets)
+    def link(self, pieces: DataFrame, later: DataFrame | None = None) -> None:
+        """Adds the links of ``pieces`` (piece, cls, comp, side). later: classes (cls) of the pieces still to come."""
+        rows = pieces.join(self.classes.select("cls", "n", F.col("sketch").alias("members")), "cls")
+        dealt = lambda df: df.select("piece", "cls", "comp", "n", "side", "members").repartition("piece").sortWithinPartitions("piece")
+        flagged = materialize(dealt(rows).mapInArrow(_flags(self.rule), "piece long, cls long, comp long, n long, side int"))
+        if self.sets is None:
+            each = flagged.select("cls")
+            wanted = self.classes.select("cls", "first").join((each if later is None else each.unionByName(later)).distinct(), "cls", "left_semi")
+            self.sets = materialize(full_sets(self.docs, wanted, *self.cols, self.rule.shingle))
+        new = materialize(dealt(flagged.join(self.sets, "cls")).mapInArrow(_links(self.rule), "a long, b long"))
+        discard(flagged)
         self.links = new if self.links is None else materialize(self.links.unionByName(new).distinct())
         groups = connected_components(self.links)
         self.comps = groups.select(F.col("node").alias("cls"), F.col("component").alias("comp"))
@@ -265,36 +292,32 @@ def linked_components(docs: DataFrame, classes: DataFrame, rule: Rule, id_col: s
     all_lists = materialize(lists(classes, rule))
     short, long_ = all_lists.where(F.col("m") <= LIMIT), all_lists.where(F.col("m") > LIMIT)
     work = Linker(docs, classes, rule, id_col, text_col)
-    whole = short.select(F.col("v").alias("piece"), "cls")
-    some_long = not long_.isEmpty()
-    if some_long:
-        # the n-th long list of each member, another one each round
-        turn = long_.groupBy("cls").agg(F.array_sort(F.collect_set(F.struct("v", "m"))).alias("own"))  # as many as are listed at most
-        turn = materialize(turn)
-    outside = None
-    for n in range(ROUNDS if some_long else 1):
-        pieces = whole if n == 0 else whole.limit(0)
-        if some_long:
-            own = F.element_at("own", F.lit(n) % F.size("own") + 1)
-            dealt = turn.select("cls", own["v"].alias("v"), own["m"].alias("m"))
-            key = lambda k: F.xxhash64("v", k, F.lit(n))
-            pieces = pieces.unionByName(dealt.select(key(F.pmod(F.xxhash64("cls", F.lit(n)), _pieces("m"))).alias("piece"), "cls"))
-            if n:
-                best = Window.partitionBy("v").orderBy(F.desc("degree"), "cls")  # Spark cuts each task's rows to HUBS before the shuffle
-                hubs = dealt.join(work.degrees(), "cls").withColumn("r", F.row_number().over(best)).where(F.col("r") <= HUBS)
-                spread = hubs.select("cls", "v", F.explode(F.sequence(F.lit(0), _pieces("m") - 1)).alias("k"))
-                pieces = pieces.unionByName(spread.select(key(F.col("k")).alias("piece"), "cls"))
-        work.confirm(work.candidates(work.labelled(pieces).withColumn("side", F.lit(3)), forest=True))
-        if some_long:
-            before, outside = outside, _outside(work.labelled(long_)).count()
-            if not outside or before is not None and outside > 0.9 * before:
-                break
-    mixed = work.labelled(short)
-    spans = mixed.groupBy("v").agg((F.min("comp") != F.max("comp")).alias("open")).where("open").select("v")
-    rest = mixed.join(by_key(spans, "v"), "v", "left_semi").select(F.col("v").alias("piece"), "cls", "comp", F.lit(3).alias("side"))
-    if outside:
-        rest = rest.unionByName(_blocks(work.labelled(long_)))
-    work.confirm(work.candidates(rest, forest=False))
+    pieces = work.labelled(short.select(F.col("v").alias("piece"), "cls")).withColumn("side", F.lit(3))
+    if long_.isEmpty():
+        work.link(pieces)
+        return work.comps
+    # each round deals another one of a member's long lists; a member has as many as are listed at most
+    own = materialize(long_.groupBy("cls").agg(F.array_sort(F.collect_set(F.struct("v", "m"))).alias("own")))
+    before = None
+    for n in range(ROUNDS):
+        one = F.element_at("own", F.lit(n) % F.size("own") + 1)
+        dealt = own.select("cls", one["v"].alias("v"), one["m"].alias("m"))
+        key = lambda k, n=n: F.xxhash64("v", k, F.lit(n))
+        part = dealt.select(key(F.pmod(F.xxhash64("cls", F.lit(n)), _pieces("m"))).alias("piece"), "cls")
+        if n:
+            best = Window.partitionBy("v").orderBy(F.desc("degree"), "cls")  # Spark cuts each task's rows to HUBS before the shuffle
+            hubs = dealt.join(work.degrees(), "cls").withColumn("r", F.row_number().over(best)).where(F.col("r") <= HUBS)
+            spread = hubs.select("cls", "v", F.explode(F.sequence(F.lit(0), _pieces("m") - 1)).alias("k"))
+            part = part.unionByName(spread.select(key(F.col("k")).alias("piece"), "cls"))
+        part = work.labelled(part).withColumn("side", F.lit(3))
+        work.link(part if n else pieces.unionByName(part), own.select("cls"))
+        outside = _outside(work.labelled(long_)).count()
+        if not outside:
+            return work.comps
+        if before is not None and outside > 0.9 * before:
+            break
+        before = outside
+    work.link(_blocks(work.labelled(long_)))
     return work.comps
 
 
