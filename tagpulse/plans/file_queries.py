@@ -82,8 +82,13 @@ def index_category_months(spark, d):
     return X.rounded(built_index(spark, d)["fact_category_monthly"], "n_eff")
 
 
+def _cells_and_totals(x, out):
+    cells, totals = I.merged(x.spark, out, x.lookup)
+    return cells.unionByName(totals.select(F.lit(-1).alias("tag_id"), "day", "posts", "fav_sum", "score_sum"))
+
+
 def ingest_replayed(spark, d):
-    """The last slice's totals and commit are lost, as after a crash between its writes; a second run replays that slice. Equals daily_cells."""
+    """The last slice's totals and commits are lost, as after a crash between its writes; a second run replays that slice. Equals daily_cells."""
     x = X.Index(spark, d)
     source, out, ckpt = (new_path(spark, n) for n in ("posts", "ingest", "ingest-checkpoint"))
     posts = x.view("posts")
@@ -93,13 +98,31 @@ def ingest_replayed(spark, d):
     I.ingest(stream, out, ckpt, settings, X.FIRST)
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(ckpt).getFileSystem(hadoop)
-    last = max(int(f.getPath().getName()) for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{ckpt}/commits")) if f.getPath().getName().isdigit())
-    for lost in (f"{ckpt}/commits/{last}", f"{ckpt}/commits/.{last}.crc", f"{out}/totals/batch={last}"):
+    last = max(lo for lo, _ in I.committed(spark, out))
+    for lost in (f"{ckpt}/commits/{last}", f"{ckpt}/commits/.{last}.crc", f"{out}/totals/batch={last}", f"{out}/done/batch={last}"):
         fs.delete(jvm.org.apache.hadoop.fs.Path(lost), True)
     I.ingest(spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 2).parquet(source), out, ckpt, settings, X.FIRST)
-    cells, totals = I.merged(spark, out, x.lookup)
-    whole = totals.select(F.lit(-1).alias("tag_id"), "day", "posts", "fav_sum", "score_sum")
-    return cells.unionByName(whole)
+    return _cells_and_totals(x, out)
+
+
+ID_SLICES = 11
+
+
+def ingest_ids(spark, d):
+    """Posts ingested by ranges of ids, in a run to half the ids and one to the end, slices merged by threes; equals daily_cells."""
+    x = X.Index(spark, d)
+    source, out, ckpt = (new_path(spark, n) for n in ("posts", "ingest", "ingest-checkpoint"))
+    sinks.write_clustered(x.view("posts"), source, ["id"])
+    posts = readers.read_posts(spark, source)
+    bound = C.next_id(posts).first().max_id  # one row
+    chunk = -(-bound // ID_SLICES)
+    for end in (6 * chunk, None):
+        I.ingest_ranges(posts, out, ckpt, chunk, {"floor": X.FLOOR}, X.FIRST, max_id=end, fan=3)
+    runs = I.committed(spark, out)
+    if sum(hi == lo + 1 for lo, hi in runs) != ID_SLICES or (0, 9) not in runs:
+        raise AssertionError(f"slices do not follow the chunk size: {sorted(runs)}")
+    I.expire(spark, out)
+    return _cells_and_totals(x, out)
 
 
 TOP = ["part_4", "part_8", "part_22", "part_25", "part_33"]
@@ -324,7 +347,7 @@ def phrase_conversion(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    index_tables, index_category_months, ingest_replayed, chart_share, chart_relative, name_map_files, layer_files, rejection_files, pool_files, translation_files, override_files, variant_files, batch_answers, shard_files, proposal_files,
+    index_tables, index_category_months, ingest_replayed, ingest_ids, chart_share, chart_relative, name_map_files, layer_files, rejection_files, pool_files, translation_files, override_files, variant_files, batch_answers, shard_files, proposal_files,
     exported_pool, exported_buckets, batch_files, written_layer, resolved_names, serving_tables, copyright_map, search_current, target_report, judge_targets, long_signs, phrase_conversion,
 )}
 
@@ -353,6 +376,7 @@ ORACLE_SQL = {
         UNION ALL SELECT 'fact_tag_monthly', count(*), sum(posts)::BIGINT FROM months UNION ALL SELECT 'fact_total_monthly', count(*), sum(posts)::BIGINT FROM totals UNION ALL SELECT 'fact_category_monthly', count(*), sum(posts)::BIGINT FROM categories""", *X.ALL, X.CATEGORIES),
     "index_category_months": X.ORACLE_SQL["category_monthly"],
     "ingest_replayed": X.sql("SELECT * FROM daily UNION ALL SELECT -1, * FROM total_daily", *X.CELLS, X.TOTALS),
+    "ingest_ids": X.sql("SELECT * FROM daily UNION ALL SELECT -1, * FROM total_daily", *X.CELLS, X.TOTALS),
     "chart_share": X.sql(SHOWN, *X.ALL, X.AXIS, X.COMPLETE, f"vals AS (SELECT name, datediff('month', e, m.month)::INT AS i, m.posts * 10000 / t.posts AS v FROM epoch, months m JOIN dim USING (tag_id) JOIN totals t USING (month) WHERE name IN {NAMED})", FIT, X.SMOOTH.replace("{src}", "fit")),
     "chart_relative": X.sql(SHOWN + " AND s.i BETWEEN 5 AND 70", *X.ALL, X.CATEGORIES, X.AXIS, X.COMPLETE, f"vals AS (SELECT name, datediff('month', e, month)::INT AS i, s / (1 / n_eff - s * s) AS v FROM epoch, shares JOIN categories c USING (category, month) WHERE active_tags > 1 AND name IN {NAMED})", FIT, X.SMOOTH.replace("{src}", "fit")),
     "name_map_files": both("SELECT tag, 'ja' AS lang, kana AS name FROM spelled UNION ALL SELECT tag, 'zh_hans', hans FROM spelled"),
