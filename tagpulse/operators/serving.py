@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.han import Converter
 from ..schemas import LANGS
+from ..sources.serving_store import read_by_key
 from ..sources.shared import written
 from .names import filled
-from .series import dense_categories, month_axis, series_arrays
+from .series import complete_months, dense_categories, month_axis, series_arrays
 
 #: Fixed value: the longest name, in bytes, that the bundle format took.
 MAX_NAME_BYTES = 255
@@ -108,16 +109,58 @@ def search_many(rows: DataFrame, queries: DataFrame, n: int = 3) -> DataFrame:
     return out.distinct()
 
 
+def postings(rows: DataFrame, n: int = 3) -> DataFrame:
+    """(gram, tag, term): every distinct gram of 1 to n characters of every term, to be stored and searched many times."""
+    terms = rows.select("tag", F.explode("terms").alias("term"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(n), F.length("term")))
+    every = F.array_distinct(F.flatten(F.transform(sizes, lambda s: F.transform(F.sequence(F.lit(1), F.length("term") - s + 1), lambda i: F.substring(F.col("term"), i, s)))))
+    return terms.where("term <> ''").select(F.explode(every).alias("gram"), "tag", "term")
+
+
+def search_stored(queries: DataFrame, path: str, n: int = 3) -> DataFrame:
+    """(query, tag): as search_many, over stored postings: a query reads the postings of its rarest gram and nothing else."""
+    spark = queries.sparkSession
+    asked = queries.select("query", F.lower("query").alias("q")).where("q <> ''").distinct()
+    size = F.least(F.length("q"), F.lit(n))
+    own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("q") - size + 1), lambda i: F.substring(F.col("q"), i, size)))
+    keyed = written(asked.select("query", "q", F.explode(own).alias("gram")))
+    # a gram without postings comes first: such a query finds nothing
+    frequency = read_by_key(spark, f"{path}/frequency", "gram", keyed)
+    rarest = keyed.join(frequency, "gram", "left").groupBy("query", "q").agg(F.min_by("gram", F.struct(F.coalesce("f", F.lit(0)), "gram")).alias("gram"))
+    rarest = written(rarest)
+    found = read_by_key(spark, f"{path}/postings", "gram", rarest).join(rarest, "gram")
+    return found.where(F.col("term").contains(F.col("q"))).select("query", "tag").distinct()
+
+
+def servable(dim: DataFrame, min_posts: int = 0, limit_bytes: bool = True) -> DataFrame:
+    kept = dim.where(F.col("post_count") >= min_posts)
+    return kept.where(F.octet_length("name") <= MAX_NAME_BYTES) if limit_bytes else kept
+
+
 def serving_rows(dim: DataFrame, tag_months: DataFrame, totals: DataFrame, names: DataFrame, pool: DataFrame, conv: Converter, min_posts: int = 0, limit_bytes: bool = True) -> dict[str, DataFrame]:
     """The tables behind chart and search: totals, categories, tags with their runs, names, search rows."""
     axis = month_axis(totals)
-    kept = dim.where(F.col("post_count") >= min_posts)
-    if limit_bytes:
-        kept = kept.where(F.octet_length("name") <= MAX_NAME_BYTES)
+    kept = servable(dim, min_posts, limit_bytes)
     listed = names_list(kept, fill_chinese(names, conv), pool)
     return {"totals": axis, "tags": series_arrays(tag_months, kept, axis), "names": listed, "search": search_rows(kept, listed, conv)}
 
 
+def serving_set(dim: DataFrame, tag_months: DataFrame, totals: DataFrame, categories: DataFrame, names: DataFrame, pool: DataFrame, conv: Converter, min_posts: int = 0, limit_bytes: bool = True) -> dict[str, DataFrame]:
+    """The six tables that are published together: those of serving_rows, category series on the whole axis, and meta.
+
+    meta is one row: epoch (first month), months, first_complete, last_complete (by index), categories, and serving_stats.
+    """
+    made = serving_rows(dim, tag_months, totals, names, pool, conv, min_posts, limit_bytes)
+    axis = made["totals"]
+    series = dense_categories(categories, axis)
+    complete = complete_months(axis).select(F.col("first").alias("first_complete"), F.col("last").alias("last_complete"))
+    kinds = series.agg(F.countDistinct("category").alias("categories"))
+    meta = axis.agg(F.min("month").alias("epoch"), F.count("*").alias("months"))
+    for one in (complete, kinds, serving_stats(servable(dim, min_posts, limit_bytes), names, pool)):  # one row each
+        meta = meta.crossJoin(F.broadcast(one))
+    return {**made, "categories": series, "meta": meta}
+
+
 def dense_category_table(categories: DataFrame, totals: DataFrame) -> DataFrame:
     return dense_categories(categories, month_axis(totals))
 

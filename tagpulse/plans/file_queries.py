@@ -5,6 +5,8 @@ Files are written from the fixture first: JSON objects of up to ``PER_FILE`` tag
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ..operators import review as R
 from ..operators import series as S
 from ..operators import serving as V
 from ..sources import readers, sinks
+from ..sources import serving_store as store
 from ..sources.shared import new_path
 from ..streaming import ingest as I
 from . import index_queries as X
@@ -298,6 +301,37 @@ def serving_tables(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+def serving_set(spark, d):
+    """All six tables of a published set in one long form. An older version, of fewer tags, was current before."""
+    x, root = X.Index(spark, d), new_path(spark, "serving")
+    dim = Q.dim(spark, d)
+    months = S.monthly(C.daily_cells(x.view("posts"), A.tag_lookup(dim, x.resolved), X.FIRST), "tag_id")
+    made = lambda floor: V.serving_set(dim, months, x.totals, S.category_monthly(months, dim), Q.folded(spark, d), Q._pool(spark, d), CONV, min_posts=floor)
+    for floor in (4 * X.FLOOR, X.FLOOR):
+        store.publish(made(floor), root)
+    tables = store.read_serving(spark, root)
+    store.expire_versions(spark, root)
+    text = lambda c: F.col(c).cast("string")
+    tags, meta = tables["tags"], tables["meta"]
+    facts = ("epoch", "months", "first_complete", "last_complete", "categories", "tags", "displayable", "translated")
+    parts = [
+        tables["totals"].select(F.lit("totals").alias("kind"), text("month").alias("key"), text("posts").alias("value")),
+        tables["categories"].select(F.lit("categories").alias("kind"), F.concat_ws(";", text("category"), text("i")).alias("key"), F.concat_ws(";", text("posts"), F.round(F.col("n_eff") * 1e6).cast("long").cast("string")).alias("value")),
+        tags.select(F.lit("tags").alias("kind"), F.col("name").alias("key"), F.concat_ws(";", text("first_i"), F.array_join(F.col("values").cast("array<string>"), ",")).alias("value")),
+        tables["names"].select(F.lit("names").alias("kind"), F.col("tag").alias("key"), F.concat_ws(";", text("pos"), F.coalesce("lang", F.lit("-")), "name").alias("value")),
+        tables["search"].select(F.lit("search").alias("kind"), F.col("tag").alias("key"), F.array_join("terms", "|").alias("value")),
+        meta.select(F.lit("meta").alias("kind"), F.explode(F.create_map(*[v for k in facts for v in (F.lit(k), text(k))])).alias("key", "value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def search_stored(spark, d):
+    """The queries of search_many over stored postings."""
+    path = new_path(spark, "grams")
+    store.write_postings(V.postings(Q._search_rows(spark, d)), path)
+    return V.search_stored(Q.asked(spark, d), path)
+
+
 def copyright_map(spark, d):
     """The copyright picker, English by fallback where no official entry has one."""
     official = spelled(spark, d).where("k % 10 = 4").select("tag", F.lit(None).cast("string").alias("zh_hans"), F.lit("").alias("zh_hant"), F.lit("").alias("ja"), F.when(F.col("k") % 20 == 4, F.col("latin")).alias("en"), F.col("hangul").alias("ko"))
@@ -348,7 +382,7 @@ def phrase_conversion(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     index_tables, index_category_months, ingest_replayed, ingest_ids, chart_share, chart_relative, name_map_files, layer_files, rejection_files, pool_files, translation_files, override_files, variant_files, batch_answers, shard_files, proposal_files,
-    exported_pool, exported_buckets, batch_files, written_layer, resolved_names, serving_tables, copyright_map, search_current, target_report, judge_targets, long_signs, phrase_conversion,
+    exported_pool, exported_buckets, batch_files, written_layer, resolved_names, serving_tables, serving_set, search_stored, copyright_map, search_current, target_report, judge_targets, long_signs, phrase_conversion,
 )}
 
 
@@ -369,6 +403,10 @@ SHOWN = """SELECT s.name, s.i, axis.month, round(f.posts::DOUBLE, 6) AS value, r
 NAMED = "(" + ", ".join(f"'{t}'" for t in TOP) + ")"
 ANY_DIM = "dim AS (SELECT id AS tag_id, name, category::TINYINT AS category, post_count::BIGINT AS post_count, is_deprecated <> 0 AS is_deprecated FROM tags)"
 POOLS = f"SELECT tag, kana || '|' || latin AS names FROM spelled JOIN tags ON name = tag WHERE k % 5 <> 0 AND post_count >= {X.FLOOR} AND category <> 1"
+SERVED = ", ".join((ANY_DIM, X.RESOLVED, X.LOOKUP, X.LIVE, X.DAILY, X.TOTALS, X.MONTHS, X.TOTAL_MONTHS, X.AXIS, Q.FOLD, Q.LISTED, Q.TERMS)) + f", kept AS (SELECT name FROM dim WHERE post_count >= {X.FLOOR})"
+SERVED_ROWS = """ SELECT 'totals' AS kind, month::VARCHAR AS key, coalesce(posts, 0)::VARCHAR AS value FROM axis LEFT JOIN totals USING (month)
+        UNION ALL SELECT 'tags', name, min(i)::VARCHAR || ';' || string_agg(posts::VARCHAR, ',' ORDER BY i) FROM points WHERE name IN (FROM kept) GROUP BY name UNION ALL SELECT 'names', tag, pos::VARCHAR || ';' || coalesce(lang, '-') || ';' || name FROM listed WHERE tag IN (FROM kept)
+        UNION ALL SELECT 'search', tag, array_to_string(terms, '|') FROM search_rows WHERE tag IN (FROM kept)"""
 both = Q._sql
 ORACLE_SQL = {
     "index_tables": X.sql(
@@ -396,11 +434,13 @@ ORACLE_SQL = {
     "resolved_names": both(
         f"""SELECT tag, zh_hans, CASE WHEN zh_hans IS NOT NULL AND zh_hant IS NOT NULL AND ({Q.s2t('zh_hans')} = zh_hant OR NOT ({Q.traditional('zh_hant')})) THEN {Q.s2t('zh_hans')} ELSE zh_hant END AS zh_hant, ja, en, ko, rejected FROM folded WHERE regexp_extract(tag, '[0-9]+')::BIGINT % 2 = 0
         UNION ALL SELECT tag || '_(set)', hans || CASE WHEN k % 7 <> 0 AND k % 3 <> 0 AND k % 11 <> 0 THEN '（国剑）' ELSE '' END, NULL, NULL, NULL, NULL, false FROM spelled WHERE k % 40 = 4""", Q.FOLD),
-    "serving_tables": duck(
-        ", ".join((ANY_DIM, X.RESOLVED, X.LOOKUP, X.LIVE, X.DAILY, X.TOTALS, X.MONTHS, X.TOTAL_MONTHS, X.AXIS, Q.FOLD, Q.LISTED, Q.TERMS))
-        + f""", kept AS (SELECT name FROM dim WHERE post_count >= {X.FLOOR}) SELECT 'totals' AS kind, month::VARCHAR AS key, coalesce(posts, 0)::VARCHAR AS value FROM axis LEFT JOIN totals USING (month)
-        UNION ALL SELECT 'tags', name, min(i)::VARCHAR || ';' || string_agg(posts::VARCHAR, ',' ORDER BY i) FROM points WHERE name IN (FROM kept) GROUP BY name UNION ALL SELECT 'names', tag, pos::VARCHAR || ';' || coalesce(lang, '-') || ';' || name FROM listed WHERE tag IN (FROM kept)
-        UNION ALL SELECT 'search', tag, array_to_string(terms, '|') FROM search_rows WHERE tag IN (FROM kept)""", "tags", "aliases", "posts", "spelled"),
+    "serving_tables": duck(SERVED + SERVED_ROWS, "tags", "aliases", "posts", "spelled"),
+    "serving_set": duck(
+        SERVED.replace("kept AS", f"{X.CATEGORIES}, {X.COMPLETE}, kept AS") + SERVED_ROWS + """
+        UNION ALL SELECT 'categories', t.category::VARCHAR || ';' || a.i::VARCHAR, coalesce(c.posts, 0)::VARCHAR || ';' || round(coalesce(c.n_eff, 0) * 1000000)::BIGINT::VARCHAR FROM (SELECT DISTINCT category FROM categories) t CROSS JOIN axis a LEFT JOIN categories c ON c.category = t.category AND c.month = a.month
+        UNION ALL SELECT 'meta', unnest(['epoch', 'months', 'first_complete', 'last_complete', 'categories', 'tags', 'displayable', 'translated']), unnest([e::VARCHAR, (SELECT count(*) FROM axis)::VARCHAR, "first"::VARCHAR, "last"::VARCHAR, (SELECT count(DISTINCT category) FROM categories)::VARCHAR,
+          (SELECT count(*) FROM kept)::VARCHAR, (SELECT count(*) FROM kept JOIN folded ON tag = name WHERE shown)::VARCHAR, (SELECT count(*) FROM kept JOIN folded ON tag = name JOIN spelled USING (tag) WHERE shown OR k % 2 = 0)::VARCHAR]) FROM epoch, whole""".replace("WHERE shown", "WHERE coalesce(zh_hans, zh_hant, ja, en, ko) <> ''"), "tags", "aliases", "posts", "spelled"),
+    "search_stored": Q.ORACLE_SQL["search_many"],
     "copyright_map": both(
         """SELECT tag, CASE WHEN k % 10 <> 4 THEN hans END AS zh_hans, CASE WHEN k % 10 <> 4 THEN hant END AS zh_hant, CASE WHEN k % 10 <> 4 THEN kana END AS ja, CASE WHEN k % 20 = 4 THEN latin ELSE 'Part ' || k::VARCHAR END AS en, hangul AS ko
         FROM spelled JOIN tags ON name = tag WHERE k % 13 <> 0 AND k % 11 <> 0 AND post_count > 0 AND category IN (3, 4)""", views=Q.BOTH),

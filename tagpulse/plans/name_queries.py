@@ -12,6 +12,8 @@ from ..operators import names as N
 from ..operators import review as R
 from ..operators import serving as V
 from ..sources.readers import alias_pool, clean_picks, parse_layer
+from ..sources.serving_store import write_keyed
+from ..sources.shared import new_path
 from ..sources.sinks import display_name_rows
 from .fixture import PHRASES, STAGES, duck, spark_view
 
@@ -282,13 +284,19 @@ def search_one(spark, d):
 
 
 def exact_tag(spark, d):
-    return V.find(dim(spark, d), "part_17").select("tag_id", "name", "post_count")
+    """A look-up in a stored table that is clustered by name."""
+    path = new_path(spark, "dim")
+    write_keyed(dim(spark, d), path, ["name"])
+    return V.find(spark.read.parquet(path), "part_17").select("tag_id", "name", "post_count")
 
 
-def search_many(spark, d):
+def asked(spark, d) -> DataFrame:
     """The query set of a search: every row whose key is divisible by 20."""
-    queries = spelled(spark, d).where("k % 20 = 0").select(F.explode(F.array(F.concat(F.lit("RT_"), F.col("k").cast("string")), F.substring("hant", 1, 3))).alias("query"))
-    return V.search_many(_search_rows(spark, d), queries)
+    return spelled(spark, d).where("k % 20 = 0").select(F.explode(F.array(F.concat(F.lit("RT_"), F.col("k").cast("string")), F.substring("hant", 1, 3))).alias("query"))
+
+
+def search_many(spark, d):
+    return V.search_many(_search_rows(spark, d), asked(spark, d))
 
 
 def search_many_whole(spark, d):
