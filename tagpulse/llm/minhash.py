@@ -1,13 +1,14 @@
 """MinHash near-duplicate detection by bottom-k sketches of one hash function.
 
-A text's set is its distinct word shingles, as 64-bit XXH64 values; its sketch the ``K`` smallest. Texts of equal sets are one class.
+A text's set is its distinct word shingles, as 64-bit XXH64 values; its sketch the smallest ``INDEXED`` of them (of a full set, the
+smallest ``K``). Texts of equal sets are one class.
 
 1. Inverted lists. Of each sketch the first values in a common order are listed, so that a linked pair shares a listed value: an
    order in which values of more than ``LIMIT`` sketches (passages that many texts share, large families of copies) come last, else
    by value. Values met once are dropped, and of lists with the same members one is kept.
-2. Overlaps. The members of a list are compared in one task, a long list in pieces of about ``LIMIT``; the smallest K values of
+2. Overlaps. The members of a list are compared in one task, a long list in pieces of about ``LIMIT``; the smallest values of
    both sketches together estimate the similarity. Members without a partner within ``SIGMAS`` deviations of the aim go no further.
-3. The others come again with their full sets, made anew from the texts. Pairs that the estimate lets pass are confirmed on these,
+3. The others come again with their full sets, made anew from the texts. Pairs that a finer estimate lets pass are confirmed on these,
    the most similar first; a pair already joined by links is not looked at. So a piece returns a spanning forest of its links, and
    no step emits all pairs of a group, nor is a partner capped.
 
@@ -38,7 +39,7 @@ from .common import by_key, connected_components, discard, materialize, table
 from .simhash import LOWER
 
 SEED = 42
-#: Sketch values; those listed; listed ones of a text with few and with many frequent values.
+#: Values of a full set's sketch; of the sketch that lists are made of; listed ones of a text with few frequent values.
 K, INDEXED, NARROW = 128, 32, 16
 SIGMAS = 6
 LIMIT = 256
@@ -62,10 +63,9 @@ class Rule:
     def wide(self) -> int:
         return min(INDEXED, int(self.beyond(INDEXED)) + 1)
 
-    @property
-    def least(self) -> int:
-        """Shared values of a pair's K smallest that make it a candidate."""
-        return int(K - self.beyond(K))
+    def least(self, k: int) -> int:
+        """Shared values of a pair's k smallest that make it a candidate."""
+        return int(k - self.beyond(k))
 
 
 def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
@@ -95,7 +95,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
                 s = shingle_set(t.as_py(), shingle)
                 n.append(len(s))
                 cls.append(xxhash.xxh64_intdigest(s.tobytes(), len(s)) if len(s) else None)
-                low.append(s[:K])
+                low.append(s[:INDEXED])
             key = pa.array([None if c is None else c - (1 << 64) if c >> 63 else c for c in cls], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), key, _longs(low)], names=["doc_id", "text_hash", "n", "cls", "sketch"])
 
@@ -147,30 +147,31 @@ TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _overlaps(rule: Rule, i: int, others: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(candidate, similarity) of row i against others, by sketches s of sets of n members."""
-    mine = s[i, : min(K, n[i])]
+    """(candidate, similarity) of row i against others, by sketches s (a row each) of sets of n members."""
+    k = s.shape[1]
+    mine = s[i, : min(k, n[i])]
     at = np.searchsorted(mine, s[others])
     hit = mine[np.minimum(at, len(mine) - 1)] == s[others]
-    hit &= np.arange(K) < np.minimum(n[others], K)[:, None]
+    hit &= np.arange(k) < np.minimum(n[others], k)[:, None]
     both = hit.sum(axis=1)
-    sure = (n[i] <= K) & (n[others] <= K)
-    place = np.arange(1, K + 1) + at + 1 - np.cumsum(hit, axis=1)  # in both sketches together
-    within = (hit & (place <= K)).sum(axis=1)
+    sure = (n[i] <= k) & (n[others] <= k)
+    place = np.arange(1, k + 1) + at + 1 - np.cumsum(hit, axis=1)  # in both sketches together
+    within = (hit & (place <= k)).sum(axis=1)
     union = n[i] + n[others] - both
-    near_size = 100 * np.minimum(n[i], n[others]) >= rule.percent * np.maximum(n[i], n[others])
-    good = near_size & np.where(sure, 100 * both >= rule.percent * union, within >= rule.least)
-    return good, np.where(sure, both / union, within / K)
+    good = np.where(sure, 100 * both >= rule.percent * union, within >= rule.least(k))
+    return good, np.where(sure, both / union, within / k)
 
 
-def _partners(i: int, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Rows of other components that row i is compared with; side: 1 is compared with 2, 3 with both."""
-    return np.flatnonzero((comp != comp[i]) & (side & 2 > 0) & ((np.arange(len(comp)) > i) | (side & 1 == 0)))
+def _partners(rule: Rule, i: int, comp: np.ndarray, n: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Rows of other components, of a size that allows a link, that row i is compared with; side: 1 is compared with 2, 3 with both."""
+    near_size = (100 * n >= rule.percent * n[i]) & (100 * n[i] >= rule.percent * n)
+    return np.flatnonzero(near_size & (comp != comp[i]) & (side & 2 > 0) & ((np.arange(len(comp)) > i) | (side & 1 == 0)))
 
 
-def _sketch_matrix(lists_: list[np.ndarray]) -> np.ndarray:
-    s = np.full((len(lists_), K), TOP)
+def _sketch_matrix(lists_: list[np.ndarray], k: int) -> np.ndarray:
+    s = np.full((len(lists_), k), TOP)
     for row, values in zip(s, lists_, strict=True):
-        row[: min(K, len(values))] = values[:K]
+        row[: min(k, len(values))] = values[:k]
     return s
 
 
@@ -206,9 +207,9 @@ def _flags(rule: Rule):
     """(piece, cls, comp, n, side) of the members that have a candidate in another component."""
 
     def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
-        s, flagged = _sketch_matrix(sets), np.zeros(len(cls), bool)
+        s, flagged = _sketch_matrix(sets, INDEXED), np.zeros(len(cls), bool)
         for i in np.flatnonzero(side & 1):
-            others = _partners(i, comp, side)
+            others = _partners(rule, i, comp, n, side)
             if len(others):
                 good, _ = _overlaps(rule, i, others, s, n)
                 flagged[others[good]] = True
@@ -222,9 +223,9 @@ def _links(rule: Rule):
     """(a, b): a spanning forest of the links between components, confirmed on full sets."""
 
     def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
-        s, found = _sketch_matrix(sets), []
+        s, found = _sketch_matrix(sets, K), []
         for i in np.flatnonzero(side & 1):
-            others = _partners(i, comp, side)
+            others = _partners(rule, i, comp, n, side)
             if len(others):
                 good, like = _overlaps(rule, i, others, s, n)
                 found.extend(zip((-like[good]).tolist(), [int(i)] * int(good.sum()), others[good].tolist(), strict=True))
