@@ -1,9 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-Tokens are runs without white space, case kept; a run of over ``MAX_WORD`` characters is read as several tokens. A token's
-vector is the mean of its hashed word vector and its hashed character n-gram vectors. Each pair of neighbours has a hashed
-vector too, by the difference of the two tokens' hashes, so pairs of equal tokens share one. A document's vector
-is the mean over all its tokens and pairs, and a softmax over two classes follows. Vectors and softmax are learned by
+Tokens are runs without white space, case kept, of any length. A token's vector is the mean of its hashed word vector and its
+hashed character n-gram vectors. Each pair of neighbours has a hashed vector too, by both words in order. A document's vector is the mean over all its tokens and pairs, and a softmax over two classes follows. Vectors and softmax are learned by
 stochastic gradient descent in numpy. At scoring each distinct token is reduced to its class margin once, so a
 whole text of any length costs one look-up a token.
 
@@ -26,7 +24,6 @@ from .common import table
 from .sample import held_out, sigmoid, training_sample
 
 NGRAMS = (2, 3)
-MAX_WORD = 64
 SIZE, PAIRS = 1 << 16, 1 << 14  # vectors of words and n-grams, and of pairs behind them
 
 
@@ -40,10 +37,7 @@ class Subwords:
 
 
 def words(text: str | None) -> list[str]:
-    found = (text or "").split()
-    if max(map(len, found), default=0) > MAX_WORD:
-        found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found
+    return (text or "").split()
 
 
 def word_hash(word: str) -> int:
@@ -62,8 +56,10 @@ def buckets(word: str) -> list[int]:
 
 
 def pair_buckets(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of neighbours, by the hashes of consecutive words."""
-    mixed = np.diff(hashes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    """Buckets of neighbours, by the hashes of consecutive words in their order."""
+    h = hashes.astype(np.uint64)
+    mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return SIZE + (mixed >> np.uint64(40)).astype(np.int64) % PAIRS
 
 

@@ -1,7 +1,6 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-Inputs are words and characters. Words are runs of ASCII letters, digits and other letters' bytes, case folded; a run of over
-``MAX_WORD`` bytes is read as several words. Each word is its hashed word vector beside the mean of its hashed character
+Inputs are words and characters. Words are runs of ASCII letters, digits and other letters' bytes, of any length, case folded. Each word is its hashed word vector beside the mean of its hashed character
 trigram vectors. A document is cut into overlapping windows that together cover every word; each window is read
 in both directions, its states are pooled by attention and give a probability, and the document's score is that
 of its most toxic window. Fitting follows suit: a toxic document teaches by its most toxic window, a clean one
@@ -30,16 +29,12 @@ WINDOW, STRIDE = 48, 36
 EARLY, DROP = 3, 0.05  # random windows a document in the first third of the epochs; share of words left out in training
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 13, 1 << 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 12, 12, 8
-MAX_WORD = 64
 #: ASCII letters to lower case, other ASCII but digits to spaces; bytes of other letters stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
 
 
 def words(text: str | None) -> list[bytes]:
-    found = (text or "").encode("utf-8", "replace").translate(FOLD).split()
-    if any(len(w) > MAX_WORD for w in found):
-        found = [w[i : i + MAX_WORD] for w in found for i in range(0, len(w), MAX_WORD)]
-    return found
+    return (text or "").encode("utf-8", "replace").translate(FOLD).split()
 
 
 def init(seed: int) -> dict[str, np.ndarray]:
