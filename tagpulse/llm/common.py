@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..sources.shared import discard
 from ..sources.shared import written as materialize
 
-__all__ = ["by_key", "connected_components", "discard", "materialize", "table"]
+__all__ = ["LOWER", "by_key", "connected_components", "discard", "materialize", "table"]
+
+#: A byte table that lower-cases A-Z.
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

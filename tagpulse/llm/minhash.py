@@ -35,8 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_key, connected_components, discard, materialize, table
-from .simhash import LOWER
+from .common import LOWER, by_key, connected_components, discard, materialize, table
 
 SEED = 42
 #: Values of a full set's sketch; of the sketch that lists are made of; listed ones of a text with few frequent values.
@@ -131,9 +130,9 @@ def listed(classes: DataFrame, rule: Rule) -> DataFrame:
     return chosen.select("cls", F.explode("vs").alias("v"))
 
 
-def lists(classes: DataFrame, rule: Rule) -> DataFrame:
-    """(v, m, cls): the inverted lists of two members or more, one of those with the same members."""
-    postings = materialize(listed(classes, rule))
+def lists(postings: DataFrame) -> DataFrame:
+    """(v, m, cls): the inverted lists of (cls, v) with two members or more, one of those with the same members."""
+    postings = materialize(postings)
     sums = postings.groupBy("v").agg(F.count("*").alias("m"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("members")).where("m > 1")
     kept = sums.groupBy("m", "members").agg(F.min("v").alias("v")).select("v", "m")
     return postings.join(by_key(kept, "v"), "v").select("v", "m", "cls")
@@ -162,7 +161,7 @@ def _overlaps(rule: Rule, i: int, others: np.ndarray, s: np.ndarray, n: np.ndarr
     return good, np.where(sure, both / union, within / k)
 
 
-def _partners(rule: Rule, i: int, comp: np.ndarray, n: np.ndarray, side: np.ndarray) -> np.ndarray:
+def partners(rule: Rule, i: int, comp: np.ndarray, n: np.ndarray, side: np.ndarray) -> np.ndarray:
     """Rows of other components, of a size that allows a link, that row i is compared with; side: 1 is compared with 2, 3 with both."""
     near_size = (100 * n >= rule.percent * n[i]) & (100 * n[i] >= rule.percent * n)
     return np.flatnonzero(near_size & (comp != comp[i]) & (side & 2 > 0) & ((np.arange(len(comp)) > i) | (side & 1 == 0)))
@@ -175,7 +174,7 @@ def _sketch_matrix(lists_: list[np.ndarray], k: int) -> np.ndarray:
     return s
 
 
-def _by_piece(close, names: list[str]):
+def by_piece(close, names: list[str]):
     """A task over partitions sorted by piece; ``close`` turns (piece, cls, comp, n, side, sets) of one into columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,23 +208,23 @@ def _flags(rule: Rule):
     def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
         s, flagged = _sketch_matrix(sets, INDEXED), np.zeros(len(cls), bool)
         for i in np.flatnonzero(side & 1):
-            others = _partners(rule, i, comp, n, side)
+            others = partners(rule, i, comp, n, side)
             if len(others):
                 good, _ = _overlaps(rule, i, others, s, n)
                 flagged[others[good]] = True
                 flagged[i] |= good.any()
         return [pa.array(np.full(int(flagged.sum()), piece)), *[pa.array(x[flagged]) for x in (cls, comp, n, side)]]
 
-    return _by_piece(close, ["piece", "cls", "comp", "n", "side"])
+    return by_piece(close, ["piece", "cls", "comp", "n", "side"])
 
 
-def _links(rule: Rule):
+def confirmed(rule: Rule):
     """(a, b): a spanning forest of the links between components, confirmed on full sets."""
 
     def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
         s, found = _sketch_matrix(sets, K), []
         for i in np.flatnonzero(side & 1):
-            others = _partners(rule, i, comp, n, side)
+            others = partners(rule, i, comp, n, side)
             if len(others):
                 good, like = _overlaps(rule, i, others, s, n)
                 found.extend(zip((-like[good]).tolist(), [int(i)] * int(good.sum()), others[good].tolist(), strict=True))
@@ -250,7 +249,12 @@ def _links(rule: Rule):
                 out.append((int(cls[i]), int(cls[j])))
         return [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)]
 
-    return _by_piece(close, ["a", "b"])
+    return by_piece(close, ["a", "b"])
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of pieces, each piece together in one partition."""
+    return rows.select("piece", "cls", "comp", "n", "side", "members").repartition("piece").sortWithinPartitions("piece")
 
 
 class Linker:
@@ -271,13 +275,12 @@ class Linker:
     def link(self, pieces: DataFrame, later: DataFrame | None = None) -> None:
         """Adds the links of ``pieces`` (piece, cls, comp, side). later: classes (cls) of the pieces still to come."""
         rows = pieces.join(self.classes.select("cls", "n", F.col("sketch").alias("members")), "cls")
-        dealt = lambda df: df.select("piece", "cls", "comp", "n", "side", "members").repartition("piece").sortWithinPartitions("piece")
         flagged = materialize(dealt(rows).mapInArrow(_flags(self.rule), "piece long, cls long, comp long, n long, side int"))
         if self.sets is None:
             each = flagged.select("cls")
             wanted = self.classes.select("cls", "first").join((each if later is None else each.unionByName(later)).distinct(), "cls", "left_semi")
             self.sets = materialize(full_sets(self.docs, wanted, *self.cols, self.rule.shingle))
-        new = materialize(dealt(flagged.join(self.sets, "cls")).mapInArrow(_links(self.rule), "a long, b long"))
+        new = materialize(dealt(flagged.join(self.sets, "cls")).mapInArrow(confirmed(self.rule), "a long, b long"))
         discard(flagged)
         self.links = new if self.links is None else materialize(self.links.unionByName(new).distinct())
         groups = connected_components(self.links)
@@ -290,7 +293,7 @@ class Linker:
 
 def linked_components(docs: DataFrame, classes: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     """(cls, comp) of the classes that have a link."""
-    all_lists = materialize(lists(classes, rule))
+    all_lists = materialize(lists(listed(classes, rule)))
     short, long_ = all_lists.where(F.col("m") <= LIMIT), all_lists.where(F.col("m") > LIMIT)
     work = Linker(docs, classes, rule, id_col, text_col)
     pieces = work.labelled(short.select(F.col("v").alias("piece"), "cls")).withColumn("side", F.lit(3))
@@ -302,12 +305,12 @@ def linked_components(docs: DataFrame, classes: DataFrame, rule: Rule, id_col: s
     before = None
     for n in range(ROUNDS):
         one = F.element_at("own", F.lit(n) % F.size("own") + 1)
-        dealt = own.select("cls", one["v"].alias("v"), one["m"].alias("m"))
+        turn = own.select("cls", one["v"].alias("v"), one["m"].alias("m"))
         key = lambda k, n=n: F.xxhash64("v", k, F.lit(n))
-        part = dealt.select(key(F.pmod(F.xxhash64("cls", F.lit(n)), _pieces("m"))).alias("piece"), "cls")
+        part = turn.select(key(F.pmod(F.xxhash64("cls", F.lit(n)), _pieces("m"))).alias("piece"), "cls")
         if n:
             best = Window.partitionBy("v").orderBy(F.desc("degree"), "cls")  # Spark cuts each task's rows to HUBS before the shuffle
-            hubs = dealt.join(work.degrees(), "cls").withColumn("r", F.row_number().over(best)).where(F.col("r") <= HUBS)
+            hubs = turn.join(work.degrees(), "cls").withColumn("r", F.row_number().over(best)).where(F.col("r") <= HUBS)
             spread = hubs.select("cls", "v", F.explode(F.sequence(F.lit(0), _pieces("m") - 1)).alias("k"))
             part = part.unionByName(spread.select(key(F.col("k")).alias("piece"), "cls"))
         part = work.labelled(part).withColumn("side", F.lit(3))

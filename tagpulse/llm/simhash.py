@@ -6,6 +6,10 @@ joining on the keys loses no link. A key that more than ``limit`` fingerprints s
 the bits it leaves open, so its fingerprints are keyed anew by one of radius + 1 blocks of those bits as well, until no
 group is larger. Candidates are verified by their Hamming distance, and linked groups are closed to connected components.
 
+``similar_groups`` has no radius for its rule but a similarity of shingle sets. Its candidates come from wider apart than blocks can
+reach: many keys of some bits each, drawn at random, so that a pair at the aim shares one of them with a probability of
+``RECALL``; the Hamming distance sifts them, and those left are confirmed on their full sets.
+
 Defined cases: a null or wordless text has fingerprint zero and links like any other; texts of fewer than
 ``shingle`` words hash as one sequence; repeated rows each keep their row; rows with a null id take part
 and get the smallest non-null id of their component (null if there is none); extra columns are ignored.
@@ -22,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_key, connected_components, materialize, table
+from .common import LOWER, by_key, connected_components, discard, materialize, table
+from .minhash import Rule, by_piece, confirmed, dealt, full_sets, lists, partners, shingle_set
 
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SEED = 42
 
 
@@ -163,12 +167,81 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return fps.join(named.select("fp", "label").join(smallest, "label"), "fp").select("doc_id", "text_hash", "fp", "label", "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+#: Of similar_groups: words a feature of the fingerprint, the share of bits in which a pair at the aim differs, the largest number of them
+#: that is looked at, the part of such pairs that share a key, and members that are compared in one task.
+FEATURE, DIFFERING, FAR, RECALL, GROUP = 2, 0.10, 14, 0.98, 256
+
+
+def drawn_masks(count: int, seed: int = 1) -> list[int]:
+    """Masks of as many random bits as tell ``count`` fingerprints apart, and as many masks as RECALL takes."""
+    bits = int(min(48, max(12, np.ceil(np.log2(max(2, count))))))
+    n = int(np.ceil(np.log(1 - RECALL) / np.log(1 - (1 - DIFFERING) ** bits)))
+    rng = np.random.default_rng(seed)
+    return [sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in range(n)]
+
+
+def _sets_and_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, text_hash, n, cls, fp): cls stands for the shingle set, n is its size; one row per input row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), shingle) for t in b.column(2)]
+            cls = np.array([xxhash.xxh64_intdigest(x.tobytes(), len(x)) for x in sets], np.uint64).view(np.int64)
+            fps = np.array([fingerprint(t.as_py(), FEATURE) for t in b.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) for x in sets], pa.int64()), pa.array(cls), pa.array(fps)], names=["doc_id", "text_hash", "n", "cls", "fp"])
+
+    text = F.col(text_col)
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    return picked.mapInArrow(run, "doc_id long, text_hash long, n long, cls long, fp long")
+
+
+def _near(rule: Rule):
+    """(piece, cls, comp, n, side) of members whose fingerprint lies within FAR bits of another's of fitting size."""
+
+    def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, fps: list[np.ndarray]) -> list[pa.Array]:
+        f, flagged = np.concatenate(fps), np.zeros(len(cls), bool)
+        for i in range(len(cls)):
+            others = partners(rule, i, comp, n, side)
+            good = np.bitwise_count(f[others] ^ f[i]) <= FAR
+            flagged[others[good]] = True
+            flagged[i] |= good.any()
+        return [pa.array(np.full(int(flagged.sum()), piece)), *[pa.array(x[flagged]) for x in (cls, comp, n, side)]]
+
+    return by_piece(close, ["piece", "cls", "comp", "n", "side"])
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:  # noqa: B008
+    """(doc_id, text_hash, label, component_id): groups of texts linked by the rule, and of equal shingle sets; empty sets are one group.
+
+    A key that over GROUP texts share is dealt in pieces, differently for each key.
+    """
+    rows = materialize(_sets_and_fingerprints(docs, id_col, text_col, rule.shingle))
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    classes = materialize(rows.groupBy("cls").agg(F.first("n").alias("n"), first, F.min("doc_id").alias("least"), F.first("fp").alias("fp")))
+    masks = F.array(*[F.lit(signed(m)).cast("long") for m in drawn_masks(classes.count())])
+    keyed = classes.where("n > 0").select("cls", F.explode(masks).alias("mask"), "fp")
+    shared = materialize(lists(keyed.select("cls", F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("v"))))
+    part = F.pmod(F.xxhash64("cls", "v"), F.ceil(F.col("m") / GROUP).cast("int"))
+    pieces = shared.select(F.when(F.col("m") <= GROUP, F.col("v")).otherwise(F.xxhash64("v", part)).alias("piece"), "cls", F.col("cls").alias("comp"), F.lit(3).alias("side"))
+    near = dealt(pieces.join(classes.select("cls", "n", F.array("fp").alias("members")), "cls")).mapInArrow(_near(rule), "piece long, cls long, comp long, n long, side int")
+    near = materialize(near)
+    wanted = classes.select("cls", "first").join(near.select("cls").distinct(), "cls", "left_semi")
+    links = materialize(dealt(near.join(full_sets(docs, wanted, id_col, text_col, rule.shingle), "cls")).mapInArrow(confirmed(rule), "a long, b long"))
+    discard(near)
+    groups = connected_components(links)
+    named = materialize(classes.select("cls", "least").join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("label")))
+    smallest = by_key(named.groupBy("label").agg(F.min("least").alias("component_id")), "label")
+    return rows.join(named.select("cls", "label").join(smallest, "label"), "cls").select("doc_id", "text_hash", "label", "component_id")
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: Rule | None = None, **options) -> DataFrame:
     """The rows of ``docs`` with one document of each near-duplicate group: that of the smallest id.
 
-    Where several texts of a group bear that id, the one of the smallest hash stays; exact repeats of the row go.
+    Groups are those of near_groups, or of similar_groups by the rule ``similar``. Where several texts of a group bear its
+    smallest id, the one of the smallest hash stays; exact repeats of the row go.
     """
-    groups = near_groups(docs, id_col, text_col, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = similar_groups(docs, id_col, text_col, similar) if similar else near_groups(docs, id_col, text_col, **options)
+    groups = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = groups.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("label", "k.*")
     keep = keep.select(F.col("label").alias("_label"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     same = docs[id_col].cast("long").eqNullSafe(keep["_id"]) & (F.xxhash64(docs[text_col]) == keep["_hash"])
