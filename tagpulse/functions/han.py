@@ -1,7 +1,8 @@
-"""Han conversion as dictionary expressions.
+"""Han conversion by dictionaries.
 
-A stage is a list of (source, target) pairs, longest match first. The dictionary is a parameter of the job: it is
-inlined into the plan as a literal, so its size is that of a word list, never of the data.
+A stage is a list of (source, target) pairs, longest match first. The dictionary is a parameter of the job, so its size is that of a
+word list, never of the data. Stages of single characters and small ones of phrases are expressions of the plan; a larger
+phrase stage would make the plan grow with it, so it is sent to the tasks once and walked there, by first character and length.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ JAPANESE_ONLY = "[姫々姉]"
 
 Stage = list[tuple[str, str]]
 MAX_PAIRS = 100_000
+#: Up to so many phrases a stage is part of the plan.
+INLINE = 100
 
 
 def read_stages(table: DataFrame) -> dict[str, Stage]:
@@ -47,8 +51,53 @@ def _apply(col: Column, stage: Stage) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(col, F.lit(pattern), F.lit(1)), lambda t: F.coalesce(F.try_element_at(known, t), t)), "")
 
 
+def _by_first(stage: Stage) -> dict[str, tuple[dict[str, str], list[int]]]:
+    """For each first character, its phrases and their lengths, the longest first."""
+    out: dict[str, tuple[dict[str, str], list[int]]] = {}
+    for src, dst in dict(stage).items():
+        if src:
+            out.setdefault(src[0], ({}, []))[0][src] = dst
+    return {c: (phrases, sorted({len(p) for p in phrases}, reverse=True)) for c, (phrases, _) in out.items()}
+
+
+def walk(stages: list[Stage], protected: str = "") -> Callable[[Column], Column]:
+    """A column function that converts as ``convert``, by steps over the text in Arrow batches."""
+    tables = [_by_first(stage) for stage in stages]
+    split = re.compile(f"([{re.escape(protected)}]+)") if protected else None
+
+    def texts(values: pd.Series) -> pd.Series:
+        def through(text: str) -> str:
+            for table in tables:
+                out, i, n = [], 0, len(text)
+                while i < n:
+                    phrases, lengths = table.get(text[i], ({}, ()))
+                    for size in lengths:
+                        found = phrases.get(text[i : i + size])
+                        if found is not None and i + size <= n:
+                            out.append(found)
+                            i += size
+                            break
+                    else:
+                        out.append(text[i])
+                        i += 1
+                text = "".join(out)
+            return text
+
+        def one(text: str | None) -> str | None:
+            if text is None:
+                return None
+            parts = split.split(text) if split else [text]
+            return "".join(p if k % 2 else through(p) for k, p in enumerate(parts))
+
+        return values.map(one, na_action="ignore")
+
+    return F.pandas_udf(texts, "string")
+
+
 def convert(col: Column, stages: list[Stage], protected: str = "") -> Column:
     """All stages in turn; protected characters stay, and no match reaches across one."""
+    if any(len(stage) > INLINE and any(len(s) > 1 or len(d) != 1 for s, d in stage) for stage in stages):
+        return walk(stages, protected)(col)
 
     def through(c: Column) -> Column:
         for stage in stages:

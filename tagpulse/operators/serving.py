@@ -54,8 +54,9 @@ def variants(name: Column, conv: Converter) -> Column:
 
 def search_rows(dim: DataFrame, listed: DataFrame, conv: Converter) -> DataFrame:
     """(tag, terms): the slug, then names and aliases with their variants; lower case, no repeats."""
-    each = listed.groupBy("tag").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("n"))
-    spelled = F.flatten(F.transform(F.col("n.name"), lambda x: F.concat(F.array(x), variants(x, conv))))
+    forms = F.concat(F.array("name"), variants(F.col("name"), conv))
+    each = listed.select("tag", F.struct("pos", forms.alias("forms")).alias("s")).groupBy("tag").agg(F.array_sort(F.collect_list("s")).alias("n"))
+    spelled = F.flatten("n.forms")
     joined = dim.select(F.col("name").alias("tag")).join(each, "tag", "left")
     terms = F.concat(F.array(F.lower("tag")), F.coalesce(F.transform(spelled, F.lower), F.array().cast("array<string>")))
     return joined.select("tag", F.filter(F.array_distinct(terms), lambda t: t != "").alias("terms"))

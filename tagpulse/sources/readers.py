@@ -39,11 +39,32 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in found if s.isFile() and not s.getLen() and s.getPath().getName()[0] not in "_."]
 
 
+#: Ids a partition of a database scan.
+SCAN_IDS = 500_000
+
+
+def id_bounds(spark: SparkSession, jdbc: dict) -> tuple[int, int] | None:
+    """The least and the largest id of a database table, found there; None if it is empty."""
+    quote = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(jdbc["url"]).quoteIdentifier
+    ends = f"(SELECT min({quote('id')}) AS {quote('lo')}, max({quote('id')}) AS {quote('hi')} FROM {jdbc.get('table', 'posts')}) ends"
+    r = spark.read.jdbc(jdbc["url"], ends, properties=jdbc.get("properties", {})).first()  # one row
+    return None if r.lo is None else (r.lo, r.hi)
+
+
 def read_posts(spark: SparkSession, path: str | None = None, jdbc: dict | None = None) -> DataFrame:
-    """Posts from Parquet, or over JDBC in id ranges (url, table, lower, upper, partitions)."""
-    if jdbc:
-        return spark.read.jdbc(jdbc["url"], jdbc.get("table", "posts"), column="id", lowerBound=jdbc["lower"], upperBound=jdbc["upper"], numPartitions=jdbc["partitions"], properties=jdbc.get("properties", {}))
-    return spark.read.schema(schemas.POSTS).parquet(path)
+    """Posts from Parquet, or from a database (url; table, properties, lower, upper, partitions).
+
+    A database is scanned in ranges of ids, by default from its least to its largest, SCAN_IDS a partition. Filters and the
+    choice of columns go to the database.
+    """
+    if not jdbc:
+        return spark.read.schema(schemas.POSTS).parquet(path)
+    ends = (jdbc["lower"], jdbc["upper"]) if "lower" in jdbc and "upper" in jdbc else id_bounds(spark, jdbc)
+    if ends is None:
+        return spark.createDataFrame([], schemas.POSTS)
+    lower, upper = ends[0], max(ends[1], ends[0] + 1)
+    parts = jdbc.get("partitions") or -(-(upper - lower + 1) // SCAN_IDS)
+    return spark.read.jdbc(jdbc["url"], jdbc.get("table", "posts"), column="id", lowerBound=lower, upperBound=upper, numPartitions=parts, properties=jdbc.get("properties", {}))
 
 
 def read_tags(spark: SparkSession, path: str) -> DataFrame:
