@@ -12,7 +12,7 @@ smallest ``K``). Texts of equal sets are one class.
    the most similar first; a pair already joined by links is not looked at. So a piece returns a spanning forest of its links, and
    no step emits all pairs of a group, nor is a partner capped.
 
-Long lists are dealt anew a few times, with the members of most links in every piece, until their components cease to
+Long lists with mostly the same members become one. They are dealt anew a few times, with the members of most links in every piece, until their components cease to
 grow; at last the members outside a long list's largest component are compared with all of it, block by block.
 
 What can be lost: a pair at the aim misses the lists with a probability of some 1e-9 at most (0.15 ** 16 without frequent
@@ -138,6 +138,21 @@ def lists(postings: DataFrame) -> DataFrame:
     return postings.join(by_key(kept, "v"), "v").select("v", "m", "cls")
 
 
+#: Long lists that share so much of the smaller one's members become one.
+ALIKE = 0.7
+
+
+def together(long_: DataFrame) -> DataFrame:
+    """Long lists (v, m, cls) of which those with mostly the same members are made one, so that a pair is not met again in each."""
+    own = materialize(long_.select("cls", "v", "m"))
+    other = own.select("cls", F.col("v").alias("w"), F.col("m").alias("mw"))
+    shared = own.join(other, "cls").where("v < w").groupBy("v", "w", "m", "mw").agg(F.count("*").alias("c"))  # a member has INDEXED lists at most
+    alike = shared.where(F.col("c") >= ALIKE * F.least("m", "mw")).select(F.col("v").alias("a"), F.col("w").alias("b"))
+    groups = connected_components(alike).select(F.col("node").alias("v"), F.col("component").alias("g"))
+    whole = materialize(own.join(groups, "v", "left").select(F.coalesce("g", "v").alias("v"), "cls").distinct())
+    return materialize(whole.join(by_key(whole.groupBy("v").agg(F.count("*").alias("m")), "v"), "v").select("v", "m", "cls"))
+
+
 def _pieces(m: str) -> F.Column:
     return F.ceil(F.col(m) / LIMIT).cast("int")
 
@@ -300,6 +315,7 @@ def linked_components(docs: DataFrame, classes: DataFrame, rule: Rule, id_col: s
     if long_.isEmpty():
         work.link(pieces)
         return work.comps
+    long_ = together(long_)
     # each round deals another one of a member's long lists; a member has as many as are listed at most
     own = materialize(long_.groupBy("cls").agg(F.array_sort(F.collect_set(F.struct("v", "m"))).alias("own")))
     before = None
