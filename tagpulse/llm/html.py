@@ -376,7 +376,7 @@ def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> t
     if not main:
         return page, labels
     at = int(rng.integers(len(main)))
-    main = main[at : at + int(rng.integers(1, 31))]
+    main = main[at : at + int(rng.integers(1, 31 if rng.random() < 0.6 else 5))]
     named = 0.5 if rng.random() < 0.8 else 0.0
     root = ("html", "body", *(_container("div", rng, 0.3) if rng.random() < 0.5 else ()))
     some = lambda items: items[rng.integers(len(items))]
@@ -413,6 +413,9 @@ def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> t
         deeper = path + _container("p", rng, 1.0) if rng.random() < 0.4 else path
         return [((deeper if rng.random() < 0.9 else path, t, link), 0) for t, link in out if t]
 
+    flat = root + (some(PLAIN),) if rng.random() < 0.25 else None  # a page whose blocks all lie in one container, as siblings
+    if flat and rng.random() < 0.7:
+        main = main[: int(rng.integers(1, 5))]
     holder = root + _container(some(MAIN), rng, named)
     body: list[tuple[Block, int]] = []
     as_leaves = rng.random() < 0.9
@@ -421,6 +424,9 @@ def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> t
         if leaf in ("figure figcaption", "h2", "h3"):
             text = " ".join(text.split()[: int(rng.integers(3, 14))])
         body.append((((*holder, *leaf.split()) if as_leaves else holder, text, links if rng.random() < 0.9 else float(rng.random())), 1))
+        if rng.random() < 0.12:  # a list of short items belongs to the text around it
+            items = (*holder, *some(("ul li", "ul li", "ol li", "ul li p")).split())
+            body += [((items, own(2, 12), float(rng.random() < 0.1)), 1) for _ in range(int(rng.integers(2, 7)))]
         if rng.random() < 0.08:
             body += other(some(("advert", "teasers", "form")), holder)
     rows: list[tuple[Block, int]] = []
@@ -431,10 +437,13 @@ def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> t
         rows += other("comments", holder if rng.random() < 0.4 else root)
     for kind, chance in (("teasers", 0.4), ("form", 0.2), ("advert", 0.2), ("menu", 0.3), ("footer", 0.7), ("notice", 0.15)):
         rows += other(kind, root) if rng.random() < chance else []
+    if flat:
+        # only short blocks can be told from the text there
+        rows = [((flat, text, links if rng.random() < 0.3 else 0.0), y) for (_, text, links), y in rows if y or text.count(" ") < 6]
     return [b for b, _ in rows], [y for _, y in rows]
 
 
-def fit(htmls: list[str], copies: int = 8, epochs: int = 4, batch: int = 16, rate: float = 0.01, seed: int = 5) -> dict[str, np.ndarray]:
+def fit(htmls: list[str], copies: int = 16, epochs: int = 4, batch: int = 16, rate: float = 0.01, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     features = Features()
     data = []
@@ -442,7 +451,7 @@ def fit(htmls: list[str], copies: int = 8, epochs: int = 4, batch: int = 16, rat
         page = blocks(html)
         if page:
             labels = rule_labels(page)
-            data.append((features.page(page), np.array(labels, np.float32)))
+            data += [(features.page(page), np.array(labels, np.float32))] * (copies // 4)  # as it is, a fifth of the time
             for _ in range(copies):
                 other, y = redress(page, labels, rng)
                 data.append((features.page(other), np.array(y, np.float32)))

@@ -589,6 +589,26 @@ def test_html_other_layouts(page_model):
     assert sum(exact.values()) >= 110 and wrong / whole < 0.1
 
 
+def test_html_lists_and_feedback(page_model):
+    """Lists of short items stay with the text around them; long feedback of readers under names that training does not know goes."""
+    model, texts = page_model
+    exact = collections.Counter()
+    for seed in range(30):
+        rng = random.Random(1000 + seed)
+        part = lambda low, high: " ".join(rng.choice(rng.choice(texts)).split()[: rng.randint(low, high)])  # noqa: E731, B023
+        a, b, title, one, two, said, more = part(20, 60), part(20, 60), part(4, 8), part(3, 9), part(3, 9), part(20, 50), part(20, 50)
+        inner = f"<h1>{title}</h1><p>{a}</p><ul><li>{one}</li><li>{two}</li></ul><p>{b}</p>"
+        pages = {
+            "entry": (f'<body><div class="nav-x"><a href="/">Home</a></div><div class="entry">{inner}</div><div class="foot">Terms</div>', [title, a, one, two, b]),
+            "article": (f'<body><nav><a href="/">Home</a></nav><article>{inner}</article><footer>Terms</footer>', [title, a, one, two, b]),
+            "feedback": (f'<body><div class="lead-copy"><p>{a}</p><p>{b}</p></div><div class="reader-feedback"><div>Ann wrote:</div><p>{said}</p><div>Bob wrote:</div><p>{more}</p></div>', [a, b]),
+        }
+        for (name, (_, want)), got in zip(pages.items(), html.extract(model, [h for h, _ in pages.values()], html.Features()), strict=True):
+            exact[name] += got == " ".join(" ".join(want).split())
+    print(dict(exact))
+    assert min(exact.values()) >= 18
+
+
 def test_html_extraction(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     some = pages.limit(40).unionByName(spark.createDataFrame([(None, None, None), (90001, "u", ""), (90002, "u", "<nav>menu</nav>"), (90003, "u", "<article><p>" + prose(7, 9000) + "</p></article>")], "page_id long, url string, html string"))
