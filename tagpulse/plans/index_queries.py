@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import aliases as A
 from ..operators import cells as C
 from ..operators import series as S
 from ..sources.readers import active_aliases
+from ..sources.serving_store import require_tables
 from ..sources.shared import new_path, written
-from ..sources.sinks import artifact_report, require_artifacts, write_clustered
+from ..sources.sinks import artifact_report, write_clustered
 from ..streaming import ingest as I
 from .fixture import duck, spark_view
 
@@ -231,7 +233,7 @@ def clustered_read(spark, d):
     """Daily cells written clustered, one range of tags read back."""
     path = new_path(spark, "clustered")
     write_clustered(Index(spark, d).daily, path, ["tag_id", "day"])
-    require_artifacts(spark, [path])
+    require_tables(spark, {path: schemas.DAILY})
     return spark.read.parquet(path).where("tag_id between 20 and 120")
 
 
@@ -239,7 +241,7 @@ def clustered_whole(spark, d):
     """Daily cells written clustered, all of them read back."""
     path = new_path(spark, "clustered")
     write_clustered(Index(spark, d).daily, path, ["tag_id", "day"])
-    require_artifacts(spark, [path])
+    require_tables(spark, {path: schemas.DAILY})
     return spark.read.parquet(path)
 
 

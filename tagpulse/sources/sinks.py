@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators.names import slots
 from ..operators.review import merge_layer
-from .readers import exists
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
@@ -49,12 +48,6 @@ def write_layer(existing: DataFrame, accepted: DataFrame, path: str, prefer: str
     return merged
 
 
-def require_artifacts(spark: SparkSession, paths: list[str]) -> None:
-    missing = [p for p in paths if not exists(spark, p)]
-    if missing:
-        raise FileNotFoundError(f"missing: {', '.join(missing)}")
-
-
 def artifact_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """(name, rows, bytes) of Parquet tables."""
     out = None
