@@ -42,8 +42,9 @@ SEED = 42
 K, INDEXED, NARROW = 128, 32, 16
 SIGMAS = 6
 LIMIT = 256
-#: Members of most links that join each piece of a long list; rounds of dealing it anew.
-HUBS, ROUNDS = 8, 4
+#: Members of most links that join each piece of a long list; rounds of dealing it anew; rows of the last comparison, against the
+#: lists' own, that make further rounds needless.
+HUBS, ROUNDS, CHEAP = 8, 4, 20
 
 
 @dataclass(frozen=True)
@@ -331,12 +332,12 @@ def linked_components(docs: DataFrame, classes: DataFrame, rule: Rule, id_col: s
             part = part.unionByName(spread.select(key(F.col("k")).alias("piece"), "cls"))
         part = work.labelled(part).withColumn("side", F.lit(3))
         work.link(part if n else pieces.unionByName(part), own.select("cls"))
-        outside = _outside(work.labelled(long_)).count()
-        if not outside:
+        open_ = _open(work.labelled(long_)).agg(F.sum("outer").alias("outer"), F.sum("m").alias("m"), F.sum("block_rows").alias("block_rows")).first()  # one row
+        if not open_.outer:
             return work.comps
-        if before is not None and outside > 0.9 * before:
+        if open_.block_rows <= CHEAP * open_.m or before is not None and open_.outer > 0.9 * before:
             break
-        before = outside
+        before = open_.outer
     work.link(_blocks(work.labelled(long_)))
     return work.comps
 
@@ -347,8 +348,10 @@ def _largest(rows: DataFrame) -> DataFrame:
     return by_key(sizes.groupBy("v").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("inside")), "v")
 
 
-def _outside(rows: DataFrame) -> DataFrame:
-    return rows.join(_largest(rows), "v").where("comp <> main")
+def _open(rows: DataFrame) -> DataFrame:
+    """(v, m, outer, block_rows) of each long list: members outside its largest component, and the rows that _blocks makes of it."""
+    sizes = rows.groupBy("v", "m", "comp").agg(F.count("*").alias("c")).groupBy("v", "m").agg((F.col("m") - F.max("c")).alias("outer"))
+    return sizes.withColumn("block_rows", F.col("outer") * _pieces("m") + F.col("m") * F.ceil(F.col("outer") / LIMIT))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
