@@ -637,7 +637,7 @@ def test_water_filling(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
     got, want = queries.QUERIES[name](spark, DATA).toPandas(), con.execute(queries.ORACLE_SQL[name]).df()
     key = lambda df: sorted(map(repr, df[sorted(df.columns)].values.tolist()))
