@@ -192,7 +192,7 @@ class Shard:
 
     def __init__(self, folder: str, width: int, length: int):
         self.folder, self.width, self.columns, self.size = Path(folder), width, width + length, 0
-        self.parts: list[np.ndarray] = []
+        self.parts: list[int] = []  # rows of each part; its file is open only while a column of it is read
         self.data, self.names = np.zeros((ROWS, self.columns), np.int16), np.zeros((ROWS, 4), np.int64)
         self.held = 0
 
@@ -210,15 +210,14 @@ class Shard:
         if self.held:
             with (self.folder / "names").open("ab") as out:
                 self.names[: self.held].tofile(out)
-            path = self.folder / f"part{len(self.parts)}"
-            np.ascontiguousarray(self.data[: self.held].T).tofile(path)
-            self.parts.append(np.memmap(path, np.int16, "r", shape=(self.columns, self.held)))
+            np.ascontiguousarray(self.data[: self.held].T).tofile(self.folder / f"part{len(self.parts)}")
+            self.parts.append(self.held)
             self.data[:] = 0
             self.held = 0
 
     def column(self, c: int) -> np.ndarray:
         """The blocks' bytes in a column; -1 where a block has none."""
-        return np.concatenate([p[c] for p in self.parts]) - 1
+        return np.concatenate([np.fromfile(self.folder / f"part{k}", np.int16, n, offset=2 * c * n) for k, n in enumerate(self.parts)]) - 1
 
     def name(self, blocks: np.ndarray) -> np.ndarray:
         return np.memmap(self.folder / "names", np.int64, "r", shape=(self.size, 4))[blocks]

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 
 import duckdb
@@ -244,6 +245,23 @@ def test_suffix_stage_cuts_planted_passages(spark):
     assert [hashlib.sha256(t.encode()).hexdigest() for t, w in zip(got, want, strict=True) if w[1] == 0] == [w[3] for w in want if w[1] == 0]
 
 
+def test_shard_keeps_no_part_open(tmp_path, monkeypatch):
+    monkeypatch.setattr(suffix, "ROWS", 4)
+    rng = random.Random(7)
+    shard = suffix.Shard(str(tmp_path), 8, 12)
+    rows = []
+    for k in range(4 * 50 + 3):
+        offset = rng.randint(0, 8)
+        data = rng.randbytes(offset + rng.randint(1, 12))
+        shard.add(data, offset, (k, -k, 1, 0))
+        rows.append([-1] * (8 - offset) + list(data) + [-1] * (12 + offset - len(data)))
+    before = len(os.listdir("/proc/self/fd"))
+    shard.flush()
+    assert all(shard.column(c).tolist() == [r[c] for r in rows] for c in range(20))
+    assert shard.name(np.array([202, 5])).tolist() == [[202, -202, 1, 0], [5, -5, 1, 0]]
+    assert len(shard.parts) == 51 and len(os.listdir("/proc/self/fd")) <= before + 1
+
+
 def test_suffix_query_columns(spark, odd, empty):
     assert suffix.cut_repeats(empty.select("doc_id", "text")).count() == 0
     rows = {r.doc_id: r for r in suffix.cut_repeats(odd.select("doc_id", "text")).collect() if r.doc_id in (2, 3, 4)}
