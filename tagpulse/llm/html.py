@@ -11,6 +11,9 @@ blocks in another container, among menus, notices, adverts, teasers, forms, foot
 after it (``MAIN``, ``KINDS``). Half of the containers bear a made-up name or none, so that structure, words and
 the order of the page are learned, not only names.
 
+A block is main text at a probability of one half. On a page none of whose blocks reaches that, the blocks count that reach half of
+the page's greatest probability, unless that is below ``DOUBT``: then the page has no main text.
+
 Pages are scanned in linear time: where quotes of a tag do not close, the rest of the page is read without quotes.
 
 Defined cases: null html is empty; pages without blocks or without main text give an empty text; unclosed tags
@@ -73,6 +76,8 @@ BOILERPLATE = re.compile(
     r"^(nav|header|footer|aside|form|menu|dialog|button|navbar|navigation|topbar|sidebar|side|ads?|adverts?|advertisements?|banner|promos?|sponsored|sponsor|cookies?|notice|consent|gdpr|alert|popup|modal|newsletter|subscribe|signup|comments?|replies|discussion|thread|responses|related|share|social|breadcrumbs?|pagination|pager|tags|login|search|copyright|masthead|widget)$"
 )
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Where no block of a page reaches one half, those count that reach half of its greatest probability, if that is not below this.
+DOUBT = 0.1
 PATH_BUCKETS, WORD_BUCKETS, DIM, MEASURES, HIDDEN, PATH = 1 << 10, 1 << 12, 16, 6, 20, 8
 Block = tuple[tuple[str, ...], str, float]
 
@@ -406,7 +411,7 @@ def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> t
             split, tail = rng.random() < 0.6, rng.random() < 0.5
             for _ in range(int(rng.integers(1, 6))):
                 who = f"{own(1, 3)} {some(TYPICAL[kind])}" if rng.random() < 0.8 else own(1, 3)
-                said = own(4, 50)
+                said = own(4, 50) + ("." if rng.random() < 0.5 else "")
                 out += [(who, float(rng.random() < 0.3)), (said, 0.0)] if split else [(f"{who}: {said}", 0.0)]
                 if tail:
                     out.append((some(TYPICAL[kind]).capitalize(), 1.0))
@@ -423,6 +428,8 @@ def redress(page: list[Block], labels: list[int], rng: np.random.Generator) -> t
         leaf = "h1" if k == 0 and rng.random() < 0.6 else some(LEAVES) if rng.random() < 0.4 else "p"
         if leaf in ("figure figcaption", "h2", "h3"):
             text = " ".join(text.split()[: int(rng.integers(3, 14))])
+        elif rng.random() < 0.3:  # where a text ends does not tell its kind
+            text = own(8, 60)
         body.append((((*holder, *leaf.split()) if as_leaves else holder, text, links if rng.random() < 0.9 else float(rng.random())), 1))
         if rng.random() < 0.12:  # a list of short items belongs to the text around it
             items = (*holder, *some(("ul li", "ul li", "ol li", "ul li p")).split())
@@ -477,7 +484,10 @@ def extract(p: dict[str, np.ndarray], htmls: list[str | None], features: Feature
         start = 0
         for k in some:
             n = len(parsed[k])
-            out[k] = " ".join(b[1] for b, q in zip(parsed[k], prob[start : start + n], strict=True) if q >= 0.5)
+            here = prob[start : start + n]
+            most = float(here.max())
+            cut = 0.5 if most >= 0.5 or most < DOUBT else most / 2
+            out[k] = " ".join(b[1] for b, q in zip(parsed[k], here, strict=True) if q >= cut)
             start += n
     return out
 

@@ -627,6 +627,24 @@ def test_html_lists_and_feedback(page_model):
     assert min(exact.values()) >= 18
 
 
+def test_html_siblings_in_one_container(page_model):
+    """Text between menu words in equal plain containers: no page comes back empty; pages without any text do."""
+    model, texts = page_model
+    pages, want = [], []
+    for seed in range(30):
+        rng = random.Random(3000 + seed)
+        a, b = (" ".join(rng.choice(rng.choice(texts)).split()[: rng.randint(20, 60)]) for _ in range(2))
+        pages.append(f"<html><body><div>Home</div><div>About</div><div>{a}</div><div>{b}</div><div>Terms</div></body></html>")
+        want.append(f"{a} {b}")
+    got = html.extract(model, pages, html.Features())
+    print("exact", sum(g == w for g, w in zip(got, want, strict=True)), "empty", got.count(""))
+    assert got.count("") <= 1 and sum(g == w for g, w in zip(got, want, strict=True)) >= 13
+    assert all(g in w or w in g for g, w in zip(got, want, strict=True))
+    links = "".join(f'<li><a href="/{x}">{x}</a></li>' for x in ("Home", "About", "Contact", "Terms"))
+    bare = [f"<body><ul>{links}</ul><div>We use cookies on this site.</div>", f"<body><nav><ul>{links}</ul></nav><footer>© 2024</footer>", "<body><div>Home</div><div>Terms</div>"]
+    assert html.extract(model, bare, html.Features()) == ["", "", ""]
+
+
 def test_html_extraction(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     some = pages.limit(40).unionByName(spark.createDataFrame([(None, None, None), (90001, "u", ""), (90002, "u", "<nav>menu</nav>"), (90003, "u", "<article><p>" + prose(7, 9000) + "</p></article>")], "page_id long, url string, html string"))
