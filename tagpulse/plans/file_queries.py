@@ -403,6 +403,9 @@ SHOWN = """SELECT s.name, s.i, axis.month, round(f.posts::DOUBLE, 6) AS value, r
 NAMED = "(" + ", ".join(f"'{t}'" for t in TOP) + ")"
 ANY_DIM = "dim AS (SELECT id AS tag_id, name, category::TINYINT AS category, post_count::BIGINT AS post_count, is_deprecated <> 0 AS is_deprecated FROM tags)"
 POOLS = f"SELECT tag, kana || '|' || latin AS names FROM spelled JOIN tags ON name = tag WHERE k % 5 <> 0 AND post_count >= {X.FLOOR} AND category <> 1"
+#: As the operator: from sums of whole numbers, which no order of adding up changes. The set's text holds millionths of n_eff, which sums of
+#: rounded shares would tip over.
+WHOLE_CATEGORIES = X.CATEGORIES.replace("1 / sum(s * s) AS n_eff", "sum(posts)::DOUBLE * sum(posts)::DOUBLE / sum((posts * posts)::DOUBLE) AS n_eff")
 SERVED = ", ".join((ANY_DIM, X.RESOLVED, X.LOOKUP, X.LIVE, X.DAILY, X.TOTALS, X.MONTHS, X.TOTAL_MONTHS, X.AXIS, Q.FOLD, Q.LISTED, Q.TERMS)) + f", kept AS (SELECT name FROM dim WHERE post_count >= {X.FLOOR})"
 SERVED_ROWS = """ SELECT 'totals' AS kind, month::VARCHAR AS key, coalesce(posts, 0)::VARCHAR AS value FROM axis LEFT JOIN totals USING (month)
         UNION ALL SELECT 'tags', name, min(i)::VARCHAR || ';' || string_agg(posts::VARCHAR, ',' ORDER BY i) FROM points WHERE name IN (FROM kept) GROUP BY name UNION ALL SELECT 'names', tag, pos::VARCHAR || ';' || coalesce(lang, '-') || ';' || name FROM listed WHERE tag IN (FROM kept)
@@ -436,7 +439,7 @@ ORACLE_SQL = {
         UNION ALL SELECT tag || '_(set)', hans || CASE WHEN k % 7 <> 0 AND k % 3 <> 0 AND k % 11 <> 0 THEN '（国剑）' ELSE '' END, NULL, NULL, NULL, NULL, false FROM spelled WHERE k % 40 = 4""", Q.FOLD),
     "serving_tables": duck(SERVED + SERVED_ROWS, "tags", "aliases", "posts", "spelled"),
     "serving_set": duck(
-        SERVED.replace("kept AS", f"{X.CATEGORIES}, {X.COMPLETE}, kept AS") + SERVED_ROWS + """
+        SERVED.replace("kept AS", f"{WHOLE_CATEGORIES}, {X.COMPLETE}, kept AS") + SERVED_ROWS + """
         UNION ALL SELECT 'categories', t.category::VARCHAR || ';' || a.i::VARCHAR, coalesce(c.posts, 0)::VARCHAR || ';' || round(coalesce(c.n_eff, 0) * 1000000)::BIGINT::VARCHAR FROM (SELECT DISTINCT category FROM categories) t CROSS JOIN axis a LEFT JOIN categories c ON c.category = t.category AND c.month = a.month
         UNION ALL SELECT 'meta', unnest(['epoch', 'months', 'first_complete', 'last_complete', 'categories', 'tags', 'displayable', 'translated']), unnest([e::VARCHAR, (SELECT count(*) FROM axis)::VARCHAR, "first"::VARCHAR, "last"::VARCHAR, (SELECT count(DISTINCT category) FROM categories)::VARCHAR,
           (SELECT count(*) FROM kept)::VARCHAR, (SELECT count(*) FROM kept JOIN folded ON tag = name WHERE shown)::VARCHAR, (SELECT count(*) FROM kept JOIN folded ON tag = name JOIN spelled USING (tag) WHERE shown OR k % 2 = 0)::VARCHAR]) FROM epoch, whole""".replace("WHERE shown", "WHERE coalesce(zh_hans, zh_hant, ja, en, ko) <> ''"), "tags", "aliases", "posts", "spelled"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagpulse.operators import aliases as A
 from tagpulse.operators import cells as C
 from tagpulse.operators import series as S
+from tagpulse.plans import file_queries
 from tagpulse.sources.readers import active_aliases
 from tagpulse.streaming import ingest as I
 
@@ -123,3 +124,19 @@ def test_smoothing_keeps_a_line_and_its_ends(spark):
     for r in S.smooth(series, "name", "v", 12).collect():
         assert abs(r.smoothed - (3.0 * r.i + 1)) < 1e-6
     assert S.smooth(series, "name", "v", 0).where("i = 3").first().smoothed == 10.0
+
+
+def test_serving_sql_states_the_operators_n_eff(spark):
+    """To the last bit, in category months of many unequal counts."""
+    import duckdb
+
+    rows = [(t, dt.date(2020, m, 1), t * m % 7 + t % 11 + 1) for t in range(400) for m in range(1, 13)]
+    months = spark.createDataFrame([(*r, 0, 0) for r in rows], "tag_id int, month date, posts long, fav_sum long, score_sum long")
+    dim = spark.createDataFrame([(t, f"t{t}", t % 3) for t in range(400)], "tag_id int, name string, category int")
+    got = {(r.category, r.month): r.n_eff for r in S.category_monthly(months, dim).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE months (tag_id INT, month DATE, posts BIGINT)")
+    con.executemany("INSERT INTO months VALUES (?, ?, ?)", rows)
+    con.execute("CREATE TABLE dim AS SELECT i AS tag_id, 't' || i AS name, i % 3 AS category FROM range(400) r(i)")
+    want = {(c, m): n for c, m, n in con.execute(f"WITH {file_queries.WHOLE_CATEGORIES} SELECT category, month, n_eff FROM categories").fetchall()}
+    assert got == want
