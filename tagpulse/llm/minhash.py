@@ -338,7 +338,7 @@ def linked_components(docs: DataFrame, classes: DataFrame, rule: Rule, id_col: s
         if open_.block_rows <= CHEAP * open_.m or before is not None and open_.outer > 0.9 * before:
             break
         before = open_.outer
-    work.link(_blocks(work.labelled(long_)))
+    work.link(blocks(work.labelled(long_)))
     return work.comps
 
 
@@ -349,12 +349,12 @@ def _largest(rows: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """(v, m, outer, block_rows) of each long list: members outside its largest component, and the rows that _blocks makes of it."""
+    """(v, m, outer, block_rows) of each long list: members outside its largest component, and the rows that blocks makes of it."""
     sizes = rows.groupBy("v", "m", "comp").agg(F.count("*").alias("c")).groupBy("v", "m").agg((F.col("m") - F.max("c")).alias("outer"))
     return sizes.withColumn("block_rows", F.col("outer") * _pieces("m") + F.col("m") * F.ceil(F.col("outer") / LIMIT))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def blocks(rows: DataFrame) -> DataFrame:
     """(piece, cls, comp, side): members outside a list's largest component (1) meet all its members (2), block by block."""
     each = rows.join(_largest(rows), "v").where("m > inside").withColumn("outer", F.ceil((F.col("m") - F.col("inside")) / LIMIT).cast("int"))
     i, j = F.pmod(F.xxhash64("cls", F.lit("i")), F.col("outer")), F.pmod(F.xxhash64("cls", F.lit("j")), _pieces("m"))

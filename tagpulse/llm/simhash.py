@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, by_key, connected_components, discard, materialize, table
-from .minhash import Rule, by_piece, confirmed, dealt, full_sets, lists, partners, shingle_set
+from .minhash import Rule, blocks, by_piece, confirmed, dealt, full_sets, lists, partners, shingle_set, together
 
 SEED = 42
 
@@ -200,7 +200,7 @@ def _near(rule: Rule):
 
     def close(piece: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, side: np.ndarray, fps: list[np.ndarray]) -> list[pa.Array]:
         f, flagged = np.concatenate(fps), np.zeros(len(cls), bool)
-        for i in range(len(cls)):
+        for i in np.flatnonzero(side & 1):
             others = partners(rule, i, comp, n, side)
             good = np.bitwise_count(f[others] ^ f[i]) <= FAR
             flagged[others[good]] = True
@@ -213,7 +213,8 @@ def _near(rule: Rule):
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """(doc_id, text_hash, label, component_id): groups of texts linked by the rule, and of equal shingle sets; empty sets are one group.
 
-    A key that over GROUP texts share is dealt in pieces, differently for each key.
+    A key that over GROUP texts share is dealt in pieces, differently for each key. Then those of its texts that are outside its
+    largest group meet all the others, block by block, so that every two texts that share a key are compared or in one group.
     """
     rows = materialize(_sets_and_fingerprints(docs, id_col, text_col, rule.shingle))
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
@@ -223,12 +224,22 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = materialize(lists(keyed.select("cls", F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("v"))))
     part = F.pmod(F.xxhash64("cls", "v"), F.ceil(F.col("m") / GROUP).cast("int"))
     pieces = shared.select(F.when(F.col("m") <= GROUP, F.col("v")).otherwise(F.xxhash64("v", part)).alias("piece"), "cls", F.col("cls").alias("comp"), F.lit(3).alias("side"))
-    near = dealt(pieces.join(classes.select("cls", "n", F.array("fp").alias("members")), "cls")).mapInArrow(_near(rule), "piece long, cls long, comp long, n long, side int")
-    near = materialize(near)
-    wanted = classes.select("cls", "first").join(near.select("cls").distinct(), "cls", "left_semi")
-    links = materialize(dealt(near.join(full_sets(docs, wanted, id_col, text_col, rule.shingle), "cls")).mapInArrow(confirmed(rule), "a long, b long"))
-    discard(near)
+
+    def linked(pieces: DataFrame) -> DataFrame:
+        members = classes.select("cls", "n", F.array("fp").alias("members"))
+        near = materialize(dealt(pieces.join(members, "cls")).mapInArrow(_near(rule), "piece long, cls long, comp long, n long, side int"))
+        wanted = classes.select("cls", "first").join(near.select("cls").distinct(), "cls", "left_semi")
+        links = materialize(dealt(near.join(full_sets(docs, wanted, id_col, text_col, rule.shingle), "cls")).mapInArrow(confirmed(rule), "a long, b long"))
+        discard(near)
+        return links
+
+    links = linked(pieces)
     groups = connected_components(links)
+    long_ = shared.where(F.col("m") > GROUP)
+    if not long_.isEmpty():
+        comps = groups.select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+        open_ = together(long_).join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        groups = connected_components(links.unionByName(linked(blocks(open_))))
     named = materialize(classes.select("cls", "least").join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("label")))
     smallest = by_key(named.groupBy("label").agg(F.min("least").alias("component_id")), "label")
     return rows.join(named.select("cls", "label").join(smallest, "label"), "cls").select("doc_id", "text_hash", "label", "component_id")
