@@ -7,10 +7,11 @@ Matches of two images must agree on one similarity transform: they vote for scal
 bin's votes are the consensus.
 
 The tables hold no images, so grey images are derived from ``embeddings``: a vector weighs fixed band-pass
-patterns. Equal images are one class. Near-equal ones (cosine of their vectors) become one class too, which its
-smallest id stands for: signs of projections are cut into bands, each band's bucket links its members to its smallest
-id, links are checked, and so is each member against the class's own image. What no band brings together stays a class
-of its own and is searched for itself, so only work depends on it. Groups of any number of copies thus cost one search.
+patterns. Equal images are one class, so groups of any number of copies cost one search; every other image is searched
+for itself. On request (``near``) near-equal ones (cosine of their vectors) become one class too, which its smallest id stands for:
+signs of projections are cut into bands, each band's bucket links its members to its smallest id, links are checked, and so
+is each member against the class's own image. That is cheaper where near copies abound, but a copy of a member that is none of the
+class's own image is then missed.
 
 Defined cases: null, empty or non-finite vectors and vectors of zeros give no image and no class; images without corners
 match nothing; rows with a null id stand in no class's name, but count in the class of a row with an id that equals them;
@@ -318,7 +319,7 @@ def members(rows: DataFrame, of_vector: DataFrame) -> DataFrame:
 def op4_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Membership, a row (vec_id, class_id) for each row; then the found pairs of classes (query_class, class_id, n_rows, votes)."""
     rows = table(spark, sf_dir, "embeddings")
-    classes, of_vector = image_classes(rows)
+    classes, of_vector = image_classes(rows, near=False)  # different images lose no pair to the image of a class
     nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
     own = members(rows, of_vector).select("vec_id", "class_id", nothing("long", "query_class"), nothing("long", "n_rows"), nothing("long", "votes"))
     return own.unionByName(search(classes).withColumn("vec_id", F.lit(None).cast("long")))
