@@ -352,7 +352,7 @@ def target_report(spark, d):
 
 def judge_targets(spark, d):
     """Two targets with categories and rules of their own, judged by one table."""
-    rows = spelled(spark, d)
+    rows = spelled(spark, d).repartition("k")  # few tasks would read the small table of parts
     targets = spark.createDataFrame([("any", None, False), ("gaps", [0, 3], True)], "target string, categories array<int>, gap_only boolean")
     both = rows.withColumn("target", F.explode(F.array(F.lit("any"), F.lit("gaps"), F.lit("unknown"))))
     proposals = both.select("target", "tag", F.lit(1).alias("round"), F.lit("a.json").alias("file"), F.concat("hans", F.lit("山")).alias("value"))

@@ -1,6 +1,7 @@
 """Database scans against an embedded database; conversion with large dictionaries."""
 
 import random
+import re
 import time
 
 import pytest
@@ -82,3 +83,38 @@ def test_fifty_thousand_phrases_are_planned_at_once(spark):
     out._jdf.queryExecution().executedPlan()
     assert time.time() - began < 1
     assert out.where("x LIKE '%<%'").count() > 1000
+
+
+def test_targets_are_not_shuffled_by_their_few_names(spark):
+    """Proposals of a target would all meet in one task."""
+    from tagpulse.plans import file_queries
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = file_queries.judge_targets(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert not re.search(r"hashpartitioning\(target#\d+, \d+\)", plan)
+
+
+def test_texts_without_protected_characters_are_not_cut(spark):
+    from tagpulse.functions.han import convert
+
+    stage = [[("会", "會"), ("国", "國")]]
+    rows = spark.createDataFrame([("会国",), ("会乾国",), ("乾",), ("",), (None,), ("会\n国",)], "x string")
+    both = rows.select("x", convert(F.col("x"), stage, "乾会").alias("y"))
+    assert [r.y for r in both.collect()] == ["会國", "会乾國", "乾", "", None, "会\n國"]
+    plan = rows.select(convert(F.col("x"), stage, "乾").alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"CASE WHEN RLIKE\(x#\d+, \[乾\]\) THEN .* ELSE translate\(x#\d+, 会国, 會國\) END", plan)
+
+
+def test_dense_series_takes_one_shuffle_by_key(spark):
+    from tagpulse.operators import series as S
+
+    axis = spark.sql("SELECT CAST(id AS INT) AS i, add_months(DATE'2020-01-01', CAST(id AS INT)) AS month, id AS posts FROM range(9)")
+    values = spark.createDataFrame([("a", 1, 5), ("a", 4, 7), ("a", 5, None), ("b", 8, 2)], "name string, m int, posts long").selectExpr("name", "add_months(DATE'2020-01-01', m) AS month", "posts")
+    dense = S.dense_series(values, axis, "name", "posts")
+    assert sorted(map(tuple, dense.collect())) == [("a", 1, 5), ("a", 2, 0), ("a", 3, 0), ("a", 4, 7), ("a", 5, 0), ("b", 8, 2)]
+    plan = S.moving_average(dense, "name", "posts")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(name") == 1
