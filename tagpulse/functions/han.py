@@ -107,7 +107,8 @@ def convert(col: Column, stages: list[Stage], protected: str = "") -> Column:
     if not protected:
         return through(col)
     runs = F.regexp_extract_all(col, F.lit(f"(?s)([{protected}]+|[^{protected}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(f"^[{protected}]"), r).otherwise(through(r))), "")
+    cut = F.array_join(F.transform(runs, lambda r: F.when(r.rlike(f"^[{protected}]"), r).otherwise(through(r))), "")
+    return F.when(col.rlike(f"[{protected}]"), cut).otherwise(through(col))  # few texts need to be cut
 
 
 @dataclass

@@ -55,7 +55,8 @@ SPELLINGS = "all_names AS (SELECT tag, k, unnest([hans, hant, jahan, kana, hangu
 
 
 def _spellings(rows: DataFrame) -> DataFrame:
-    return rows.select("tag", "k", F.explode(F.array("hans", "hant", "jahan", "kana", "hangul", "latin")).alias("name"))
+    """All spellings. A table of parts is small for its number of rows, so few tasks would read it: rows are dealt out first."""
+    return rows.repartition("k").select("tag", "k", F.explode(F.array("hans", "hant", "jahan", "kana", "hangul", "latin")).alias("name"))
 
 
 # --- text functions
