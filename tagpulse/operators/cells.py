@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import split_tags, strict_day
+from ..functions.text import month_of, split_tags, strict_day
 from ..schemas import ARTIST
 
 #: The index's first day, and the number of days it can hold.
@@ -67,6 +67,12 @@ def daily_cells(posts: DataFrame, lookup: DataFrame, first_day: str = FIRST_DAY,
     return cells_of_names(name_cells(with_day(live_posts(posts, **options), first_day)), lookup)
 
 
+def monthly_cells(posts: DataFrame, lookup: DataFrame, first_day: str = FIRST_DAY, **options) -> DataFrame:
+    """(tag_id, month, posts, fav_sum, score_sum): daily cells by month, without aggregating by day first."""
+    dated = with_day(live_posts(posts, **options), first_day).withColumn("day", month_of(F.col("day")))
+    return cells_of_names(name_cells(dated), lookup).withColumnRenamed("day", "month")
+
+
 def daily_totals(posts: DataFrame, first_day: str = FIRST_DAY, **options) -> DataFrame:
     """(day, posts, fav_sum, score_sum): posts, not tag occurrences, with or without a kept tag."""
     return with_day(live_posts(posts, **options), first_day).groupBy("day").agg(*_sums())

@@ -98,7 +98,11 @@ def dense_series(values: DataFrame, axis: DataFrame, key: str, value: str, full_
         runs = placed.select(key).distinct().crossJoin(F.broadcast(months)).select(key, F.col("_i").alias("i"))
         placed = placed.join(F.broadcast(months), placed["i"] == months["_i"]).drop("_i")
     else:
-        runs = placed.groupBy(key).agg(F.min("i").alias("a"), F.max("i").alias("z")).select(key, F.explode(F.sequence("a", "z")).alias("i"))
+        # each row brings the empty months up to the key's next one, so one shuffle by key does, also for a window that follows
+        following = F.lead("i").over(Window.partitionBy(key).orderBy("i"))
+        spans = placed.withColumn("_last", F.greatest(F.coalesce(following - 1, "i"), "i"))
+        filled = spans.select(key, F.col("i").alias("_i"), value, F.explode(F.sequence("i", "_last")).alias("i"))
+        return filled.select(key, "i", F.when(F.col("i") == F.col("_i"), F.coalesce(value, F.lit(0))).otherwise(0).alias(value))
     return runs.join(placed, [key, "i"], "left").select(key, "i", F.coalesce(value, F.lit(0)).alias(value))
 
 

@@ -25,9 +25,15 @@ class Index:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._kept: dict[str, DataFrame] = {}
 
     def view(self, name: str) -> DataFrame:
-        return spark_view(self.spark, self.sf_dir, name)
+        return self._kept.get(name) or spark_view(self.spark, self.sf_dir, name)
+
+    def kept(self) -> Index:
+        """With posts and tags written, for queries that read them more than once: each is a join over all line items."""
+        self._kept = {name: written(self.view(name)) for name in ("tags", "posts")}
+        return self
 
     @property
     def dim(self) -> DataFrame:
@@ -47,7 +53,7 @@ class Index:
 
     @property
     def months(self) -> DataFrame:
-        return S.monthly(self.daily, "tag_id")
+        return C.monthly_cells(self.view("posts"), self.lookup, FIRST)
 
     @property
     def totals(self) -> DataFrame:
@@ -148,39 +154,42 @@ def total_monthly(spark, d):
 
 
 def category_monthly(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     return rounded(S.category_monthly(x.months, x.dim), "n_eff")
 
 
 def share(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     return rounded(S.share(x.months, x.totals, x.dim), "share")
 
 
 def relative(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     return rounded(S.relative(x.months, x.dim), "relative", places=9)
 
 
 def series_arrays(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     out = S.series_arrays(x.months, x.dim, x.axis, 2 * FLOOR)
     return out.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("months", "values")})
 
 
-def dense_series(spark, d):
-    x = Index(spark, d)
+def _dense(x: Index) -> DataFrame:
     return S.dense_series(x.months.join(x.dim.select("tag_id", "name"), "tag_id"), x.axis, "name", "posts")
 
 
+def dense_series(spark, d):
+    return _dense(Index(spark, d).kept())
+
+
 def full_axis_series(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     named = x.months.join(x.dim.where("category = 3").select("tag_id", "name"), "tag_id")
     return S.dense_series(named, x.axis, "name", "posts", full_axis=True)
 
 
 def dense_categories(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     return rounded(S.dense_categories(S.category_monthly(x.months, x.dim), x.axis), "n_eff")
 
 
@@ -201,18 +210,18 @@ def smoothed_peak(spark, d):
 
 
 def value_at(spark, d):
-    x = Index(spark, d)
-    return S.value_at(dense_series(spark, d), x.axis, "posts").select("name", "i", "posts")
+    x = Index(spark, d).kept()
+    return S.value_at(_dense(x), x.axis, "posts").select("name", "i", "posts")
 
 
 def chart(spark, d):
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     return rounded(S.chart(x.months, x.dim, x.totals, ["part_4", "part_8", "part_22", "part_25", "part_33"], "posts", 3, 60), "smoothed", "value")
 
 
 def relative_top_ten(spark, d):
     """The flagship: monthly relative index of the ten most-used tags."""
-    x = Index(spark, d)
+    x = Index(spark, d).kept()
     top = x.dim.orderBy(F.desc("post_count"), "name").limit(10).select("name")
     return rounded(S.relative(x.months, x.dim).join(F.broadcast(top), "name"), "relative", places=9)
 
