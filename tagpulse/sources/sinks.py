@@ -9,6 +9,11 @@ from ..operators.names import slots
 from ..operators.review import merge_layer
 
 
+#: For writes of a great many files: tasks move their own files to their places when they end, which else the driver does one by one
+#: at the end. Should the job fail half way, some files are left there; a repetition overwrites them.
+MANY_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
 def write_clustered(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
     """Range-sorted by ``keys``: a key's rows lie together, so row groups are skipped by their statistics."""
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).option("compression", "zstd").parquet(path)
@@ -37,7 +42,7 @@ def export_display_names(names: DataFrame, path: str) -> None:
 
 def write_batches(numbered: DataFrame, path: str) -> None:
     """A folder for each batch; former ones go."""
-    numbered.write.mode("overwrite").partitionBy("batch").json(path)
+    numbered.write.mode("overwrite").options(**MANY_FILES).partitionBy("batch").json(path)
 
 
 def write_layer(existing: DataFrame, accepted: DataFrame, path: str, prefer: str = "accepted", apply: bool = False) -> DataFrame:
