@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.han import Converter
 from ..schemas import LANGS
-from ..sources.serving_store import read_by_key
+from ..sources.serving_store import read_by_key, read_by_prefix
 from ..sources.shared import written
 from .names import filled
 from .series import complete_months, dense_categories, month_axis, series_arrays
@@ -111,25 +111,33 @@ def search_many(rows: DataFrame, queries: DataFrame, n: int = 3) -> DataFrame:
 
 
 def postings(rows: DataFrame, n: int = 3) -> DataFrame:
-    """(gram, tag, term): every distinct gram of 1 to n characters of every term, to be stored and searched many times."""
+    """(gram, tag, term): the n characters at every place of every term, fewer at its end, to be stored and searched many times.
+
+    A shorter query is the beginning of such a gram, so grams of fewer characters need not be stored.
+    """
     terms = rows.select("tag", F.explode("terms").alias("term"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(n), F.length("term")))
-    every = F.array_distinct(F.flatten(F.transform(sizes, lambda s: F.transform(F.sequence(F.lit(1), F.length("term") - s + 1), lambda i: F.substring(F.col("term"), i, s)))))
+    every = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("term")), lambda i: F.substring(F.col("term"), i, F.lit(n))))
     return terms.where("term <> ''").select(F.explode(every).alias("gram"), "tag", "term")
 
 
 def search_stored(queries: DataFrame, path: str, n: int = 3) -> DataFrame:
-    """(query, tag): as search_many, over stored postings: a query reads the postings of its rarest gram and nothing else."""
+    """(query, tag): as search_many, over stored postings: a query reads the postings of its rarest gram and nothing else, a query of
+    fewer than n characters those of the grams that begin with it.
+    """
     spark = queries.sparkSession
-    asked = queries.select("query", F.lower("query").alias("q")).where("q <> ''").distinct()
-    size = F.least(F.length("q"), F.lit(n))
-    own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("q") - size + 1), lambda i: F.substring(F.col("q"), i, size)))
-    keyed = written(asked.select("query", "q", F.explode(own).alias("gram")))
+    asked = written(queries.select("query", F.lower("query").alias("q")).where("q <> ''").distinct())
+    own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("q") - n + 1), lambda i: F.substring(F.col("q"), i, F.lit(n))))
+    keyed = written(asked.where(F.length("q") >= n).select("query", "q", F.explode(own).alias("gram")))
     # a gram without postings comes first: such a query finds nothing
     frequency = read_by_key(spark, f"{path}/frequency", "gram", keyed)
     rarest = keyed.join(frequency, "gram", "left").groupBy("query", "q").agg(F.min_by("gram", F.struct(F.coalesce("f", F.lit(0)), "gram")).alias("gram"))
     rarest = written(rarest)
-    found = read_by_key(spark, f"{path}/postings", "gram", rarest).join(rarest, "gram")
+    found = read_by_key(spark, f"{path}/postings", "gram", rarest).join(rarest, "gram").select("query", "q", "tag", "term")
+    short = asked.where(F.length("q") < n)
+    for size in sorted(r[0] for r in short.select(F.length("q")).distinct().collect()):  # n - 1 numbers at most
+        some = short.where(F.length("q") == size).withColumn("start", F.col("q"))
+        begun = read_by_prefix(spark, f"{path}/postings", "gram", some.select("start"))
+        found = found.unionByName(begun.withColumn("start", F.substring("gram", 1, size)).join(some, "start").select("query", "q", "tag", "term"))
     return found.where(F.col("term").contains(F.col("q"))).select("query", "tag").distinct()
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ TABLES = {"totals": ["i"], "categories": ["category", "i"], "tags": ["name"], "n
 KEYED_BLOCK = 8 << 20
 #: So many sought keys are handed to the scan as a list; beyond that they only come by way of the join.
 LISTED_KEYS = 1000
+#: The same of beginnings of keys, each of which is a condition of its own.
+LISTED_STARTS = 50
 
 
 def write_keyed(df: DataFrame, path: str, keys: list[str], bloom: bool = True) -> None:
@@ -111,6 +115,13 @@ def read_by_key(spark: SparkSession, path: str, key: str, sought: DataFrame) ->
     return table
 
 
+def read_by_prefix(spark: SparkSession, path: str, key: str, starts: DataFrame) -> DataFrame:
+    """Rows of a keyed table whose key begins with one of ``starts`` (one column), where these are few; else all rows, for a join."""
+    table = spark.read.parquet(path)
+    few = [r[0] for r in starts.distinct().limit(LISTED_STARTS + 1).collect()]  # LISTED_STARTS + 1 at most
+    return table.where(reduce(or_, [F.col(key).startswith(s) for s in few])) if 0 < len(few) <= LISTED_STARTS else table
+
+
 def require_tables(spark: SparkSession, schemas: dict[str, str]) -> None:
     """Refuses to go on unless each path holds a Parquet table with the columns and types of its schema."""
     for path, schema in schemas.items():

@@ -104,3 +104,8 @@ def test_declared_tables(spark, tmp_path):
             store.require_tables(spark, {path: schema})
     with pytest.raises(FileNotFoundError):
         store.require_tables(spark, {f"{path}x": "id long"})
+
+
+def test_a_place_of_a_term_is_stored_once(spark):
+    rows = spark.createDataFrame([("t", ["abcd", "aaaa", "x"])], "tag string, terms array<string>")
+    assert sorted((r.term, r.gram) for r in V.postings(rows).collect()) == [("aaaa", "a"), ("aaaa", "aa"), ("aaaa", "aaa"), ("abcd", "abc"), ("abcd", "bcd"), ("abcd", "cd"), ("abcd", "d"), ("x", "x")]
