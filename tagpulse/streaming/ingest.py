@@ -113,7 +113,8 @@ def _slice(posts: DataFrame, out: str, n: int, first_day: str, options: dict, fa
     if (n, n + 1) not in committed(spark, out):
         dated = with_day(live_posts(posts, **options), first_day).persist()
         sums = dated.groupBy("day").agg(F.count("*").alias("posts"), F.sum("fav").alias("fav_sum"), F.sum("score").alias("score_sum"))
-        commit_run(spark, out, n, n + 1, name_cells(dated), sums)
+        # each post becomes a cell for each of its tags, which a task gathers: as many posts a task as a scan reads would be too many
+        commit_run(spark, out, n, n + 1, name_cells(dated.hint("rebalance")), sums)
         dated.unpersist()
     if (n + 1) % fan == 0:
         compact(spark, out, fan)
