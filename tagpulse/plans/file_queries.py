@@ -20,7 +20,7 @@ from ..operators import series as S
 from ..operators import serving as V
 from ..sources import readers, sinks
 from ..sources import serving_store as store
-from ..sources.shared import new_path
+from ..sources.shared import new_path, written
 from ..streaming import ingest as I
 from . import index_queries as X
 from . import name_queries as Q
@@ -113,7 +113,7 @@ ID_SLICES = 11
 
 def ingest_ids(spark, d):
     """Posts ingested by ranges of ids, in a run to half the ids and one to the end, slices merged by threes; equals daily_cells."""
-    x = X.Index(spark, d)
+    x = X.Index(spark, d).kept()
     source, out, ckpt = (new_path(spark, n) for n in ("posts", "ingest", "ingest-checkpoint"))
     sinks.write_clustered(x.view("posts"), source, ["id"])
     posts = readers.read_posts(spark, source)
@@ -188,22 +188,15 @@ def variant_files(spark, d):
 
 
 def batch_answers(spark, d):
-    """Answer files named by their batch: plain and object answers, nulls dropped, every ninth file corrupt."""
+    """Answer files in folders named by their batch: plain and object answers, nulls dropped, every ninth file corrupt."""
     v = F.when(F.col("k") % 3 == 0, F.lit("null")).when(F.col("k") % 3 == 1, F.concat(F.lit('{"zh_hans":'), quoted(F.col("hans")), F.lit("}"))).otherwise(quoted(F.col("hans")))
     rows = spelled(spark, d).select(F.floor(F.col("k") / 50).cast("int").alias("batch"), F.concat(quoted(F.col("tag")), F.lit(":"), v).alias("pair"))
     body = F.concat(F.lit("﻿{"), F.array_join(F.array_sort(F.collect_list("pair")), ","), F.when(F.col("batch") % 9 == 4, "").otherwise("}"))
     root = new_path(spark, "batches")
     bodies = rows.groupBy("batch").agg(body.alias("value"))
-    bodies.write.partitionBy("batch").text(root)
-    # Spark names its files itself, so they get their batch's name afterwards
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(hadoop)
-    fs.mkdirs(path(f"{root}/named"))
-    for f in fs.globStatus(path(f"{root}/batch=*/*.txt")):
-        batch = f.getPath().getParent().getName().split("=")[1]
-        fs.rename(f.getPath(), path(f"{root}/named/out_{int(batch):04d}.json"))
-    answers, states = readers.read_batches(spark, f"{root}/named")
+    # Spark names its files itself, so their folders bear the batch; renaming each file would be the driver's work alone
+    bodies.write.options(**sinks.MANY_FILES).partitionBy("batch").text(root)
+    answers, states = readers.read_batches(spark, root, files="*/*.txt", number=r"batch=(\d+)/[^/]*$")
     return answers.unionByName(states.where("corrupt").select("batch", F.lit(None).cast("string").alias("tag"), F.lit("corrupt").alias("value")))
 
 
@@ -328,7 +321,7 @@ def serving_set(spark, d):
 def search_stored(spark, d):
     """The queries of search_many over stored postings."""
     path = new_path(spark, "grams")
-    store.write_postings(V.postings(Q._search_rows(spark, d)), path)
+    store.write_postings(V.postings(written(Q._search_rows(spark, d))), path)  # a range sort samples what it sorts, and so makes it twice
     return V.search_stored(Q.asked(spark, d), path)
 
 

@@ -227,10 +227,14 @@ def read_proposals(spark: SparkSession, folders: list[str], rounds: list[str]) -
     return out if out is not None else spark.createDataFrame([], "tag string, round int, file string, value string")
 
 
-def read_batches(spark: SparkSession, folder: str, kind: str = "out") -> tuple[DataFrame, DataFrame]:
-    """((batch, tag, value), (batch, corrupt)): answers, plain or {zh_hans}, nulls dropped; the state of each file."""
-    batch = F.regexp_extract("file", r"_(\d+)\.json$", 1).cast("int")
-    rows = parsed(spark, f"{folder}/{kind}_*.json", "map<string,string>").withColumn("batch", batch)
+def read_batches(spark: SparkSession, folder: str, kind: str = "out", files: str | None = None, number: str = r"_(\d+)\.json$") -> tuple[DataFrame, DataFrame]:
+    """((batch, tag, value), (batch, corrupt)): answers, plain or {zh_hans}, nulls dropped; the state of each file.
+
+    ``files`` and ``number``: which files of the folder are read, and the pattern of the batch in their paths, where they are not
+    named kind_number.json; Spark writes batch=number/part-... .
+    """
+    batch = F.regexp_extract("file", number, 1).cast("int")
+    rows = parsed(spark, f"{folder}/{files or f'{kind}_*.json'}", "map<string,string>").withColumn("batch", batch)
     states = rows.groupBy("batch").agg(F.bool_or(F.col("error").isNotNull()).alias("corrupt"))
     whole = rows.join(states.where("NOT corrupt").select("batch"), "batch", "left_semi")
     each = parse_layer(whole.select("batch", F.explode("j").alias("tag", "v")).select(F.struct("batch", "tag").alias("tag"), "v"))

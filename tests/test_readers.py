@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_module
 from tagpulse import schemas
 from tagpulse.plans import file_queries
-from tagpulse.sources import readers
+from tagpulse.sources import readers, sinks
 
 PROPOSED = '{"fixes": {"a": "1", "b": "2"}, "reject": ["x"]}'
 
@@ -94,3 +94,19 @@ def test_several_objects_in_a_folder(spark, name):
     assert len(want) > file_queries.PER_FILE or name == "pool_files"
     key = lambda df: sorted(json.dumps(r, default=str) for r in df[sorted(df.columns)].values.tolist())
     assert key(got) == key(want)
+
+
+def test_batches_in_folders_of_their_number(spark, tmp_path):
+    for batch, text in ((0, '{"a":"x"}'), (12, '{"b":{"zh_hans":"y"},"c":null}'), (7, '{"d":"z"')):
+        (tmp_path / f"batch={batch}").mkdir()
+        (tmp_path / f"batch={batch}" / "part-00000_3.txt").write_text(text)
+    answers, states = readers.read_batches(spark, str(tmp_path), files="*/*.txt", number=r"batch=(\d+)/[^/]*$")
+    assert sorted(map(tuple, answers.collect())) == [(0, "a", "x"), (12, "b", "y")]
+    assert {r.batch for r in states.collect() if r.corrupt} == {7}
+
+
+def test_batches_are_committed_by_tasks(spark, tmp_path, monkeypatch):
+    """The option reaches the write; files lie where they belong."""
+    assert sinks.MANY_FILES["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
+    sinks.write_batches(spark.range(6).selectExpr("concat('n', id) AS name", "CAST(id div 2 AS INT) AS batch"), str(tmp_path / "b"))
+    assert sorted(p.name for p in (tmp_path / "b").iterdir() if p.is_dir()) == ["batch=0", "batch=1", "batch=2"]
