@@ -2,16 +2,18 @@
 
 Corners are found at several scales, each is given an orientation by its patch's intensity centroid, and binary
 tests along that orientation make a 128-bit descriptor. Descriptors meet in Hamming tables (joins on bit
-chunks, distance checked). One such match makes two images a candidate, of which all descriptors are then compared.
+chunks, distance checked), a few tables at a time. One such match makes two images a candidate, of which all descriptors are
+then compared, block of classes by block, to which each query image goes once.
 Matches of two images must agree on one similarity transform: they vote for scale, rotation and shift, and the best
 bin's votes are the consensus.
 
 The tables hold no images, so grey images are derived from ``embeddings``: a vector weighs fixed band-pass
 patterns. Equal images are one class, so groups of any number of copies cost one search; every other image is searched
-for itself. On request (``near``) near-equal ones (cosine of their vectors) become one class too, which its smallest id stands for:
-signs of projections are cut into bands, each band's bucket links its members to its smallest id, links are checked, and so
-is each member against the class's own image. That is cheaper where near copies abound, but a copy of a member that is none of the
-class's own image is then missed.
+for itself. Near-equal images (cosine of their vectors) are found besides: signs of projections are cut into bands, each
+band's bucket links its members to its smallest id, links are checked, and so is each member against the image of the group's
+smallest id. All pairs inside a group are candidates without meeting in tables, where each would come once for each corner. On request
+(``near``) such a group becomes one class. That is cheaper where near copies abound, but a copy of a member that is none of
+the class's own image is then missed.
 
 Defined cases: null, empty or non-finite vectors and vectors of zeros give no image and no class; images without corners
 match nothing; rows with a null id stand in no class's name, but count in the class of a row with an id that equals them;
@@ -20,7 +22,8 @@ repeated rows are copies; an empty table gives an empty result; extra columns ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,7 @@ SIDE, BITS, RADIUS = 64, 128, 9
 SCALES = (1.0, 0.75)
 CHUNK, CHUNKS, MAX_DISTANCE = 18, 7, 24
 BIN, MIN_VOTES = 6.0, 5
+TABLES, BLOCK, FLUSH = 2, 2048, 50_000  # tables that are joined at a time; classes of a block; matches that vote at a time
 BANDS, BAND_BITS, LINK, SAME = 16, 24, 0.95, 0.9  # cosines: of a link, and of a member and its class
 _PATTERNS: dict[int, np.ndarray] = {}
 
@@ -61,8 +65,8 @@ def edit(images: np.ndarray, kind: int, seed: int) -> np.ndarray:
         return images[:, 8:60, 6:58] * 0.7 + 0.05
     if kind == 1:
         return np.clip((np.rot90(images, axes=(1, 2)) - 0.5) * 1.3 + 0.5, 0, 1)
-    noise = np.random.default_rng(seed).standard_normal(images.shape).astype(np.float32) * 0.02
-    return _blur(images[:, 4:60, 4:60], 1) + noise[:, 4:60, 4:60]
+    noise = np.random.default_rng(seed).standard_normal(images.shape[1:]).astype(np.float32) * 0.02  # for each image the same, whatever stands beside it
+    return _blur(images[:, 4:60, 4:60], 1) + noise[4:60, 4:60]
 
 
 def _resize(images: np.ndarray, scale: float) -> np.ndarray:
@@ -132,13 +136,12 @@ def _unpack(col: str) -> dict[str, Column]:
 
 
 def keypoints(classes: DataFrame, edited: bool) -> DataFrame:
-    """(class_id, place, d0, d1) of each corner of each class's image, or of its edited copy."""
+    """(class_id, near_id, place, d0, d1), the last three lists with an entry for each corner of a class's image, or of its edited copy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 48):
-                ids = batch.column(0).slice(at, 48).to_pylist()
-                vectors = batch.column(1).slice(at, 48).to_pylist()
+                ids, near, vectors = (batch.column(k).slice(at, 48).to_pylist() for k in (0, 1, 2))
                 groups: dict[tuple[int, int], list[int]] = {}
                 for k, v in enumerate(vectors):
                     groups.setdefault((len(v), ids[k] // 20 % 3 if edited else -1), []).append(k)
@@ -146,16 +149,24 @@ def keypoints(classes: DataFrame, edited: bool) -> DataFrame:
                     images = render(np.array([vectors[k] for k in some], np.float32))
                     out = describe(edit(images, kind, 1) if edited else images)
                     got = {c: np.concatenate([o[c] for o in out]) for c in ("x", "y", "angle", "scale", "d0", "d1")}
-                    rows = [np.repeat([ids[k] for k in some], [len(o["x"]) for o in out]), _pack(got["x"], got["y"], got["angle"], got["scale"]), got["d0"], got["d1"]]
-                    yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int64)) for r in rows], names=["class_id", "place", "d0", "d1"])
+                    cuts = pa.array(np.r_[0, np.cumsum([len(o["x"]) for o in out])].astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(cuts, pa.array(v.astype(np.int64))) for v in (_pack(got["x"], got["y"], got["angle"], got["scale"]), got["d0"], got["d1"])]
+                    names = [pa.array([x[k] for k in some], pa.int64()) for x in (ids, near)]
+                    yield pa.RecordBatch.from_arrays([*names, *lists], names=["class_id", "near_id", "place", "d0", "d1"])
 
-    return classes.select("class_id", "embedding").mapInArrow(run, "class_id long, place long, d0 long, d1 long")
+    near = "near_id" if "near_id" in classes.columns else F.lit(None).cast("long").alias("near_id")
+    return classes.select("class_id", near, "embedding").mapInArrow(run, "class_id long, near_id long, place array<long>, d0 array<long>, d1 array<long>")
 
 
-def _chunks(d0: str, d1: str) -> Column:
-    """Keys of the Hamming tables: CHUNKS runs of CHUNK bits of the descriptor, each with its number on top."""
+def each_corner(images: DataFrame) -> DataFrame:
+    """A row for each corner of ``images``, which have lists of them."""
+    return images.select("class_id", "near_id", F.explode(F.arrays_zip("place", "d0", "d1")).alias("c")).select("class_id", "near_id", "c.place", "c.d0", "c.d1")
+
+
+def _chunks(d0: str, d1: str, tables: Sequence[int]) -> Column:
+    """Keys of these of the CHUNKS Hamming tables: a table's run of CHUNK bits of the descriptor, with its number on top."""
     each = []
-    for k in range(CHUNKS):
+    for k in tables:
         a = k * CHUNK
         low = f"shiftrightunsigned({d0}, {a})" if a < 64 else f"shiftrightunsigned({d1}, {a - 64})"
         if a < 64 < a + CHUNK:
@@ -236,15 +247,27 @@ def find_copies(rows: DataFrame, near: bool = True) -> DataFrame:
 
 
 def search(classes: DataFrame) -> DataFrame:
-    asked, stored = corners(classes)
-    return agree(compare(materialize(meet(asked, stored).select("q_class_id", "class_id").distinct()), asked, stored), classes)
+    groups = materialize(classes.join(near_equal(classes), "class_id", "left").select("class_id", "near_id", "embedding", "n_queries"), free=True)
+    asked, stored = described(groups)
+    met = [materialize(meet(asked, stored, range(k, min(k + TABLES, CHUNKS))), free=True) for k in range(0, CHUNKS, TABLES)]
+    best = compare(reduce(DataFrame.union, met, inside(groups)), asked, stored)
+    return best.join(classes.select("class_id", "n_rows"), "class_id").select(F.col("q_class_id").alias("query_class"), "class_id", "n_rows", "votes")
+
+
+def described(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The query classes' edited images and all classes' images as lists of corners, see ``keypoints``."""
+    stored = materialize(keypoints(classes, False))
+    return materialize(keypoints(classes.where("n_queries > 0"), True)), stored
+
+
+def _asked(corners: DataFrame) -> DataFrame:
+    return corners.select(*[F.col(c).alias(f"q_{c}") for c in corners.columns])
 
 
 def corners(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The corners of the query classes' edited images (columns q_...) and those of all classes."""
-    stored = materialize(keypoints(classes, False))
-    asked = materialize(keypoints(classes.where("n_queries > 0"), True)).select(*[F.col(c).alias(f"q_{c}") for c in ("class_id", "place", "d0", "d1")])
-    return asked, stored
+    asked, stored = described(classes)
+    return _asked(each_corner(asked)), each_corner(stored)
 
 
 def close() -> Column:
@@ -252,40 +275,108 @@ def close() -> Column:
     return F.bit_count(F.col("q_d0").bitwiseXOR(F.col("d0"))) + F.bit_count(F.col("q_d1").bitwiseXOR(F.col("d1"))) <= MAX_DISTANCE
 
 
-def meet(asked: DataFrame, stored: DataFrame) -> DataFrame:
-    """Matching corners that share a key of a Hamming table; a pair comes once for each table it shares."""
-    left = asked.select("q_class_id", "q_d0", "q_d1", _chunks("q_d0", "q_d1").alias("q_key"))
-    right = stored.select("class_id", "d0", "d1", _chunks("d0", "d1").alias("key"))
-    return left.join(right, (F.col("q_key") == F.col("key")) & close())
+def _group(near_id: str, class_id: str) -> Column:
+    return F.coalesce(near_id, class_id)
+
+
+def inside(groups: DataFrame) -> DataFrame:
+    """(q_class_id, class_id): each query class with all classes of its group of near-equal ones, itself too."""
+    own = groups.select("class_id", "n_queries", _group("near_id", "class_id").alias("of"))
+    return own.where("n_queries > 0").select(F.col("class_id").alias("q_class_id"), "of").join(own, "of").select("q_class_id", "class_id")
+
+
+def meet(asked: DataFrame, stored: DataFrame, tables: Sequence[int]) -> DataFrame:
+    """(q_class_id, class_id) of different groups with matching corners that share a key of one of these Hamming tables."""
+    left = _asked(each_corner(asked)).select("q_class_id", "q_near_id", "q_d0", "q_d1", _chunks("q_d0", "q_d1", tables).alias("q_key"))
+    right = each_corner(stored).select("class_id", "near_id", "d0", "d1", _chunks("d0", "d1", tables).alias("key"))
+    apart = _group("q_near_id", "q_class_id") != _group("near_id", "class_id")
+    return left.join(right, (F.col("q_key") == F.col("key")) & apart & close()).select("q_class_id", "class_id").distinct()
+
+
+def most_votes(pair: np.ndarray, q_place: np.ndarray, place: np.ndarray, corner: np.ndarray, n: int) -> np.ndarray:
+    """The most stored corners that vote for one similarity transform, for each of ``n`` pairs of images; as ``agree`` counts them.
+
+    ``pair`` and ``corner`` number a match's pair and its stored corner within its image.
+    """
+    (qx, qy, qa, ql), (x, y, a, level) = ((p >> 44 & (1 << 18) - 1, p >> 24 & (1 << 20) - 1, p >> 8 & (1 << 16) - 1, p & 255) for p in (q_place, place))
+    turn, octave, mid = qa / 10_000 - a / 10_000, ql - level, SIDE / 2
+    ratio, x, y = 2.0 ** (octave / 2), x / 16, y / 16
+    cx = qx / 16 + ratio * (np.cos(turn) * (mid - x) - np.sin(turn) * (mid - y))
+    cy = qy / 16 + ratio * (np.sin(turn) * (mid - x) + np.cos(turn) * (mid - y))
+    best = np.zeros(n, np.int64)
+    for sa in (0.0, 0.5):
+        for sx in (0.0, 0.5):
+            for sy in (0.0, 0.5):
+                key = pair * 16 + octave + 8
+                for part, bits in ((np.floor(turn * (6 / np.pi) + sa) % 12, 4), (np.floor(cx / BIN + sx) + 128, 8), (np.floor(cy / BIN + sy) + 128, 8), (corner, 14)):
+                    key = key << bits | part.astype(np.int64)
+                bins, votes = np.unique(np.unique(key) >> 14, return_counts=True)
+                np.maximum.at(best, bins >> 24, votes)
+    return best
 
 
 def compare(candidates: DataFrame, asked: DataFrame, stored: DataFrame) -> DataFrame:
-    """All matching corners of the candidate image pairs that have enough of them for a consensus."""
+    """(q_class_id, class_id, votes): the candidate image pairs of which enough matches, of all their corners, vote for one similarity transform.
+
+    Classes are dealt in blocks. A query image goes once to each block that has a candidate for it, behind the block's
+    classes, so that a task holds one block and reads queries one by one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, {}
         for batch in batches:
-            ids = [batch.column(k).to_numpy() for k in (0, 1)]
-            (qp, q0, q1), (cp, c0, c1) = ([batch.column(k).flatten().to_numpy() for k in ks] for ks in ((2, 3, 4), (5, 6, 7)))
-            q0, q1, c0, c1 = (d.view(np.uint64) for d in (q0, q1, c0, c1))  # of signed numbers, bits of the absolute value are counted
-            qn, cn = (np.r_[0, np.cumsum(batch.column(k).value_lengths().to_numpy())] for k in (2, 5))
-            out: list[tuple[np.ndarray, ...]] = []
+            block, query, ids = (batch.column(k).to_pylist() for k in (0, 1, 2))
+            place, d0, d1 = (batch.column(k).flatten().to_numpy() for k in (3, 4, 5))
+            d0, d1 = d0.view(np.uint64), d1.view(np.uint64)  # of signed numbers, bits of the absolute value are counted
+            cut = np.r_[0, np.cumsum(batch.column(3).value_lengths().to_numpy())]
+            pairs: list[tuple[int, int]] = []
+            found: list[tuple[np.ndarray, ...]] = []
+            n = 0
             for k in range(batch.num_rows):
-                a, b = slice(qn[k], qn[k + 1]), slice(cn[k], cn[k + 1])
-                i, j = np.nonzero(np.bitwise_count(q0[a, None] ^ c0[b]) + np.bitwise_count(q1[a, None] ^ c1[b]) <= MAX_DISTANCE)
-                if len(i) >= MIN_VOTES:
-                    out.append((np.full(len(i), ids[0][k]), qp[a][i], np.full(len(i), ids[1][k]), cp[b][j]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["q_class_id", "q_place", "class_id", "place"])
-
-    # an image's corners are bounded by its pixels
-    q = materialize(asked.groupBy("q_class_id").agg(F.collect_list(F.struct("q_place", "q_d0", "q_d1")).alias("q")).select("q_class_id", "q.q_place", "q.q_d0", "q.q_d1"))
-    c = stored.groupBy("class_id").agg(F.collect_list(F.struct("place", "d0", "d1")).alias("c")).select("class_id", "c.place", "c.d0", "c.d1")
-    both = candidates.join(c, "class_id").join(q, "q_class_id").select("q_class_id", "class_id", "q_place", "q_d0", "q_d1", "place", "d0", "d1")
-    return both.mapInArrow(run, "q_class_id long, q_place long, class_id long, place long")
+                if block[k] != at:
+                    at, held = block[k], {}
+                own = tuple(v[cut[k] : cut[k + 1]] for v in (place, d0, d1))
+                if query[k] is None:
+                    held[ids[k][0]] = tuple(v.copy() for v in own)
+                    continue
+                for first in range(0, len(ids[k]), 64):
+                    some = ids[k][first : first + 64]
+                    c_place, c0, c1 = (np.concatenate([held[c][v] for c in some]) for v in (0, 1, 2))
+                    sizes = np.array([len(held[c][0]) for c in some])
+                    of, corner = np.repeat(np.arange(len(some)), sizes), np.arange(len(c0)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    i, j = np.nonzero(np.bitwise_count(own[1][:, None] ^ c0) + np.bitwise_count(own[2][:, None] ^ c1) <= MAX_DISTANCE)
+                    enough = np.bincount(of[j], minlength=len(some)) >= MIN_VOTES
+                    if enough.any():
+                        i, j = i[enough[of[j]]], j[enough[of[j]]]
+                        number = len(pairs) + np.cumsum(enough) - 1
+                        found.append((number[of[j]], own[0][i], c_place[j], corner[j]))
+                        pairs += [(query[k], c) for c, fine in zip(some, enough, strict=True) if fine]
+                        n += len(i)
+                if n >= FLUSH:
+                    yield settled(pairs, found)
+                    pairs, found, n = [], [], 0
+            if pairs:
+                yield settled(pairs, found)
+
+    def settled(pairs: list[tuple[int, int]], found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        votes = most_votes(*(np.concatenate(c) for c in zip(*found, strict=True)), len(pairs))
+        fine = votes >= MIN_VOTES
+        ids = np.array(pairs, np.int64)[fine]
+        return pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(votes[fine])], names=["q_class_id", "class_id", "votes"])
+
+    blocks = max(int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-stored.count() // BLOCK))
+    block = F.pmod(F.xxhash64("class_id"), F.lit(blocks)).alias("block")
+    held = stored.select(block, F.lit(None).cast("long").alias("q_class_id"), F.array("class_id").alias("ids"), "place", "d0", "d1")
+    # a class comes from several tables; a list has at most the classes of its block
+    wanted = candidates.groupBy(block, "q_class_id").agg(F.collect_set("class_id").alias("ids"))
+    queries = asked.select(F.col("class_id").alias("q_class_id"), "place", "d0", "d1")
+    sought = wanted.join(queries, "q_class_id").select("block", "q_class_id", "ids", "place", "d0", "d1")
+    rows = held.union(sought).repartition("block").sortWithinPartitions("block", F.col("q_class_id").asc_nulls_first())
+    return rows.mapInArrow(run, "q_class_id long, class_id long, votes long")
 
 
 def agree(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """The image pairs of which enough of the matches ``met`` vote for one similarity transform."""
+    """The image pairs of which enough of the matches ``met`` vote for one similarity transform, for matches that come as rows."""
     # votes of two images are matches of theirs, so fewer matches than votes needed decide at once
     matched = met.groupBy("q_class_id", "class_id").agg(F.collect_set(F.struct("q_place", "place")).alias("m")).where(F.size("m") >= MIN_VOTES)
     pairs = matched.select("q_class_id", "class_id", F.explode("m").alias("p")).select("q_class_id", "class_id", "p.*")

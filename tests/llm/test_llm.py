@@ -518,6 +518,41 @@ def test_different_images_are_searched_for_themselves(spark, near_images, tmp_pa
     assert len(got & want) > 0.97 * max(len(got), len(want)) and len(want) > 1000
 
 
+def test_image_search_leaves_few_shuffle_files(spark, near_images):
+    """What the search leaves on disk is about the corners' descriptors once, not once for each table and candidate."""
+
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getPath(): f.length() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    classes, _ = images.image_classes(near_images, near=False)
+    asked, stored = images.described(classes)
+    size = stored.select(F.sum(F.size("d0")) * 24).first()[0]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as in tables that are too large for it
+    try:
+        before = held()
+        images.search(classes).write.format("noop").mode("overwrite").save()
+        left = sum(v for k, v in held().items() if k not in before)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    print("left", left, "descriptors", size)
+    assert left < 3 * size
+    # near-equal images are candidates without meeting, so that each pair comes once
+    groups = classes.join(images.near_equal(classes), "class_id", "left")
+    of = {r.class_id: r.class_id if r.near_id is None else r.near_id for r in groups.select("class_id", "near_id").collect()}
+    inside = collections.Counter((r.q_class_id, r.class_id) for r in images.inside(groups).collect())
+    assert inside == collections.Counter((q, c) for q in of if q % 20 == 0 for c in of if of[q] == of[c])
+    asked, stored = images.described(groups)
+    assert all(of[r.q_class_id] != of[r.class_id] for r in images.meet(asked, stored, range(images.CHUNKS)).collect())
+
+
+def test_edited_image_hangs_on_no_other():
+    picture = images.render(np.random.default_rng(5).standard_normal((6, 64)).astype(np.float32))
+    for kind in range(3):
+        assert all(np.array_equal(images.edit(picture, kind, 1)[k], images.edit(picture[k : k + 1], kind, 1)[0]) for k in range(6))
+
+
 def test_image_recall_against_brute_force():
     rng = np.random.default_rng(4)
     vectors = rng.standard_normal((40, 64)).astype(np.float32)
