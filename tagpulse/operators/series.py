@@ -115,11 +115,14 @@ def dense_categories(categories: DataFrame, axis: DataFrame) -> DataFrame:
 
 
 def series_arrays(tag_months: DataFrame, dim: DataFrame, axis: DataFrame, min_posts: int = 0) -> DataFrame:
-    """(name, category, post_count, first_i, last_i, months, values): a row a tag, arrays in month order."""
-    kept = indexed(tag_months, axis).join(dim.where(F.col("post_count") >= min_posts), "tag_id")
+    """(name, category, post_count, first_i, last_i, months, values): a row a tag, arrays in month order.
+
+    Months meet by tag_id before the dimension is joined, so they are shuffled once.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("i", "posts")))
-    grouped = kept.groupBy("name", "category", "post_count").agg(F.min("i").alias("first_i"), F.max("i").alias("last_i"), ordered.alias("run"))
-    return grouped.select("name", "category", "post_count", "first_i", "last_i", F.col("run.i").alias("months"), F.col("run.posts").alias("values"))
+    runs = indexed(tag_months, axis).groupBy("tag_id").agg(F.min("i").alias("first_i"), F.max("i").alias("last_i"), ordered.alias("run"))
+    kept = runs.join(dim.where(F.col("post_count") >= min_posts), "tag_id")
+    return kept.select("name", "category", "post_count", "first_i", "last_i", F.col("run.i").alias("months"), F.col("run.posts").alias("values"))
 
 
 def moving_average(series: DataFrame, key: str, value: str, window: int = 9) -> DataFrame:

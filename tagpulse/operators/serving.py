@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -33,10 +33,10 @@ def names_list(dim: DataFrame, names: DataFrame, pool: DataFrame) -> DataFrame:
     rows = dim.select(F.col("name").alias("tag")).join(names, "tag", "left").join(pool.select("tag", F.col("names").alias("aliases")), "tag", "left")
     shown = F.array(*[F.struct(F.lit(c).alias("lang"), F.col(c).alias("name")) for c in LANGS])
     aliases = F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.struct(F.lit(None).cast("string").alias("lang"), a.alias("name")))
-    every = rows.select("tag", F.posexplode(F.concat(shown, aliases)).alias("pos", "e")).select("tag", "pos", "e.lang", "e.name").where(filled(F.col("name")))
-    folded = every.withColumn("key", F.lower("name"))
-    first = folded.groupBy("tag", "key").agg(F.min("pos").alias("first_pos"))
-    kept = folded.join(first, ["tag", "key"]).where(F.col("lang").isNotNull() | ((F.col("pos") == F.col("first_pos")) & (F.col("key") != F.lower("tag"))))
+    every = rows.select("tag", F.posexplode(F.concat(shown, aliases)).alias("pos", "e")).select("tag", "pos", "e.lang", "e.name").where(F.col("tag").isNotNull() & filled(F.col("name")))
+    # one name of one tag is the group, and the joins by tag above have dealt the rows already
+    folded = every.withColumn("key", F.lower("name")).withColumn("first_pos", F.min("pos").over(Window.partitionBy("tag", "key")))
+    kept = folded.where(F.col("lang").isNotNull() | ((F.col("pos") == F.col("first_pos")) & (F.col("key") != F.lower("tag"))))
     return kept.select("tag", "pos", "lang", "name")
 
 
@@ -147,10 +147,13 @@ def servable(dim: DataFrame, min_posts: int = 0, limit_bytes: bool = True) -> Da
 
 
 def serving_rows(dim: DataFrame, tag_months: DataFrame, totals: DataFrame, names: DataFrame, pool: DataFrame, conv: Converter, min_posts: int = 0, limit_bytes: bool = True) -> dict[str, DataFrame]:
-    """The tables behind chart and search: totals, categories, tags with their runs, names, search rows."""
+    """The tables behind chart and search: totals, categories, tags with their runs, names, search rows.
+
+    The names are written, as the search rows are made of them.
+    """
     axis = month_axis(totals)
     kept = servable(dim, min_posts, limit_bytes)
-    listed = names_list(kept, fill_chinese(names, conv), pool)
+    listed = written(names_list(kept, fill_chinese(names, conv), pool))
     return {"totals": axis, "tags": series_arrays(tag_months, kept, axis), "names": listed, "search": search_rows(kept, listed, conv)}
 
 
@@ -158,16 +161,18 @@ def serving_set(dim: DataFrame, tag_months: DataFrame, totals: DataFrame, catego
     """The six tables that are published together: those of serving_rows, category series on the whole axis, and meta.
 
     meta is one row: epoch (first month), months, first_complete, last_complete (by index), categories, and serving_stats.
+    All six are written: a range sort samples what it sorts, and so makes it twice. ``discard`` frees them when they are published.
     """
     made = serving_rows(dim, tag_months, totals, names, pool, conv, min_posts, limit_bytes)
+    made |= {name: written(made[name]) for name in ("totals", "tags", "search")}
     axis = made["totals"]
-    series = dense_categories(categories, axis)
+    series = written(dense_categories(categories, axis))
     complete = complete_months(axis).select(F.col("first").alias("first_complete"), F.col("last").alias("last_complete"))
     kinds = series.agg(F.countDistinct("category").alias("categories"))
     meta = axis.agg(F.min("month").alias("epoch"), F.count("*").alias("months"))
     for one in (complete, kinds, serving_stats(servable(dim, min_posts, limit_bytes), names, pool)):  # one row each
         meta = meta.crossJoin(F.broadcast(one))
-    return {**made, "categories": series, "meta": meta}
+    return {**made, "categories": series, "meta": written(meta)}
 
 
 def dense_category_table(categories: DataFrame, totals: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators import series as S
 from ..operators import serving as V
 from ..sources import readers, sinks
 from ..sources import serving_store as store
-from ..sources.shared import new_path, written
+from ..sources.shared import discard, new_path, written
 from ..streaming import ingest as I
 from . import index_queries as X
 from . import name_queries as Q
@@ -279,11 +279,17 @@ def resolved_names(spark, d):
     return out.select("tag", *N.LANGS, "rejected")
 
 
+def _served(spark, d) -> tuple[DataFrame, ...]:
+    """(dim, tag months, totals, names, pool) of the serving tables. Several tables are made of each, so what takes joins is written once."""
+    x = X.Index(spark, d).kept()
+    dim = C.tag_dim(x.view("tags"), 0, excluded=None)
+    months = C.monthly_cells(x.view("posts"), A.tag_lookup(dim, x.resolved), X.FIRST)
+    return dim, written(months), written(x.totals), written(Q.folded(spark, d)), Q._pool(spark, d)
+
+
 def serving_tables(spark, d):
     """Every table behind chart and search, in one long form."""
-    x = X.Index(spark, d)
-    dim = Q.dim(spark, d)
-    made = V.serving_rows(dim, S.monthly(C.daily_cells(x.view("posts"), A.tag_lookup(dim, x.resolved), X.FIRST), "tag_id"), x.totals, Q.folded(spark, d), Q._pool(spark, d), CONV, min_posts=X.FLOOR)
+    made = V.serving_rows(*_served(spark, d), CONV, min_posts=X.FLOOR)
     text = lambda c: F.col(c).cast("string")
     parts = [
         made["totals"].select(F.lit("totals").alias("kind"), text("month").alias("key"), text("posts").alias("value")),
@@ -296,12 +302,13 @@ def serving_tables(spark, d):
 
 def serving_set(spark, d):
     """All six tables of a published set in one long form. An older version, of fewer tags, was current before."""
-    x, root = X.Index(spark, d), new_path(spark, "serving")
-    dim = Q.dim(spark, d)
-    months = S.monthly(C.daily_cells(x.view("posts"), A.tag_lookup(dim, x.resolved), X.FIRST), "tag_id")
-    made = lambda floor: V.serving_set(dim, months, x.totals, S.category_monthly(months, dim), Q.folded(spark, d), Q._pool(spark, d), CONV, min_posts=floor)
+    root = new_path(spark, "serving")
+    dim, months, totals, names, pool = _served(spark, d)
+    categories = written(S.category_monthly(months, dim))
     for floor in (4 * X.FLOOR, X.FLOOR):
-        store.publish(made(floor), root)
+        made = V.serving_set(dim, months, totals, categories, names, pool, CONV, min_posts=floor)
+        store.publish(made, root)
+        discard(*made.values())
     tables = store.read_serving(spark, root)
     store.expire_versions(spark, root)
     text = lambda c: F.col(c).cast("string")

@@ -109,3 +109,33 @@ def test_declared_tables(spark, tmp_path):
 def test_a_place_of_a_term_is_stored_once(spark):
     rows = spark.createDataFrame([("t", ["abcd", "aaaa", "x"])], "tag string, terms array<string>")
     assert sorted((r.term, r.gram) for r in V.postings(rows).collect()) == [("aaaa", "a"), ("aaaa", "aa"), ("aaaa", "aaa"), ("abcd", "abc"), ("abcd", "bcd"), ("abcd", "cd"), ("abcd", "d"), ("x", "x")]
+
+
+def test_serving_set_is_made_of_written_tables(spark, monkeypatch):
+    """What several tables are made of is a scan of a written table, and so is each table before the range sort that reads it twice."""
+    from tagpulse.plans import file_queries
+
+    steps = lambda df: all("/step-" in f for f in df.inputFiles()) and "Scan parquet" in (plan := df._jdf.queryExecution().sparkPlan().toString()) and len(plan.strip().splitlines()) == 1
+    seen, real = [], V.serving_set
+
+    def watched(dim, months, totals, categories, names, pool, *rest, **options):
+        out = real(dim, months, totals, categories, names, pool, *rest, **options)
+        seen.append({"inputs": [steps(df) for df in (months, totals, categories, names)], **{k: steps(df) for k, df in out.items()}})
+        return out
+
+    monkeypatch.setattr(V, "serving_set", watched)
+    kinds = {r.kind for r in file_queries.serving_set(spark, "/root/testdata/sf0.001").select("kind").distinct().collect()}
+    assert kinds == set(store.TABLES)
+    assert seen == [{"inputs": [True] * 4} | dict.fromkeys(store.TABLES, True)] * 2
+
+
+def test_names_list_reads_its_inputs_once(spark):
+    """Aliases that repeat a name are found without a join of the list to itself."""
+    from tagpulse.functions.han import Converter
+    from tagpulse.plans.fixture import STAGES
+
+    dim = spark.createDataFrame([("a",), ("b",), (None,)], "name string")
+    names = V.fill_chinese(spark.createDataFrame([("a", "国", None, "x", "X", None)], "tag string, zh_hans string, zh_hant string, ja string, en string, ko string"), Converter(STAGES))
+    listed = V.names_list(dim, names, spark.createDataFrame([("a", ["y", "Y", "X", "A"]), ("b", ["b", "z", "z"])], "tag string, names array<string>"))
+    assert sorted(map(tuple, listed.collect())) == [("a", 0, "zh_hans", "国"), ("a", 1, "zh_hant", "國"), ("a", 2, "ja", "x"), ("a", 3, "en", "X"), ("a", 5, None, "y"), ("b", 6, None, "z")]
+    assert listed._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
