@@ -193,9 +193,8 @@ def batch_answers(spark, d):
     rows = spelled(spark, d).select(F.floor(F.col("k") / 50).cast("int").alias("batch"), F.concat(quoted(F.col("tag")), F.lit(":"), v).alias("pair"))
     body = F.concat(F.lit("﻿{"), F.array_join(F.array_sort(F.collect_list("pair")), ","), F.when(F.col("batch") % 9 == 4, "").otherwise("}"))
     root = new_path(spark, "batches")
-    bodies = rows.groupBy("batch").agg(body.alias("value"))
-    # Spark names its files itself, so their folders bear the batch; renaming each file would be the driver's work alone
-    bodies.write.options(**sinks.MANY_FILES).partitionBy("batch").text(root)
+    # tasks name their files, so their folders bear the batch; renaming each file would be the driver's work alone
+    sinks.write_lines(rows.groupBy("batch").agg(body.alias("value")), root)
     answers, states = readers.read_batches(spark, root, files="*/*.txt", number=r"batch=(\d+)/[^/]*$")
     return answers.unionByName(states.where("corrupt").select("batch", F.lit(None).cast("string").alias("tag"), F.lit("corrupt").alias("value")))
 

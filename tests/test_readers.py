@@ -110,3 +110,40 @@ def test_batches_are_committed_by_tasks(spark, tmp_path, monkeypatch):
     assert sinks.MANY_FILES["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
     sinks.write_batches(spark.range(6).selectExpr("concat('n', id) AS name", "CAST(id div 2 AS INT) AS batch"), str(tmp_path / "b"))
     assert sorted(p.name for p in (tmp_path / "b").iterdir() if p.is_dir()) == ["batch=0", "batch=1", "batch=2"]
+
+
+def test_batches_written_by_tasks(spark, tmp_path):
+    """What the tasks write reads as what Spark's own writer leaves; former folders go, batches keep their rows' order, null and text batches too."""
+    rows = spark.range(60).selectExpr("id", "if(id % 7 = 0, NULL, concat('国\"\\n', id)) AS name", "CAST(if(id % 11 = 5, NULL, id div 4) AS INT) AS batch", "array(id) AS list", "DATE'2020-01-02' AS day").repartition(5)
+    path, spark_path = str(tmp_path / "b"), str(tmp_path / "s")
+    sinks.write_batches(rows.withColumn("batch", rows["batch"] + 100), path)
+    sinks.write_batches(rows, f"file://{path}")
+    rows.write.partitionBy("batch").json(spark_path)
+    back = lambda p: spark.read.schema(rows.schema).json(p)
+    assert sorted(back(path).collect(), key=str) == sorted(back(spark_path).collect(), key=str) == sorted(rows.select(back(path).columns).collect(), key=str)
+    folders = lambda p: sorted(x.name for x in p.iterdir() if x.is_dir())
+    assert folders(tmp_path / "b") == folders(tmp_path / "s")
+    assert {f.name[:5] for f in (tmp_path / "b").glob("*/*")} == {"part-"} and (tmp_path / "b" / "_SUCCESS").exists()
+    sinks.write_batches(spark.range(12).coalesce(1).selectExpr("id", "CAST(id % 3 AS INT) AS batch"), path)
+    assert [json.loads(x)["id"] for x in next((tmp_path / "b" / "batch=1").iterdir()).read_text().splitlines()] == [1, 4, 7, 10]
+    sinks.write_batches(spark.range(3).selectExpr("id", "concat('a/', id) AS batch"), path)
+    assert spark.read.schema("id long, batch string").json(path).count() == 3
+    sinks.write_batches(rows.limit(0), path)
+    assert folders(tmp_path / "b") == [] and back(path).count() == 0
+    with pytest.raises(ValueError, match="is read by"):
+        sinks.write_batches(spark.read.schema(rows.schema).json(spark_path), spark_path)
+    assert back(spark_path).count() == 60
+    sinks.write_lines(spark.createDataFrame([(3, "x"), (3, None)], "batch int, value string").coalesce(1), path)
+    assert (tmp_path / "b" / "batch=3" / "part-00000.txt").read_text() == "x\n\n"
+
+
+def test_many_batches_start_no_processes(spark, tmp_path):
+    """Hadoop's writer took some 25 ms of a task for each folder."""
+    import time
+
+    rows = spark.range(6000).selectExpr("id", "CAST(id div 2 AS INT) AS batch").coalesce(1)
+    sinks.write_batches(rows.limit(10), str(tmp_path / "b"))
+    began = time.time()
+    sinks.write_batches(rows, str(tmp_path / "b"))
+    assert time.time() - began < 20
+    assert spark.read.schema("id long, batch int").json(str(tmp_path / "b")).count() == 6000
